@@ -130,7 +130,6 @@ SUMMARY_FAILED = "Generation failed: "
 NO_EXAMPLES = "(No relevant historical cases found for this request.)"
 NO_JUDGE_EXAMPLES = "0\nNo historical cases available."
 GOLDEN_LABEL_SOURCE = "keyword_heuristic"
-GOLDEN_LABEL_SOURCE_NOTE = "keyword_heuristic (see DECISIONS.md)"
 JUDGE_DIMENSIONS = ("relevance", "groundedness", "resolution_match", "actionability", "safety")
 CONFIDENCE_BINS = (
     (1, "0.0–0.2", 0.2),
