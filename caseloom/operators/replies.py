@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom import config, schemas
+from caseloom import config
 from caseloom.functions import text as X
 from caseloom.functions.jsonparse import parse_json
 
@@ -114,31 +114,36 @@ def call_provider(df: DataFrame, prompt: str, provider: ReplyBatch, out: str = "
     This is the only step that leaves the JVM.  A batch that fails is repeated row by
     row, so that one bad prompt does not fail its neighbours.
     """
-    fields = df.schema.fields
-    schema = T.StructType([*fields, T.StructField("_raw", T.StringType()), T.StructField("_error", T.StringType())])
+    text = T.StringType()
+    schema = T.StructType([*df.schema.fields, T.StructField("_raw", text), T.StructField("_error", text)])
 
     def run(batches):
-        for pdf in batches:
-            prompts = pdf[prompt].tolist()
-            try:
-                raw, errors = list(provider(prompts)), [None] * len(prompts)
-                if len(raw) != len(prompts):
-                    raise ValueError("one reply per prompt expected")
-            except Exception:
-                raw, errors = [], []
-                for p in prompts:
-                    try:
-                        raw.append(next(iter(provider([p]))))
-                        errors.append(None)
-                    except Exception as e:
-                        raw.append(None)
-                        errors.append(str(e) or type(e).__name__)
-            yield pdf.assign(_raw=pd.Series(raw, index=pdf.index, dtype=object), _error=pd.Series(errors, index=pdf.index, dtype=object))
-
-    mapped = df.mapInPandas(run, schema)
+        for batch in batches:
+            raw, errors = _answer(provider, batch.column(prompt).to_pylist())
+            columns = [*batch.columns, pa.array(raw, pa.string()), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_raw", "_error"])
+
+    mapped = df.mapInArrow(run, schema)
     return mapped.withColumn(out, F.struct(F.col("_raw").alias("raw"), F.col("_error").alias("error"))).drop("_raw", "_error")
 
 
+def _answer(provider: ReplyBatch, prompts: list[str]) -> tuple[list, list]:
+    try:
+        raw = list(provider(prompts))
+        if len(raw) != len(prompts):
+            raise ValueError("one reply per prompt expected")
+        return raw, [None] * len(raw)
+    except Exception:
+        return tuple(map(list, zip(*[_answer_one(provider, p) for p in prompts])))
+
+
+def _answer_one(provider: ReplyBatch, prompt: str) -> tuple:
+    try:
+        return next(iter(provider([prompt]))), None
+    except Exception as e:
+        return None, str(e) or type(e).__name__
+
+
 def interpret(generated: Column, escalation: Column, top_cases: Column, cfg: config.TriageConfig = config.DEFAULT) -> Column:
     """Turn provider output into reply, evidence summary, cited cases, confidence and status."""
     raw = generated["raw"]
@@ -166,6 +171,3 @@ def interpret(generated: Column, escalation: Column, top_cases: Column, cfg: con
         F.coalesce(generated["error"], raw).alias("raw"),
     )
 
-
-def generation_schema() -> T.StructType:
-    return schemas.GENERATION

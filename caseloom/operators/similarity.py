@@ -141,7 +141,7 @@ def vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
 class CaseIndex:
     """Tables of a retrieval index."""
 
-    cases: DataFrame  # doc_id and the fields shown in results
+    cases: DataFrame  # doc_id and the fields shown in results; brand_replies is NULL if it has several parts
     replies: DataFrame  # reply lists per doc_id
     vocab: DataFrame  # term, frequency, df, idf
     members: DataFrame  # doc_id, vec_key
@@ -164,7 +164,9 @@ def build_index(
     distinct = vecs.groupBy("vec_key").agg(F.min("doc_id").alias("vec_id"), F.any_value("v").alias("v"))
     postings = distinct.select("vec_id", F.inline("v"))
     members = vecs.select("doc_id", "vec_key")
-    return CaseIndex(grouped, reply_lists(filled, order), vocab, members, postings, stop_words)
+    replies = reply_lists(filled, order)
+    whole = replies.where("parts = 1").select("doc_id", "brand_replies")
+    return CaseIndex(grouped.join(whole, "doc_id", "left"), replies, vocab, members, postings, stop_words)
 
 
 def checkpoint_index(index: CaseIndex) -> CaseIndex:
@@ -205,6 +207,15 @@ def retrieve(
     return out.withColumn("retrieval", F.coalesce("retrieval", no_result())).select(*queries.columns, "retrieval")
 
 
+def evidence_replies(answered: DataFrame, index: CaseIndex, query_id: str = "message_id") -> DataFrame:
+    """Every reply list of every retrieved case, however long."""
+    shown = answered.select(query_id, F.explode("retrieval.top_cases").alias("c"))
+    shown = shown.select(query_id, "c.case_id", F.col("c.customer_tweet_id").alias("_doc"))
+    lists = index.replies.withColumn("_doc", F.col("doc_id").cast("string"))
+    joined = skew.salted_join(shown, lists, "_doc", F.col(query_id))
+    return joined.select(query_id, "case_id", "part", "parts", "reply_order", "brand_replies")
+
+
 def no_result() -> Column:
     return F.struct(
         F.lit(False).alias("sufficient"),
@@ -228,6 +239,7 @@ def _answers(hits: DataFrame, index: CaseIndex, top_k: int, min_similarity: floa
             "case_id",
             F.col("doc_id").cast("string").alias("customer_tweet_id"),
             "customer_message",
+            "brand_replies",
             "brand_reply",
             "n_replies",
             "intent",

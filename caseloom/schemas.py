@@ -18,14 +18,7 @@ TOP_INTENTS = "array<struct<intent:string,probability:double>>"
 
 TOP_CASES = (
     "array<struct<case_id:string,customer_tweet_id:string,customer_message:string,"
-    "brand_reply:string,n_replies:bigint,intent:string,similarity_score:double,conversation_id:string>>"
-)
-
-GENERATION = T.StructType(
-    [
-        T.StructField("raw", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
+    "brand_replies:array<string>,brand_reply:string,n_replies:bigint,intent:string,similarity_score:double,conversation_id:string>>"
 )
 
 HUMAN_REVIEW_COLUMNS = (
