@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind ``value`` to a variable of ``body``: however often it is used, it is written and computed once."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing white space of any kind (``trim`` only removes spaces)."""
     return F.regexp_replace(F.regexp_replace(_col(c), rf"^{WHITESPACE}+", ""), rf"{WHITESPACE}+\z", "")

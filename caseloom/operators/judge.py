@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import config, schemas
-from caseloom.functions.jsonparse import parse_json
 from caseloom.functions import text as X
+from caseloom.functions.jsonparse import is_object, parse_object
 from caseloom.operators.replies import render
 
 DIMENSIONS = config.JUDGE_DIMENSIONS
@@ -74,49 +74,63 @@ def verdict(raw: Column, provider_error: Column | None = None) -> Column:
 
     The error is the one of the first failing dimension.
     """
-    v = parse_json(raw)
-    shape = F.schema_of_variant(v)
-    is_object = v.isNotNull() & shape.startswith("OBJECT<")
-    errors = []
-    if provider_error is not None:
-        errors.append(provider_error)
-    errors.append(F.when(~F.coalesce(is_object, F.lit(False)), F.lit("Invalid JSON returned by LLM")))
-    obj = F.when(is_object, v)
-    out = []
-    for d in DIMENSIONS:
-        whole = F.try_variant_get(obj, f"$.{d}", "variant")
-        whole_shape = F.schema_of_variant(whole)
-        has_fields = (
-            whole_shape.startswith("OBJECT<")
-            & F.try_variant_get(whole, "$.score", "variant").isNotNull()
-            & F.try_variant_get(whole, "$.reason", "variant").isNotNull()
+    provider_error = F.lit(None).cast("string") if provider_error is None else provider_error
+    return X.let(parse_object(raw), lambda obj: _validated(raw, obj, provider_error))
+
+
+def _validated(raw: Column, obj: Column, provider_error: Column) -> Column:
+    dims = F.struct(*[_dimension(obj, d).alias(d) for d in DIMENSIONS])
+    not_json = F.when(obj.isNull(), F.lit("Invalid JSON returned by LLM"))
+
+    def assemble(seen: Column) -> Column:
+        ok = seen["error"].isNull()
+        scores = [seen["dims"][d]["score"] for d in DIMENSIONS]
+        total = sum(scores[1:], scores[0])
+        return F.struct(
+            *[F.when(ok, F.struct(seen["dims"][d]["score"].alias("score"), seen["dims"][d]["reason"].alias("reason"))).alias(d) for d in DIMENSIONS],
+            F.when(ok, F.round(total / F.lit(5.0), 2)).alias("overall_score"),
+            F.when(ok, F.coalesce(F.try_variant_get(obj, "$.overall_reason", "string"), F.lit(""))).alias("overall_reason"),
+            F.when(ok, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+            seen["error"].alias("error"),
+            F.when(~ok, raw).alias("raw"),
         )
-        fields = F.when(whole_shape.startswith("OBJECT<"), whole)
+
+    def first_error(found: Column) -> Column:
+        error = F.coalesce(provider_error, not_json, *[found[d]["error"] for d in DIMENSIONS])
+        return F.struct(found.alias("dims"), error.alias("error"))
+
+    return X.let(X.let(dims, first_error), assemble)
+
+
+def _dimension(obj: Column, d: str) -> Column:
+    """``struct<score, reason, error>`` of one dimension."""
+
+    def inspect(whole: Column) -> Column:
+        fields = F.when(is_object(whole), whole)
         kind = F.schema_of_variant(F.try_variant_get(fields, "$.score", "variant"))
-        text = F.try_variant_get(fields, "$.score", "string")
+        text = X.strip(F.try_variant_get(fields, "$.score", "string"))
         # Numbers lose their fraction; a text counts only when it spells an integer.
-        score = F.when(kind == "STRING", F.when(F.rlike(X.strip(text), F.lit(r"\A[+-]?\d{1,9}\z")), X.strip(text).try_cast("int"))).when(
-            kind != "VOID", F.try_variant_get(fields, "$.score", "double").try_cast("int")
+        spelled = F.when(F.rlike(text, F.lit(r"\A[+-]?\d{1,9}\z")), text.try_cast("int"))
+        number = F.try_variant_get(fields, "$.score", "double").try_cast("int")
+        score = F.when(kind == "STRING", spelled).when(kind != "VOID", number)
+        complete = F.try_variant_get(fields, "$.reason", "variant").isNotNull() & kind.isNotNull()
+        return F.struct(
+            whole.isNull().alias("missing"),
+            F.coalesce(complete, F.lit(False)).alias("complete"),
+            score.alias("score"),
+            F.try_variant_get(fields, "$.reason", "string").alias("reason"),
         )
-        errors += [
-            F.when(whole.isNull(), F.lit(f"Missing dimension '{d}' in judge output")),
-            F.when(~F.coalesce(has_fields, F.lit(False)), F.lit(f"Malformed dimension '{d}'")),
-            F.when(score.isNull(), F.lit(f"Non-integer score for '{d}'")),
-            F.when(~score.between(1, 5), F.lit(f"Score for '{d}' out of bounds (must be 1-5)")),
-        ]
-        reason = F.try_variant_get(fields, "$.reason", "string")
-        out.append(F.struct(score.alias("score"), reason.alias("reason")).alias(d))
-    error = F.coalesce(*errors)
-    ok = error.isNull()
-    total = sum((s["score"] for s in out[1:]), out[0]["score"])
-    return F.struct(
-        *[F.when(ok, s).alias(d) for d, s in zip(DIMENSIONS, out)],
-        F.when(ok, F.round(total / F.lit(5.0), 2)).alias("overall_score"),
-        F.when(ok, F.coalesce(F.try_variant_get(obj, "$.overall_reason", "string"), F.lit(""))).alias("overall_reason"),
-        F.when(ok, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
-        error.alias("error"),
-        F.when(~ok, raw).alias("raw"),
-    )
+
+    def judge(seen: Column) -> Column:
+        error = (
+            F.when(seen["missing"], F.lit(f"Missing dimension '{d}' in judge output"))
+            .when(~seen["complete"], F.lit(f"Malformed dimension '{d}'"))
+            .when(seen["score"].isNull(), F.lit(f"Non-integer score for '{d}'"))
+            .when(~seen["score"].between(1, 5), F.lit(f"Score for '{d}' out of bounds (must be 1-5)"))
+        )
+        return F.struct(seen["score"].alias("score"), seen["reason"].alias("reason"), error.alias("error"))
+
+    return X.let(X.let(F.try_variant_get(obj, f"$.{d}", "variant"), inspect), judge)
 
 
 def successes(judged: DataFrame) -> DataFrame:

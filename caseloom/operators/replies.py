@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from caseloom import config
 from caseloom.functions import text as X
-from caseloom.functions.jsonparse import parse_json
+from caseloom.functions.jsonparse import parse_object
 
 # Own wording; slots are the names in braces.
 REPLY_TEMPLATE = """You write support replies for a brand. Use only the past cases below as evidence.
@@ -147,11 +147,16 @@ def _answer_one(provider: ReplyBatch, prompt: str) -> tuple:
 def interpret(generated: Column, escalation: Column, top_cases: Column, cfg: config.TriageConfig = config.DEFAULT) -> Column:
     """Turn provider output into reply, evidence summary, cited cases, confidence and status."""
     raw = generated["raw"]
-    body = X.strip(F.coalesce(raw, F.lit("")))
+    return X.let(
+        F.struct(X.strip(F.coalesce(raw, F.lit(""))).alias("body"), parse_object(raw).alias("given")),
+        lambda seen: _interpreted(generated, seen["body"], seen["given"], escalation, top_cases, cfg),
+    )
+
+
+def _interpreted(generated, body, given, escalation, top_cases, cfg) -> Column:
+    raw = generated["raw"]
     failed = generated["error"].isNotNull()
     short = ~failed & (F.length(body) < cfg.empty_reply_chars)
-    parsed = parse_json(raw)
-    given = F.when(F.schema_of_variant(parsed).startswith("OBJECT<"), parsed)
     case_ids = F.transform(top_cases, lambda c: c["case_id"])
     bad = failed | short
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseloom import config, schemas
 from caseloom.functions import text as X
 from caseloom.operators import skew
+from caseloom.session import store
 
 REPLIES_PER_LIST = 1000
 EPS = 1e-8
@@ -62,7 +65,12 @@ def group_cases(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
     return grouped.select("doc_id", *[F.col(f"_first.{f}").alias(f) for f in fields], "n_replies")
 
 
-def reply_lists(cases: DataFrame, order: str = "brand_tweet_id", per_list: int = REPLIES_PER_LIST) -> DataFrame:
+def reply_lists(
+    cases: DataFrame,
+    order: str = "brand_tweet_id",
+    per_list: int = REPLIES_PER_LIST,
+    rows_per_task: int = skew.ROWS_PER_SALT,
+) -> DataFrame:
     """All replies per customer message as ordered lists ``(doc_id, part, parts, brand_replies)``.
 
     A message with up to ``per_list`` replies has one list.  A longer one has several
@@ -74,11 +82,12 @@ def reply_lists(cases: DataFrame, order: str = "brand_tweet_id", per_list: int =
     rows = cases.where(F.col(key).isNotNull()).select(
         F.col(key).alias("doc_id"), F.col(order).alias("reply_order"), F.coalesce("brand_reply", F.lit("")).alias("brand_reply")
     )
-    heavy = F.broadcast(skew.heavy_keys(rows, "doc_id"))
-    usual = rows.join(heavy, "doc_id", "left_anti")
+    hot = skew.heavy_keys(rows, "doc_id", rows_per_task)
+    heavy = F.broadcast(rows.sparkSession.createDataFrame(hot, T.StructType([rows.schema["doc_id"], T.StructField("n", T.LongType())])))
+    usual = rows.join(heavy, "doc_id", "left_anti") if hot else rows
     usual = usual.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
-    often = rows.join(heavy, "doc_id").withColumnRenamed("rows", "n")
-    return _collect_parts(usual, per_list).unionByName(_collect_parts(often, per_list))
+    lists = _collect_parts(usual, per_list)
+    return lists.unionByName(_collect_parts(rows.join(heavy, "doc_id"), per_list)) if hot else lists
 
 
 def _collect_parts(rows: DataFrame, per_list: int) -> DataFrame:
@@ -152,28 +161,28 @@ class CaseIndex:
 
 
 def build_index(
-    cases: DataFrame, stop_words=None, max_features: int = config.DEFAULT.max_features, order: str = "brand_tweet_id"
+    cases: DataFrame,
+    stop_words=None,
+    max_features: int = config.DEFAULT.max_features,
+    order: str = "brand_tweet_id",
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> CaseIndex:
-    """Group the cases, fit the vocabulary and lay out the postings."""
+    """Group the cases, fit the vocabulary and lay out the postings.
+
+    With ``keep=store`` every table is written once and the next one is built from it;
+    without it the tables are lazy.
+    """
     stop_words = default_stop_words() if stop_words is None else tuple(stop_words)
-    filled = fill_cases(cases)
-    grouped = group_cases(filled, order)
-    counts = term_counts(grouped, "doc_id", "customer_message", stop_words, clustered=True)
-    vocab = vocabulary(counts, n_rows(grouped), max_features)
-    vecs = vectors(counts, vocab)
-    distinct = vecs.groupBy("vec_key").agg(F.min("doc_id").alias("vec_id"), F.any_value("v").alias("v"))
-    postings = distinct.select("vec_id", F.inline("v"))
-    members = vecs.select("doc_id", "vec_key")
-    replies = reply_lists(filled, order)
+    filled = keep(fill_cases(cases))
+    replies = keep(reply_lists(filled, order))
     whole = replies.where("parts = 1").select("doc_id", "brand_replies")
-    return CaseIndex(grouped.join(whole, "doc_id", "left"), replies, vocab, members, postings, stop_words)
-
-
-def checkpoint_index(index: CaseIndex) -> CaseIndex:
-    """Cut the lineage of the tables that one retrieval reads several times."""
-    return CaseIndex(
-        index.cases, index.replies, index.vocab.checkpoint(), index.members.checkpoint(), index.postings.checkpoint(), index.stop_words
-    )
+    grouped = keep(group_cases(filled, order).join(whole, "doc_id", "left"))
+    counts = keep(term_counts(grouped, "doc_id", "customer_message", stop_words))
+    vocab = keep(vocabulary(counts, n_rows(grouped), max_features))
+    vecs = keep(vectors(counts, vocab))
+    distinct = vecs.groupBy("vec_key").agg(F.min("doc_id").alias("vec_id"), F.any_value("v").alias("v"))
+    postings = keep(distinct.select("vec_id", F.inline("v")))
+    return CaseIndex(grouped, replies, vocab, vecs.select("doc_id", "vec_key"), postings, stop_words)
 
 
 # --- retrieval --------------------------------------------------------------
@@ -197,10 +206,10 @@ def retrieve(
     """
     counts = term_counts(queries, query_id, text, index.stop_words)
     q_vecs = vectors(counts, index.vocab).select(F.col("doc_id").alias(query_id), F.col("vec_key").alias("q_key"), "v")
-    q_vecs = q_vecs.checkpoint()
+    q_vecs = store(q_vecs)
     distinct = q_vecs.groupBy("q_key").agg(F.any_value("v").alias("v"))
     q_terms = distinct.select("q_key", F.inline("v")).withColumnRenamed("weight", "q_weight")
-    hits = search(q_terms, index.postings, top_k, pair_limit, broadcast_rows, budgets)
+    hits = store(search(q_terms, index.postings, top_k, pair_limit, broadcast_rows, budgets))
     answers = _answers(hits, index, top_k, min_similarity)
     keyed = skew.salted_join(q_vecs.select(query_id, "q_key"), answers, "q_key", F.col(query_id))
     out = queries.join(keyed.drop("q_key"), query_id, "left")
@@ -230,9 +239,11 @@ def _answers(hits: DataFrame, index: CaseIndex, top_k: int, min_similarity: floa
     few = skew.top_n_per_group(index.members, ["vec_key"], [F.col("doc_id")], top_k)
     few = few.groupBy("vec_key").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
     few = few.select(F.get("ids", F.lit(0)).alias("vec_id"), F.explode("ids").alias("doc_id"))
-    docs = skew.salted_join(hits, few, "vec_id", F.col("q_key"))
+    hot = skew.heavy_keys(hits, "vec_id")
+    docs = skew.salted_join(hits, few, "vec_id", F.col("q_key"), hot=hot)
     ranked = skew.top_n_per_group(docs, ["q_key"], [F.desc("rank_score"), F.col("doc_id")], top_k, rank="place")
-    shown = skew.salted_join(ranked, index.cases, "doc_id", F.col("q_key"))
+    # Without a vector that many queries share there is no such document either.
+    shown = skew.salted_join(ranked, index.cases, "doc_id", F.col("q_key"), hot=None if hot else [])
     case = F.struct(
         "place",
         F.struct(
@@ -280,13 +291,13 @@ def search(
     if matches <= pair_limit:
         return _top(_sum_matches(q_terms, postings, q_rows, p_rows, broadcast_rows), top_k)
     stats = F.broadcast(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    open_terms = q_terms.join(stats, "term").checkpoint()
+    open_terms = store(q_terms.join(stats, "term"))
     done = []
     for budget in budgets:
-        found = _search_rare(open_terms, postings, top_k, budget).checkpoint()
+        found = store(_search_rare(open_terms, postings, top_k, budget))
         done.append(found.where("settled").select("q_key", F.inline("top")))
         settled = found.where("settled").select("q_key")
-        open_terms = open_terms.join(settled, "q_key", "left_anti").checkpoint()
+        open_terms = store(open_terms.join(settled, "q_key", "left_anti"))
         if open_terms.isEmpty():
             break
     else:

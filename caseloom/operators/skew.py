@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key with at least 1/MAX_HEAVY of the rows is always among the MAX_HEAVY most
 # frequent ones, so a table of that many keys is bounded and safe to broadcast.
@@ -14,10 +15,13 @@ ROWS_PER_SALT = 200_000
 MAX_SALTS = 4096
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_SALT) -> DataFrame:
-    """``(key, rows)`` of the most frequent keys with at least ``min_rows`` rows; MAX_HEAVY rows at most."""
+def heavy_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_SALT) -> list:
+    """``(key, rows)`` of the most frequent keys with at least ``min_rows`` rows; MAX_HEAVY of them at most.
+
+    Reads the key column only and counts before the shuffle.
+    """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.where(F.col("rows") >= min_rows).orderBy(F.desc("rows"), key).limit(MAX_HEAVY)
+    return counts.where(F.col("rows") >= min_rows).orderBy(F.desc("rows"), key).limit(MAX_HEAVY).collect()
 
 
 def salted_join(
@@ -27,22 +31,24 @@ def salted_join(
     spread: Column,
     how: str = "inner",
     rows_per_salt: int = ROWS_PER_SALT,
+    hot: list | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` whose heavy keys on the ``many`` side are spread over several tasks.
 
-    Each heavy key gets a number of salts that grows with its row count; its rows
-    in ``few`` are repeated once per salt.  Keys that are not heavy have one salt
-    and are not repeated.  ``spread`` must differ between the rows of a key.
+    The heavy keys are looked up first, unless given; without any this is a plain join.
+    Each gets a number of salts that grows with its row count; its rows in ``few`` are
+    repeated once per salt.  ``spread`` must differ between the rows of a key.
     """
-    salts = heavy_keys(many, key, rows_per_salt).select(
-        F.col(key).alias("_hot"),
-        F.least(F.ceil(F.col("rows") / rows_per_salt), F.lit(MAX_SALTS)).cast("int").alias("_salts"),
-    )
-    hot = F.broadcast(salts)
-    left = many.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
+    hot = heavy_keys(many, key, rows_per_salt) if hot is None else hot
+    if not hot:
+        return many.join(few, key, how)
+    schema = T.StructType([T.StructField("_hot", many.schema[key].dataType), T.StructField("_salts", T.IntegerType())])
+    table = [(k, min(-(-rows // rows_per_salt), MAX_SALTS)) for k, rows in hot]
+    salts = F.broadcast(many.sparkSession.createDataFrame(table, schema))
+    left = many.join(salts, F.col(key) == F.col("_hot"), "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int"), F.lit(0))
     )
-    right = few.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
+    right = few.join(salts, F.col(key) == F.col("_hot"), "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     )
     return left.drop("_hot", "_salts").join(right.drop("_hot", "_salts"), [key, "_salt"], how).drop("_salt")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.operators import classify, metrics
+from caseloom.session import store
 
 MAJORITY = "Majority Baseline"
 TFIDF = "TF-IDF + Logistic Regression"
@@ -19,7 +20,7 @@ def majority_report(train: DataFrame, golden: DataFrame) -> DataFrame:
 
 def tfidf_results(model: PipelineModel, golden: DataFrame) -> dict[str, DataFrame]:
     """All result tables of one fitted model; the predictions are computed once."""
-    predictions = metrics.require_same_count(classify.predict_golden(golden, model).checkpoint(), golden)
+    predictions = metrics.require_same_count(store(classify.predict_golden(golden, model)), golden)
     return {
         "predictions": predictions,
         "report": metrics.classification_report(predictions, TFIDF),

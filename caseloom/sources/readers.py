@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseloom import schemas
+from caseloom.functions.jsonparse import is_object
 
 REPLACEMENT = "�"
 
@@ -64,7 +65,7 @@ def read_sample_messages(spark: SparkSession, path: str) -> DataFrame:
         F.try_variant_get("d", "$.samples", "array<variant>"), F.try_variant_get("d", "$", "array<variant>")
     )
     rows = docs.select("file", F.posexplode(items).alias("position", "item"))
-    is_object = F.schema_of_variant("item").startswith("OBJECT<")
+    is_object = is_object(F.col("item"))
     fields = F.when(is_object, F.col("item"))
     text = F.coalesce(
         F.nullif(F.try_variant_get(fields, "$.message", "string"), F.lit("")),
