@@ -150,7 +150,7 @@ def leakage_report(cases: DataFrame, golden: DataFrame) -> DataFrame:
 def train_validation_split(pool: DataFrame, share: float = 0.15, seed: int = config.DEFAULT.seed) -> DataFrame:
     """Add ``split``; of every label exactly ``ceil(share * size)`` cases go to validation."""
     flagged = skew.smallest_share(pool, "intent", X.seeded_order(seed, *KEY), KEY, share)
-    return flagged.withColumn("split", F.when("picked", F.lit("validation")).otherwise(F.lit("train"))).drop("picked")
+    return flagged.withColumn("split", F.when(F.col("picked"), F.lit("validation")).otherwise(F.lit("train"))).drop("picked")
 
 
 def make_splits(labelled: DataFrame, golden: DataFrame, share: float = 0.15, seed: int = config.DEFAULT.seed) -> DataFrame:

@@ -154,7 +154,7 @@ def length_histogram(df: DataFrame, column: str = "text", bins: int = 50) -> Dat
     width = F.greatest((hi - lo) / F.lit(float(bins)), F.lit(1e-9))
     bin_of = F.least(F.floor((F.col("chars") - lo) / width), F.lit(bins - 1)).alias("bin")
     filled = counts.groupBy(bin_of).agg(F.sum("n").alias("n"))
-    every = edges.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long").alias("bin"))
+    every = edges.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin"))
     return every.join(filled, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -15,7 +15,7 @@ CFG = config.DEFAULT
 
 def list_sql(column, needles):
     whens = ", ".join(f"CASE WHEN contains(lower({column}), {q(n)}) THEN {q(n)} END" for n in needles)
-    return f"list_filter([{whens}], x -> x IS NOT NULL)"
+    return f"list_filter([{whens}], lambda x: x IS NOT NULL)"
 
 
 def joined(names):
@@ -165,7 +165,7 @@ GROUND = f""", g AS (SELECT message_id, n_cases, decision, {B.strip_sql('reply')
     i AS (SELECT *, list_filter([CASE WHEN length(body) < 5 THEN {q(config.ISSUE_EMPTY)} END,
           {issue_sql(config.ISSUE_ACTION, 'actions')}, {issue_sql(config.ISSUE_MONEY, 'money')},
           {issue_sql(config.ISSUE_DATE, 'dates')}, {issue_sql(config.ISSUE_POLICY, 'policies')},
-          CASE WHEN decision <> 'ESCALATE' AND n_cases = 0 THEN {q(config.ISSUE_NO_EVIDENCE)} END], x -> x IS NOT NULL) AS issues FROM m)"""
+          CASE WHEN decision <> 'ESCALATE' AND n_cases = 0 THEN {q(config.ISSUE_NO_EVIDENCE)} END], lambda x: x IS NOT NULL) AS issues FROM m)"""
 
 
 @query(

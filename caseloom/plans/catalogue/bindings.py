@@ -300,8 +300,8 @@ CTES = {
                CASE WHEN length(customer_message) < 15 OR length(customer_message) > 200
                     THEN 'difficult' ELSE 'normal' END AS difficulty,
                'keyword_heuristic' AS label_source, case_id AS source_case_id
-        FROM (SELECT *, {order_sql('customer_tweet_id', 'brand_tweet_id')} AS o FROM pool) p
-        QUALIFY row_number() OVER (PARTITION BY intent ORDER BY o, customer_tweet_id) <= {PER_LABEL}""",
+        FROM (SELECT *, {order_sql('customer_tweet_id', 'brand_tweet_id')} AS o FROM pool
+              QUALIFY row_number() OVER (PARTITION BY intent ORDER BY o, customer_tweet_id) <= {PER_LABEL}) p""",
     "held": "SELECT * FROM pool WHERE case_id NOT IN (SELECT source_case_id FROM golden)",
     "clean_pool": """
         SELECT * FROM held h
