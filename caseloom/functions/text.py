@@ -8,10 +8,9 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space spelled out, so that it means the same in every regex dialect.
-WHITESPACE = (
-    r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
+# Unicode white space spelled out, so that it means the same everywhere.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_RUN = r"(?U)[\s\x1C-\x1F]+"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -25,33 +24,40 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing white space of any kind (``trim`` only removes spaces)."""
-    return F.regexp_replace(F.regexp_replace(_col(c), rf"^{WHITESPACE}+", ""), rf"{WHITESPACE}+\z", "")
+    """Remove leading and trailing white space of any kind (``trim`` alone only removes spaces)."""
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def collapse_whitespace(c: Column | str) -> Column:
     """Squeeze white-space runs to one space, strip, and turn NULL into ''."""
-    return F.coalesce(strip(F.regexp_replace(_col(c), rf"{WHITESPACE}+", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(_col(c), _RUN, " ")), F.lit(""))
 
 
 def is_blank(c: Column | str) -> Column:
     """True for NULL, '' and white space only."""
-    return F.coalesce(~F.rlike(_col(c), F.lit(rf"[^{WHITESPACE[1:]}")), F.lit(True))
+    return F.coalesce(strip(c) == "", F.lit(True))
 
 
 def contains_any(c: Column | str, needles: Iterable[str], word_boundary: bool = False) -> Column:
     """Whether the text, lower-cased, contains any needle."""
-    test = F.lit(False)
-    for needle in needles:
-        test = test | _contains(F.lower(_col(c)), needle, word_boundary)
-    return test
+    def test(low: Column) -> Column:
+        found = F.lit(False)
+        for needle in needles:
+            found = found | _contains(low, needle, word_boundary)
+        return found
+
+    return let(F.lower(_col(c)), test)
 
 
 def matching(c: Column | str, needles: Iterable[str], word_boundary: bool = False) -> Column:
     """The needles contained in the lower-cased text, in needle order."""
-    low = F.lower(F.coalesce(_col(c), F.lit("")))
-    hits = [F.when(_contains(low, n, word_boundary), F.lit(n)) for n in needles]
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    needles = list(needles)
+    if not needles:
+        return F.array().cast("array<string>")
+    return let(
+        F.lower(F.coalesce(_col(c), F.lit(""))),
+        lambda low: F.array_compact(F.array(*[F.when(_contains(low, n, word_boundary), F.lit(n)) for n in needles])),
+    )
 
 
 def _contains(low: Column, needle: str, word_boundary: bool) -> Column:
@@ -73,21 +79,26 @@ def tokens(c: Column | str) -> Column:
 
 def first_label(c: Column | str, rules, default: str, null_label: str | None = None) -> Column:
     """First label, in rule order, having a keyword in the text."""
-    low = F.lower(_col(c))
-    out = F.when(_col(c).isNull(), F.lit(default if null_label is None else null_label))
-    for label, keywords in rules:
-        test = F.lit(False)
-        for k in keywords:
-            test = test | F.contains(low, F.lit(k))
-        out = out.when(test, F.lit(label))
-    return out.otherwise(F.lit(default))
+    def choose(low: Column) -> Column:
+        out = F.when(low.isNull(), F.lit(default if null_label is None else null_label))
+        for label, keywords in rules:
+            test = F.lit(False)
+            for k in keywords:
+                test = test | F.contains(low, F.lit(k))
+            out = out.when(test, F.lit(label))
+        return out.otherwise(F.lit(default))
+
+    return let(F.lower(_col(c)), choose)
 
 
 def parse_when(c: Column | str) -> Column:
     """Timestamp from ``Tue Oct 31 22:10:47 +0000 2017`` or an ISO string; NULL if neither."""
     c = _col(c)
-    weekday_first = F.try_to_timestamp(F.regexp_replace(c, r"^[A-Za-z]{3} ", ""), F.lit("MMM dd HH:mm:ss Z yyyy"))
-    return F.coalesce(weekday_first, F.try_to_timestamp(c))
+    # A format that does not fit costs an exception per row, so the form is looked at first.
+    weekday_first = F.rlike(c, F.lit("^[A-Z][a-z]{2} [A-Z][a-z]{2} "))
+    return F.when(
+        weekday_first, F.try_to_timestamp(F.substring(c, 5, 40), F.lit("MMM dd HH:mm:ss Z yyyy"))
+    ).otherwise(F.try_to_timestamp(c))
 
 
 def minutes_between(later: Column | str, earlier: Column | str) -> Column:

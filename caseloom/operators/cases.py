@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseloom.functions import text as X
 from caseloom.operators import skew
@@ -11,18 +12,24 @@ from caseloom.operators import skew
 CASE_KEY = ["customer_tweet_id", "brand_tweet_id"]
 
 
-def is_inbound(c: str = "inbound") -> Column:
-    """True/False whether the flag was read as a boolean or as text; NULL otherwise."""
-    low = F.lower(F.col(c).cast("string"))
+def is_inbound(tweets: DataFrame) -> Column:
+    """The direction flag as a boolean; a text other than true or false gives NULL.
+
+    A boolean column is used as it is, so that the filter reaches the scan.
+    """
+    flag = F.col("inbound")
+    if isinstance(tweets.schema["inbound"].dataType, T.BooleanType):
+        return flag
+    low = F.lower(flag.cast("string"))
     return F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
 
 
 def customer_messages(tweets: DataFrame) -> DataFrame:
-    return tweets.where(is_inbound())
+    return tweets.where(is_inbound(tweets))
 
 
 def brand_messages(tweets: DataFrame) -> DataFrame:
-    return tweets.where(~is_inbound())
+    return tweets.where(~is_inbound(tweets))
 
 
 def by_author(tweets: DataFrame, author: str) -> DataFrame:

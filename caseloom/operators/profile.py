@@ -65,7 +65,7 @@ def message_quality(tweets: DataFrame, short: int = 2, long: int = 300) -> DataF
         F.coalesce(length < short, F.lit(False)).alias("_short"),
         F.coalesce(length > long, F.lit(False)).alias("_long"),
         F.col("in_response_to_tweet_id").isNull().alias("_no_link"),
-        is_inbound().isNull().alias("_odd_inbound"),
+        is_inbound(tweets).isNull().alias("_odd_inbound"),
     )
     flags = [c for c in flagged.columns if c.startswith("_")]
     groups = flagged.groupBy(*flagged.columns).agg(F.count(F.lit(1)).alias("n"))
@@ -88,7 +88,7 @@ def message_quality(tweets: DataFrame, short: int = 2, long: int = 300) -> DataF
 
 def unexpected_inbound(tweets: DataFrame) -> DataFrame:
     """Rows whose direction flag is neither true nor false."""
-    return tweets.where(is_inbound().isNull())
+    return tweets.where(is_inbound(tweets).isNull())
 
 
 def column_roles(spark: SparkSession, df: DataFrame) -> DataFrame:

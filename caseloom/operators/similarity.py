@@ -140,7 +140,7 @@ def vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     unit = rows.withColumn("norm", norm).withColumn(
         "v", F.transform("v", lambda e: F.struct(e["term"].alias("term"), (e["weight"] / F.col("norm")).alias("weight")))
     )
-    return unit.select("doc_id", F.sha2(F.to_json("v"), 256).alias("vec_key"), "v")
+    return unit.select("doc_id", F.unhex(F.sha2(F.to_json("v"), 256)).alias("vec_key"), "v")
 
 
 # --- index ------------------------------------------------------------------
@@ -205,14 +205,13 @@ def retrieve(
     Queries without a known term get an empty result.
     """
     counts = term_counts(queries, query_id, text, index.stop_words)
-    q_vecs = vectors(counts, index.vocab).select(F.col("doc_id").alias(query_id), F.col("vec_key").alias("q_key"), "v")
-    q_vecs = store(q_vecs)
-    distinct = q_vecs.groupBy("q_key").agg(F.any_value("v").alias("v"))
+    q_vecs = store(vectors(counts, index.vocab).withColumnRenamed("doc_id", query_id))
+    distinct = q_vecs.groupBy("vec_key").agg(F.min(query_id).alias("q_key"), F.any_value("v").alias("v"))
     q_terms = distinct.select("q_key", F.inline("v")).withColumnRenamed("weight", "q_weight")
     hits = store(search(q_terms, index.postings, top_k, pair_limit, broadcast_rows, budgets))
-    answers = _answers(hits, index, top_k, min_similarity)
-    keyed = skew.salted_join(q_vecs.select(query_id, "q_key"), answers, "q_key", F.col(query_id))
-    out = queries.join(keyed.drop("q_key"), query_id, "left")
+    answers = distinct.select("vec_key", "q_key").join(_answers(hits, index, top_k, min_similarity), "q_key").drop("q_key")
+    keyed = skew.salted_join(q_vecs.select(query_id, "vec_key"), answers, "vec_key", F.col(query_id))
+    out = queries.join(keyed.drop("vec_key"), query_id, "left")
     return out.withColumn("retrieval", F.coalesce("retrieval", no_result())).select(*queries.columns, "retrieval")
 
 
