@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 MAX_HEAVY = 1024
 ROWS_PER_SALT = 200_000
 MAX_SALTS = 4096
+MAX_GROUPS = 100_000
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_SALT) -> list:
@@ -108,6 +109,9 @@ def smallest_share(df: DataFrame, group: str, order_hex: Column, ids: list[str],
             F.col(group).alias("_g"), F.col("_bucket").alias("_edge"), (F.col("_want") - F.col("_before")).alias("_left")
         )
     )
+    found = edge.take(MAX_GROUPS + 1)
+    if len(found) <= MAX_GROUPS:
+        edge = F.broadcast(df.sparkSession.createDataFrame(found, edge.schema))
     marked = bucketed.join(edge, F.col(group).eqNullSafe(F.col("_g")), "left")
     inside = marked.where(F.col("_edge").isNull() | (F.col("_bucket") != F.col("_edge"))).withColumn(
         "picked", F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(False))

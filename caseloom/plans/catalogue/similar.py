@@ -72,7 +72,7 @@ def _corpus(spark, sf):
 
 
 def _index(spark, sf):
-    return S.build_index(_corpus(spark, sf), B.STOPS, keep=store)
+    return S.build_index(store(_corpus(spark, sf)), B.STOPS, keep=store)
 
 
 CORPUS = DOCS | B.tfidf_ctes("c", "docs")

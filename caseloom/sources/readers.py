@@ -65,12 +65,11 @@ def read_sample_messages(spark: SparkSession, path: str) -> DataFrame:
         F.try_variant_get("d", "$.samples", "array<variant>"), F.try_variant_get("d", "$", "array<variant>")
     )
     rows = docs.select("file", F.posexplode(items).alias("position", "item"))
-    is_object = is_object(F.col("item"))
-    fields = F.when(is_object, F.col("item"))
+    fields = F.when(is_object(F.col("item")), F.col("item"))
     text = F.coalesce(
         F.nullif(F.try_variant_get(fields, "$.message", "string"), F.lit("")),
         F.nullif(F.try_variant_get(fields, "$.customer_message", "string"), F.lit("")),
-        F.when(~is_object, F.try_variant_get("item", "$", "string")),
+        F.when(fields.isNull(), F.try_variant_get("item", "$", "string")),
         F.lit(""),
     )
     return rows.select("file", "position", text.alias("message"))

@@ -11,7 +11,10 @@ from caseloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, partitions=4)
+    session = local_session(4, partitions=2)
+    # Compiling generated code takes longer than the few test rows.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()
 
