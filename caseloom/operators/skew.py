@@ -93,12 +93,13 @@ def smallest_share(df: DataFrame, group: str, order_hex: Column, ids: list[str],
     """Flag, per group, the exact ``ceil(share * n)`` smallest rows by ``(order_hex, ids)`` as ``picked``.
 
     ``order_hex`` is an evenly spread hex digest.  Its first four digits put the rows
-    of each group into 65,536 buckets.  Counting per bucket tells which buckets lie
-    wholly inside the share; only the rows of the single bucket at the edge are
-    ranked, so no task ever sees a whole group.
+    of each group into 65,536 buckets.  Counting per bucket tells which bucket the
+    share ends in, and ranking that bucket alone gives the last row of the share.  The
+    flag is then one comparison per row: no task ever sees a whole group.
     """
-    bucketed = df.withColumn("_hex", order_hex).withColumn("_bucket", F.conv(F.substring("_hex", 1, 4), 16, 10).cast("int"))
-    counts = bucketed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    bucket = F.conv(F.substring("_hex", 1, 4), 16, 10).cast("int")
+    hashed = df.withColumn("_hex", order_hex)
+    counts = hashed.groupBy(group, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(group)
     edge = (
@@ -109,18 +110,20 @@ def smallest_share(df: DataFrame, group: str, order_hex: Column, ids: list[str],
             F.col(group).alias("_g"), F.col("_bucket").alias("_edge"), (F.col("_want") - F.col("_before")).alias("_left")
         )
     )
-    found = edge.take(MAX_GROUPS + 1)
-    if len(found) <= MAX_GROUPS:
-        edge = F.broadcast(df.sparkSession.createDataFrame(found, edge.schema))
-    marked = bucketed.join(edge, F.col(group).eqNullSafe(F.col("_g")), "left")
-    inside = marked.where(F.col("_edge").isNull() | (F.col("_bucket") != F.col("_edge"))).withColumn(
-        "picked", F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(False))
-    )
-    w = Window.partitionBy(group).orderBy("_hex", *ids)
-    at_edge = marked.where(F.col("_bucket") == F.col("_edge")).withColumn(
-        "picked", F.row_number().over(w) <= F.col("_left")
-    )
-    return inside.unionByName(at_edge).drop("_hex", "_bucket", "_g", "_edge", "_left")
+    key = F.struct("_hex", *ids)
+    same = F.col(group).eqNullSafe(F.col("_g"))
+    at_edge = hashed.join(_per_group(edge), same & (bucket == F.col("_edge"))).select("_g", "_left", key.alias("_last"))
+    ranked = at_edge.withColumn("_nth", F.row_number().over(Window.partitionBy("_g").orderBy("_last")))
+    last = ranked.where(F.col("_nth") == F.col("_left")).select("_g", "_last")
+    marked = hashed.join(_per_group(last), same, "left")
+    picked = F.coalesce(key <= F.col("_last"), F.lit(False))
+    return marked.withColumn("picked", picked).drop("_hex", "_g", "_last")
+
+
+def _per_group(df: DataFrame) -> DataFrame:
+    """A table with one row per group: broadcast if there are at most MAX_GROUPS of them."""
+    found = df.take(MAX_GROUPS + 1)
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)) if len(found) <= MAX_GROUPS else df
 
 
 COPIES_PER_ROW = 1_000_000
