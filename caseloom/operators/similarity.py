@@ -106,6 +106,9 @@ def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=(), clustere
     """``(doc_id, term, tf)``.  All counts of a document end up in one partition, which the
     norm and the vectors use again; ``clustered`` tells that ``docs`` already is laid out so."""
     words = docs.select(F.col(doc_id).alias("doc_id"), F.explode(X.tokens(text)).alias("term"))
+    # Joins on the term filter out NULL; with the filter already here the counts of one
+    # table have one plan, and Spark computes them once.
+    words = words.where(F.col("term").isNotNull())
     if stop_words:
         words = words.where(~F.col("term").isin(list(stop_words)))
     if not clustered:

@@ -241,9 +241,9 @@ def _select_sql(volume, low, high):
                          (SELECT max(r) FROM ranked WHERE r = 6))"""
 
 
-@query("P9_select_brand", B.with_views("tweets", _select_sql(VOLUME, 10, 1000)))
+@query("P9_select_brand", B.with_views("tweets", _select_sql(VOLUME, 2, 1_000_000)))
 def select_brand(spark, sf):
-    return brands.select_brand(_volume(spark, sf), 10, 1000)
+    return brands.select_brand(_volume(spark, sf), 2, 1_000_000)
 
 
 @query("P9_select_fallback", "WITH " + _select_sql(SOURCE_VOLUME, 10**8, 10**9).lstrip(", "))
