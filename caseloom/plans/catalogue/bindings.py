@@ -320,9 +320,9 @@ CTES = {
           FROM documents) d""",
     "pair_counts": "SELECT true_intent AS t, predicted_intent AS p, count(*) AS n FROM scored GROUP BY 1, 2",
     "per_label": """
-        SELECT l.intent, coalesce(sum(n) FILTER (t = l.intent), 0) AS support,
-               coalesce(sum(n) FILTER (p = l.intent), 0) AS predicted,
-               coalesce(sum(n) FILTER (t = l.intent AND p = l.intent), 0) AS tp
+        SELECT l.intent, CAST(coalesce(sum(n) FILTER (t = l.intent), 0) AS BIGINT) AS support,
+               CAST(coalesce(sum(n) FILTER (p = l.intent), 0) AS BIGINT) AS predicted,
+               CAST(coalesce(sum(n) FILTER (t = l.intent AND p = l.intent), 0) AS BIGINT) AS tp
         FROM (SELECT t AS intent FROM pair_counts UNION SELECT p FROM pair_counts) l, pair_counts
         GROUP BY l.intent""",
     "label_metrics": """
@@ -392,7 +392,7 @@ def tfidf_ctes(prefix: str, docs: str, vocab: str | None = None, n: int = 5000)
         out[vocab] = f"""
             SELECT term, frequency, df,
                    ln(((SELECT count(*) FROM {docs}) + 1.0) / (df + 1.0)) + 1.0 AS idf
-            FROM (SELECT term, sum(tf) AS frequency, count(*) AS df FROM {prefix}_counts GROUP BY term) t
+            FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS frequency, count(*) AS df FROM {prefix}_counts GROUP BY term) t
             ORDER BY frequency DESC, term LIMIT {n}"""
     out[f"{prefix}_weights"] = f"""
             SELECT doc_id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS weight

@@ -301,7 +301,7 @@ def subset(spark, sf):
     "A7_message_quality",
     B.with_views(
         "messy",
-        f"""SELECT (SELECT coalesce(sum(n - 1), 0) FROM
+        f"""SELECT (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM
           (SELECT count(*) AS n FROM messy GROUP BY {TWEET_COLS}) g) AS duplicate_rows,
         count(*) FILTER (text IS NULL) AS missing_text,
         count(*) FILTER ({B.WHEN_SQL.format('created_at')} IS NULL) AS invalid_timestamps,
