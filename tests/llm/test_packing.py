@@ -36,6 +36,17 @@ def gapless(rows, capacity):
     return len(at)
 
 
+def first_fit_decreasing(sizes, capacity):
+    gaps = []
+    for s in sorted(sizes, reverse=True):
+        i = next((i for i, g in enumerate(gaps) if g >= s), None)
+        if i is None:
+            gaps.append(capacity - s)
+        else:
+            gaps[i] -= s
+    return len(gaps)
+
+
 DOCS = [
     (1, "one two three"), (2, None), (3, ""), (4, "word " * 3000), (5, "one two three"), (5, "one two three"),
     (None, "no id"), (6, "a b  c\n\n  d \t\r\n e\x1cf <|endoftext|> g 'll don't  "), (7, "  \n x" * 50), (8, "éèß漢字 " * 40),
@@ -75,16 +86,7 @@ def test_plan_is_whole_and_tight(seed):
         for s, t in held:
             used[s] += n * t
     assert used == counts
-    # no more than first-fit decreasing takes
-    gaps = []
-    for s in sorted(sizes, reverse=True):
-        for i, g in enumerate(gaps):
-            if g >= s:
-                gaps[i] -= s
-                break
-        else:
-            gaps.append(capacity - s)
-    assert sum(n for n, _ in kinds) <= len(gaps) + 1
+    assert sum(n for n, _ in kinds) <= first_fit_decreasing(sizes, capacity) + 1
 
 
 def test_hot_length(spark):
@@ -92,4 +94,4 @@ def test_hot_length(spark):
     rows = packing.packed(df, PATH, 16, 2, keep_ids=False).collect()
     assert len(rows) == 5000
     n = gapless(rows, 16)
-    assert n <= -(-sum(r.length for r in rows) // 16) + 1
+    assert n <= first_fit_decreasing([r.length for r in rows], 16)
