@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 BATCH_BYTES = 8 << 20
 
@@ -20,7 +21,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYT
             yield batch.slice(lo, step)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str, column: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str | StructType, column: str) -> DataFrame:
     """``mapInArrow`` in slices of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,6 +35,23 @@ def as_batches(made: pa.RecordBatch | pa.Table) -> list[pa.RecordBatch]:
     return made.to_batches() if isinstance(made, pa.Table) else [made]
 
 
+def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], added: str, column: str, keep_text: bool = True) -> DataFrame:
+    """``df`` with the columns ``fn`` makes of each batch, in place of any of the same names.
+
+    Without ``keep_text``, ``column`` itself is not handed back.
+    """
+    new = _parse_datatype_string(added)
+    rest = df.drop(*new.names)
+    kept = [c for c in rest.columns if keep_text or c != column]
+    schema = StructType([rest.schema[c] for c in kept] + new.fields)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        arrays = [batch.column(c) for c in kept] + fn(batch)
+        return pa.RecordBatch.from_arrays(arrays, kept + new.names)
+
+    return map_batches(rest, run, schema, column)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the key and the text, under the names the operators use."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

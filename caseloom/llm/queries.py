@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import packing, simhash, token_shards
+from caseloom.llm import language, packing, simhash, substring, token_shards, toxicity
+from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,32 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return token_shards.round_trip(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op2_relative_parsing")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the passages of 50 words that smaller documents have."""
+    return substring.remove_repeats(table(spark, sf, "documents"), window=50, keep_text=False)
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels of three quarters of them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = crc_of_id(F.col("doc_id")) % 4 == 2
+    labels = table(spark, sf, "labels").select("doc_id", "toxic").where(~held_out)
+    rated = toxicity.score(docs, toxicity.fit(docs, labels), threshold=0.3, keep_text=False)
+    return rated.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op5_language_kernel")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document, learnt from two thirds of them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = crc_of_id(F.col("doc_id")) % 3 == 1
+    model = language.fit(docs.where(~held_out))
+    told = language.predict(docs.select("doc_id", "text"), model, keep_text=False)
+    return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_simhash_ball")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
