@@ -8,11 +8,66 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from caseloom.llm import language, packing, simhash, substring, toxicity
+from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
 
-STAGES: list = []
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without a letter go.
+
+    Learns from two thirds of the documents that have a language.
+    """
+    model = language.fit(docs.where(crc_of_id(F.col("doc_id")) % 3 != 1))
+    return language.predict(docs, model).where(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic; learns from the labels of three quarters of them."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(crc_of_id(F.col("doc_id")) % 4 != 2)
+    rated = toxicity.score(docs, toxicity.fit(docs, labels), threshold=0.3, score_col="_score", name="_toxic")
+    return rated.where("_toxic = 0").select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies, on shingles of five words.
+
+    Of rows that share that id one stays; rows without an id are no documents and go.
+    """
+    groups = simhash.near_duplicates(docs, shingle=5, radius=4)
+    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
+    return rows.dropDuplicates(["doc_id"])
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 words that documents with smaller ids have; emptied ones go.
+
+    A text that loses words has its kept words joined by one space; n_chars follows.
+    """
+    left = substring.remove_repeats(docs, window=50).where("n_removed < n_words OR n_words = 0")
+    texts = left.select("doc_id", F.col("text").alias("_text"), "n_removed")
+    joined = docs.drop("text").join(texts, "doc_id")
+    n_chars = F.when(F.col("n_removed") > 0, F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return joined.withColumn("text", F.col("_text")).withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in sequences of 1024 tokens."""
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, end_id=2, keep_ids=False)
+
+
+STAGES = [
+    ("language", language_id),
+    ("toxicity", without_toxic),
+    ("near_duplicates", one_of_near_copies),
+    ("repeated_passages", without_repeats),
+    ("packing", packed_sequences),
+]
 #: Trained models and whole-text fingerprints are beyond SQL; tests compare with plain Python.
 ORACLE_SQL = None
 
