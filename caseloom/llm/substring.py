@@ -20,14 +20,14 @@ there either equals this one or is one of those whose windows are compared.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.batches import slices, texts
+from caseloom.llm.batches import slices
 from caseloom.session import store
 
 RUN = 10
@@ -160,18 +160,18 @@ def settled(cut: DataFrame) -> DataFrame:
     return met.select("doc_id", "anchor", "block", (F.col("owner") < F.col("doc_id")).alias("found"))
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Removes every word in a window that a document with a smaller id has too, judged on the input.
 
     One row per row of ``docs``: ``doc_id, n_words, n_removed, kept_sha256`` (of the kept words
     joined by one space) and, if wanted, ``text``: the kept words where some were removed, else
-    the text as it was.  Null texts have no words.  Rows without an id lose nothing and take
+    the text as it was, and the columns ``carry`` of ``docs`` in a struct ``rest``.  Null texts have no words.  Rows without an id lose nothing and take
     nothing from others; rows with the same id lose what smaller ids have, not each other's.
     Hashes of 64 bits stand for windows, of 128 for blocks.
     """
-    rows = texts(docs, id_col, text_col)
-    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
-    met = settled(store(blocks(rows, window)))
+    rest = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("int")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), rest.alias("rest"))
+    met = settled(store(blocks(rows.select("doc_id", "text"), window)))
     marks = met.groupBy("doc_id").agg(
         F.collect_set(F.when(F.col("found"), F.struct("anchor", "block"))).alias("found"),
         F.collect_set(F.when(~F.col("found"), F.struct("anchor", "block"))).alias("open"),
@@ -180,9 +180,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     bounds = parsed.where("size(hashes) > 0").select("doc_id", F.explode("hashes").alias("hash"))
     owners = bounds.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("top")).where("owner < top")
     hits = bounds.join(owners, "hash").where("owner < doc_id").groupBy("doc_id").agg(F.collect_set("hash").alias("hit"))
-    whole = parsed.where("size(hashes) = 0").select("doc_id", "n_words", "n_removed", "kept_sha256", "text")
+    whole = parsed.where("size(hashes) = 0").select("doc_id", "n_words", "n_removed", "kept_sha256", "text", "rest")
     last = _finish(parsed.where("size(hashes) > 0").join(hits, "doc_id", "left"), window)
-    done = whole.union(last)
+    done = whole.union(last).drop(*[] if carry else ["rest"])
     return done if keep_text else done.drop("text")
 
 
@@ -210,41 +210,44 @@ _FIELDS = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int
 _SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, text string"
 
 
+def _map_rows(rows: DataFrame, fn: Callable[[dict], dict], fields: list, schema: str) -> DataFrame:
+    """One row of ``fields`` for each row, ``rest`` handed through as it is."""
+    shape = pa.schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            rest = batch.column("rest")
+            plain = batch.drop_columns(["rest"])
+            made = pa.RecordBatch.from_pylist([fn(row) for row in plain.to_pylist()], shape)
+            yield made.append_column("rest", rest)
+
+    return rows.mapInArrow(run, f"{schema}, rest {rows.schema['rest'].dataType.simpleString()}")
+
+
 def _parse(rows: DataFrame, window: int) -> DataFrame:
     """Factors of every document; those with boundaries keep their text, covered windows and boundary hashes."""
-    runs = pa.list_(pa.int32())
-    schema = pa.schema([*_FIELDS, ("covered", runs), ("hashes", pa.list_(pa.int64()))])
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            out = []
-            for row in batch.to_pylist():
-                p = Parsed(row["text"], window)
-                covered = _of_blocks(p, _pairs(row["found"]))
-                edge = _of_blocks(p, _pairs(row["open"]))
-                base = {"doc_id": row["doc_id"], "covered": [], "hashes": []}
-                if len(edge):
-                    out.append(base | {"text": row["text"], "covered": covered, "hashes": np.unique(p.window_hashes(edge))})
-                else:
-                    out.append(base | _result(p, row["text"], p.covered(covered) if p.n else np.zeros(0, bool)))
-            yield pa.RecordBatch.from_pylist(out, schema)
+    def parse(row: dict) -> dict:
+        p = Parsed(row["text"], window)
+        covered = _of_blocks(p, _pairs(row["found"]))
+        edge = _of_blocks(p, _pairs(row["open"]))
+        base = {"doc_id": row["doc_id"], "covered": [], "hashes": []}
+        if len(edge):
+            return base | {"text": row["text"], "covered": covered, "hashes": np.unique(p.window_hashes(edge))}
+        return base | _result(p, row["text"], p.covered(covered) if p.n else np.zeros(0, bool))
 
-    return rows.mapInArrow(parse, _SCHEMA + ", covered array<int>, hashes array<long>")
+    fields = [*_FIELDS, ("covered", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))]
+    return _map_rows(rows, parse, fields, _SCHEMA + ", covered array<int>, hashes array<long>")
 
 
 def _finish(rows: DataFrame, window: int) -> DataFrame:
     """Results of the documents with boundaries, their windows that were hit known."""
-    schema = pa.schema(_FIELDS)
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            out = []
-            for row in batch.to_pylist():
-                p = Parsed(row["text"], window)
-                hit = np.array(row["hit"] or [], np.int64)
-                edge = np.flatnonzero(np.isin(p.window_hashes(np.arange(p.windows)), hit)) if len(hit) else hit
-                gone = p.covered(np.concatenate([np.array(row["covered"] or [], np.int64), edge]))
-                out.append({"doc_id": row["doc_id"]} | _result(p, row["text"], gone))
-            yield pa.RecordBatch.from_pylist(out, schema)
-
-    return rows.select("doc_id", "text", "covered", "hit").mapInArrow(finish, _SCHEMA)
+    def finish(row: dict) -> dict:
+        p = Parsed(row["text"], window)
+        hit = np.array(row["hit"] or [], np.int64)
+        edge = np.flatnonzero(np.isin(p.window_hashes(np.arange(p.windows)), hit)) if len(hit) else hit
+        gone = p.covered(np.concatenate([np.array(row["covered"] or [], np.int64), edge]))
+        return {"doc_id": row["doc_id"]} | _result(p, row["text"], gone)
+
+    return _map_rows(rows.select("doc_id", "text", "covered", "hit", "rest"), finish, _FIELDS, _SCHEMA)

@@ -49,11 +49,12 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A text that loses words has its kept words joined by one space; n_chars follows.
     """
-    left = substring.remove_repeats(docs, window=50).where("n_removed < n_words OR n_words = 0")
-    texts = left.select("doc_id", F.col("text").alias("_text"), "n_removed")
-    joined = docs.drop("text").join(texts, "doc_id")
-    n_chars = F.when(F.col("n_removed") > 0, F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return joined.withColumn("text", F.col("_text")).withColumn("n_chars", n_chars).select(*docs.columns)
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    left = substring.remove_repeats(docs, window=50, carry=rest).where("n_removed < n_words OR n_words = 0")
+    shown = F.length("text").cast(docs.schema["n_chars"].dataType)
+    own = {c: F.col(f"rest.{c}") for c in rest} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    own["n_chars"] = F.when(F.col("n_removed") > 0, shown).otherwise(own["n_chars"])
+    return left.select(*[own[c].alias(c) for c in docs.columns])
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
