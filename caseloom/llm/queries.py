@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import language, packing, simhash, substring, token_shards, toxicity
+from caseloom.llm import language, merges, packing, perspectives, simhash, spotsigs, substring, token_shards, topk, toxicity
 from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
 
@@ -47,6 +47,26 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf, "documents"), window=50, keep_text=False)
 
 
+@query(
+    "op3_sorted_list_topk",
+    """
+    WITH vec AS (
+      SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x FROM embeddings
+      WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), pairs AS (
+      SELECT q.vec_id AS query_id, v.vec_id,
+             CAST(coalesce(list_sum([q.x[i] * v.x[i] FOR i IN generate_series(1, len(q.x))]), 0) AS BIGINT) AS score
+      FROM vec q JOIN vec v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id AND len(q.x) = len(v.x)
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+    """,
+)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 best of all vectors for every vector whose id is divisible by 20."""
+    return topk.nearest(table(spark, sf, "embeddings"), every=20, k=20)
+
+
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels of three quarters of them."""
@@ -67,6 +87,12 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query("op6_spot_signatures")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document and of its text after an edit, and how alike they are."""
+    return spotsigs.edited_fingerprints(table(spark, sf, "documents"))
+
+
 @query("op7_simhash_ball")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -78,3 +104,37 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     """Where every piece of every document lies in sequences of 1024 tokens."""
     docs = table(spark, sf, "documents")
     return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, end_id=2, keep_ids=False)
+
+
+@query(
+    "op9_perspective_rotation",
+    """
+    WITH turns AS (
+      SELECT conv_id, CAST(coalesce(floor(turn / 256), 0) AS BIGINT) AS part, turn,
+             replace(coalesce(role, 'unknown'), '<|', '<||') AS who, replace(coalesce(text, ''), '<|', '<||') AS said
+      FROM conversations WHERE conv_id IS NOT NULL
+    ), pieces AS (
+      SELECT t.conv_id, s.speaker, t.part, t.who = s.speaker AS own,
+             '<|' || CASE WHEN t.who = s.speaker THEN 'assistant' WHEN t.who = 'system' THEN t.who ELSE 'user ' || t.who END || '|>' || chr(10) AS head,
+             t.said || '<|end|>' AS body,
+             row_number() OVER (PARTITION BY t.conv_id, s.speaker, t.part ORDER BY t.turn NULLS FIRST, t.who, t.said) AS i
+      FROM turns t JOIN (SELECT DISTINCT conv_id, who AS speaker FROM turns WHERE who <> 'system') s ON t.conv_id = s.conv_id
+    ), placed AS (
+      SELECT *, CAST(coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, part ORDER BY i
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS BIGINT) AS lo
+      FROM pieces
+    )
+    SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY i) AS text,
+           coalesce(string_agg(lo || ':' || (lo + length(body)), ',' ORDER BY i) FILTER (WHERE own), '') AS mask
+    FROM placed GROUP BY conv_id, speaker, part
+    """,
+)
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation once for each participant, who speaks as the assistant."""
+    return perspectives.rotate(table(spark, sf, "conversations"))
+
+
+@query("op10_merge_dropout")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's pieces under seeded merge-dropout, and whether they give its text again."""
+    return merges.round_trip(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), rate=0.1, seed=20, variants=8)
