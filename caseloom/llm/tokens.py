@@ -15,14 +15,33 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
+#: Runs of spaces with the word that follows.
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: Where a text has more than one space or line end between words, or other spaces.
+RUNS = re.compile(r"[ \n][ \n\t\r]|[\t\r\x00]|\A[ \n]|[ \n]\Z|\A\Z")
 #: Characters that some definition calls a space and PIECE does not.
-UNUSUAL = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")
-PLAIN = re.compile(r" \S+\Z")
-KEPT_PIECES = 300_000
+CONTROLS = "\x0b\x0c\x1c\x1d\x1e\x1f"
+UNUSUAL = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]")
+KEPT_PIECES = 1_200_000  # of some 250 bytes each
 JOINED_CHARS = 1 << 17
 
 
+def _unusual(text: str) -> bool:
+    return any(c in text for c in CONTROLS) if text.isascii() else bool(UNUSUAL.search(text))
+
+
+def _pieces(text: str) -> list[str]:
+    """The text cut before each run of spaces, by names: of a piece ``" word"`` it is the word,
+    of one that begins with a line end the piece itself, of any other the piece after a NUL."""
+    if RUNS.search(text):
+        return [p[1:] if p[0] == " " and p[1:2] not in ("", *" \n\t\r\0") else "\0" + p for p in PIECE.findall(text)]
+    return ("\0" + text.replace("\n", " \n")).split(" ")
+
+
+def _piece(name: str) -> str:
+    return name[1:] if name[0] == "\0" else name if name[0] == "\n" else " " + name
+
+
 class Encoder:
     """Encodes texts to little-endian ids of ``dtype``; one per worker process."""
 
@@ -38,49 +57,58 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        rest, chunk, chars = [], [], 0
-        for p in pieces:
-            if not PLAIN.match(p):
-                rest.append(p)
-                continue
-            chunk.append(p)
-            chars += len(p)
-            if chars > JOINED_CHARS:
-                self._joined(chunk)
-                chunk, chars = [], 0
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, names: list[str]) -> None:
+        alone = [n for n in names if n[0] == "\0"]
+        self.known.update(zip(alone, self._whole([n[1:] for n in alone])))
+        chunk, chars = [], 0
+        for n in names:
+            if n[0] != "\0":
+                chunk.append(n)
+                chars += len(n)
+                if chars > JOINED_CHARS:
+                    self._joined(chunk)
+                    chunk, chars = [], 0
         self._joined(chunk)
-        self.known.update(zip(rest, self._whole(rest)))
 
-    def _joined(self, chunk: list[str]) -> None:
-        if not chunk:
+    def _joined(self, names: list[str]) -> None:
+        """Learns pieces that each begin with a space, in one call."""
+        if not names:
             return
-        ids = np.frombuffer(self._whole(["".join(chunk)])[0], self.dtype)
+        pieces = list(map(_piece, names))
+        ids = np.frombuffer(self._whole(["".join(pieces)])[0], self.dtype)
         ends = np.cumsum(self.widths[ids])
-        cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) for p in chunk]), side="left") + 1
-        raw, step, at = ids.tobytes(), self.dtype.itemsize, 0
-        for p, cut in zip(chunk, cuts.tolist()):
-            self.known[p] = raw[at : cut * step]
-            at = cut * step
+        cuts = (np.searchsorted(ends, np.cumsum([len(p.encode()) for p in pieces])) + 1) * self.dtype.itemsize
+        raw, at = ids.tobytes(), 0
+        for n, cut in zip(names, cuts.tolist()):
+            self.known[n] = raw[at:cut]
+            at = cut
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, None counting as empty."""
         plain = [t or "" for t in texts]
         if not self.by_piece:
             return self._whole(plain)
-        whole = [i for i, t in enumerate(plain) if UNUSUAL.search(t) or any(s in t for s in self.special)]
+        whole = [i for i, t in enumerate(plain) if _unusual(t) or any(s in t for s in self.special)]
         odd = set(whole)
-        pieces = [[] if i in odd else PIECE.findall(t) for i, t in enumerate(plain)]
-        new = set().union(*pieces) - self.known.keys()
-        if new:
+        get, out = self.known.get, [b""] * len(plain)
+        missed = {}
+        for i, t in enumerate(plain):
+            if i not in odd:
+                parts = _pieces(t)
+                ids = list(map(get, parts))
+                if None in ids:
+                    missed[i] = (parts, ids)
+                else:
+                    out[i] = b"".join(ids)
+        if missed:
+            new = {p for parts, ids in missed.values() for p, x in zip(parts, ids) if x is None}
+            self._learn(list(new))
+            for i, (parts, ids) in missed.items():
+                out[i] = b"".join([get(p) if x is None else x for p, x in zip(parts, ids)])
             if len(self.known) > KEPT_PIECES:
                 self.known.clear()
-                new = set().union(*pieces)
-            self._learn(list(new))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, p)) for p in pieces]
         for i, ids in zip(whole, self._whole([plain[i] for i in whole]) if whole else []):
             out[i] = ids
         return out
