@@ -79,16 +79,18 @@ def tokens(c: Column | str) -> Column:
 
 def first_label(c: Column | str, rules, default: str, null_label: str | None = None) -> Column:
     """First label, in rule order, having a keyword in the text."""
-    def choose(low: Column) -> Column:
-        out = F.when(low.isNull(), F.lit(default if null_label is None else null_label))
-        for label, keywords in rules:
-            test = F.lit(False)
-            for k in keywords:
-                test = test | F.contains(low, F.lit(k))
-            out = out.when(test, F.lit(label))
-        return out.otherwise(F.lit(default))
-
-    return let(F.lower(_col(c)), choose)
+    return let(F.lower(_col(c)), lambda low: first_label_of(low, rules, default, null_label))
+
+
+def first_label_of(low: Column, rules, default: str, null_label: str | None = None) -> Column:
+    """The same for a text that is lower-cased already."""
+    out = F.when(low.isNull(), F.lit(default if null_label is None else null_label))
+    for label, keywords in rules:
+        test = F.lit(False)
+        for k in keywords:
+            test = test | F.contains(low, F.lit(k))
+        out = out.when(test, F.lit(label))
+    return out.otherwise(F.lit(default))
 
 
 def parse_when(c: Column | str) -> Column:

@@ -45,23 +45,18 @@ def distinct_entities(tweets: DataFrame, approximate: bool = False) -> DataFrame
     return brands.unionByName(customers)
 
 
-def select_brand(replies: DataFrame, low: int, high: int, among: int = 20, fallback_rank: int = 6) -> DataFrame:
-    """Most active brand with ``low..high`` replies among the top ``among``, else the one at ``fallback_rank``."""
-    ranked = top_brands(replies, among).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("replies")).alias("k"), "brand", "replies"))).alias("ranked")
-    )
-    fitting = F.filter("ranked", lambda b: b["replies"].between(low, high))
-    choice = F.coalesce(F.get(fitting, F.lit(0)), F.get("ranked", F.lit(fallback_rank - 1)))
-    picked = ranked.select(choice.alias("b")).where("b IS NOT NULL")
-    return brand_profile(picked.select(F.col("b.brand").alias("brand"), F.col("b.replies").alias("replies")))
+def select_brand(replies: DataFrame, low: int, high: int, fallback_rank: int = 6) -> DataFrame:
+    """Most active brand with ``low..high`` replies, else the one at ``fallback_rank``; no row if there is neither."""
+    fitting = top_brands(replies.where(F.col("replies").between(low, high)), 1).withColumn("_choice", F.lit(0))
+    fallback = replies.orderBy(F.desc("replies"), "brand").offset(fallback_rank - 1).limit(1).withColumn("_choice", F.lit(1))
+    return brand_profile(fitting.unionByName(fallback).orderBy("_choice").limit(1))
 
 
 def replies_to_brand(tweets: DataFrame, brand: str) -> DataFrame:
     """Messages that answer a message of the brand."""
     ids = tweets.where(F.col("author_id") == brand).select(F.col("tweet_id").alias("in_response_to_tweet_id")).distinct()
     linked = tweets.where(F.col("in_response_to_tweet_id").isNotNull())
-    joined = skew.salted_join(linked, ids, "in_response_to_tweet_id", F.col("tweet_id"), "left_semi")
-    return joined.select(*tweets.columns)
+    return linked.join(ids, "in_response_to_tweet_id", "left_semi").select(*tweets.columns)
 
 
 def answered_by_brand(tweets: DataFrame, brand: str) -> DataFrame:
@@ -72,8 +67,16 @@ def answered_by_brand(tweets: DataFrame, brand: str) -> DataFrame:
 
 
 def brand_subset(tweets: DataFrame, brand: str) -> DataFrame:
-    """The brand's messages, replies to them and messages it answered, once per id."""
-    parts = [tweets.where(F.col("author_id") == brand), replies_to_brand(tweets, brand), answered_by_brand(tweets, brand)]
-    tagged = [p.select(*tweets.columns, F.lit(i).alias("_part")) for i, p in enumerate(parts)]
-    union = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
-    return skew.first_per_key(union, ["tweet_id"], [F.col("_part")]).drop("_part")
+    """The brand's messages, replies to them and messages it answered, once per id.
+
+    The brand's own messages are reduced to two lists of ids; the table itself is read once
+    more and flagged by them.
+    """
+    own = tweets.where(F.col("author_id") == brand)
+    asked = own.select(F.col("tweet_id").alias("_of")).where(F.col("_of").isNotNull()).distinct()
+    answered = own.select(F.col("in_response_to_tweet_id").alias("_id")).where(F.col("_id").isNotNull()).distinct()
+    flagged = tweets.join(asked, F.col("in_response_to_tweet_id") == F.col("_of"), "left")
+    flagged = flagged.join(answered, F.col("tweet_id") == F.col("_id"), "left")
+    part = F.when(F.col("author_id") == brand, 0).when(F.col("_of").isNotNull(), 1).when(F.col("_id").isNotNull(), 2)
+    tagged = flagged.select(*tweets.columns, part.alias("_part")).where("_part IS NOT NULL")
+    return skew.first_per_key(tagged, ["tweet_id"], [F.col("_part")]).drop("_part")

@@ -36,7 +36,7 @@ def by_author(tweets: DataFrame, author: str) -> DataFrame:
     return tweets.where(F.col("author_id") == F.lit(author))
 
 
-def pair_messages(tweets: DataFrame, rows_per_salt: int = skew.ROWS_PER_SALT) -> DataFrame:
+def pair_messages(tweets: DataFrame) -> DataFrame:
     """Customer message with each brand reply to it (one to many)."""
     customers = customer_messages(tweets).select(
         F.col("tweet_id").alias("customer_tweet_id"),
@@ -51,7 +51,7 @@ def pair_messages(tweets: DataFrame, rows_per_salt: int = skew.ROWS_PER_SALT) ->
         F.col("text").alias("brand_reply"),
         F.col("created_at").alias("brand_created_at"),
     )
-    return skew.salted_join(brands, customers, "customer_tweet_id", F.col("brand_tweet_id"), rows_per_salt=rows_per_salt)
+    return brands.join(customers, "customer_tweet_id")
 
 
 def add_latency(pairs: DataFrame) -> DataFrame:
@@ -86,8 +86,8 @@ def to_cases(pairs: DataFrame) -> DataFrame:
     )
 
 
-def build_cases(tweets: DataFrame, rows_per_salt: int = skew.ROWS_PER_SALT) -> DataFrame:
-    return to_cases(add_latency(pair_messages(tweets, rows_per_salt)))
+def build_cases(tweets: DataFrame) -> DataFrame:
+    return to_cases(add_latency(pair_messages(tweets)))
 
 
 def flag_missing(cases: DataFrame) -> DataFrame:

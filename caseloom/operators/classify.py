@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     IDF,
     IndexToString,
@@ -51,7 +51,9 @@ def fit_classifier(
         stops = list(default_stop_words() if stop_words is None else stop_words)
         remover = StopWordsRemover(inputCol="_words", outputCol="_kept", stopWords=stops)
         kept = remover.transform(tokenizer.transform(rows))
-        counter = CountVectorizer(inputCol="_kept", outputCol="_tf", vocabSize=cfg.max_features).fit(kept)
+        terms = kept.select(F.explode("_kept").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        top = terms.orderBy(F.desc("n"), "term").limit(cfg.max_features).collect()  # ties at the cut go by term
+        counter = CountVectorizerModel.from_vocabulary([r["term"] for r in top] or [""], inputCol="_kept", outputCol="_tf")
         counted = counter.transform(kept)
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf
         weigh = ElementwiseProduct(

@@ -29,8 +29,7 @@ def difficulty(c: str = "customer_message", short: int = 15, long: int = 200) ->
 def stratified_sample(labelled: DataFrame, n: int = 30, seed: int = config.DEFAULT.seed) -> DataFrame:
     """``min(n, size)`` cases of every label, chosen by a seeded hash of the case key."""
     order = [X.seeded_order(seed, *KEY), *map(F.col, KEY)]
-    spread = F.struct(*KEY) if n > 1000 else None
-    return skew.top_n_per_group(labelled, ["intent"], order, n, spread=spread)
+    return skew.top_n_per_group(labelled, ["intent"], order, n, spread=F.struct(*KEY))
 
 
 def golden_columns(sample: DataFrame) -> DataFrame:

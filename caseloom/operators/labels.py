@@ -9,8 +9,6 @@ from caseloom import config
 from caseloom.functions import text as X
 from caseloom.operators import skew
 
-MAX_RULES = 10_000
-
 
 def label_messages(
     df: DataFrame,
@@ -19,22 +17,28 @@ def label_messages(
     default: str = config.DEFAULT_INTENT,
     null_label: str | None = None,
 ) -> DataFrame:
-    """Add ``intent``: the first rule, in order, with a keyword inside the lower-cased message."""
-    return df.withColumn("intent", X.first_label(column, rules, default, null_label))
+    """Add ``intent``: the first rule, in order, with a keyword inside the lower-cased message.
 
+    The lower-cased message is a column of its own, so that it is made once and the rules
+    are compiled conditions on it.
+    """
+    low = df.withColumn("_low", F.lower(F.col(column)))
+    return low.withColumn("intent", X.first_label_of(F.col("_low"), rules, default, null_label)).drop("_low")
 
-def rules_from_table(rules: DataFrame, limit: int = MAX_RULES) -> tuple:
-    """Ordered rules from ``(priority, label, keyword)`` rows.
 
-    Rules become literals in the plan, so their number is checked first.
-    """
-    rows = rules.select("priority", "label", "keyword").orderBy("priority", "keyword").take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} keyword rules")
-    out: dict = {}
-    for r in rows:
-        out.setdefault((r["priority"], r["label"]), []).append(r["keyword"])
-    return tuple((label, tuple(words)) for (_, label), words in out.items())
+def rules_from_table(rules: DataFrame) -> DataFrame:
+    """One row with the ordered ``rules`` of ``(priority, label, keyword)`` rows as an array."""
+    rule = F.struct("priority", "keyword", "label")
+    return rules.where(F.col("keyword").isNotNull()).agg(F.array_sort(F.collect_list(rule)).alias("rules"))
+
+
+def label_by_table(
+    df: DataFrame, rules: DataFrame, column: str = "customer_message", default: str = config.DEFAULT_INTENT
+) -> DataFrame:
+    """Add ``intent`` by rules from a table, however many: that of the first rule with a keyword inside the message."""
+    scratch = df.withColumn("_low", F.lower(F.col(column))).withColumn("_rules", rules_from_table(rules).scalar())
+    first = F.filter("_rules", lambda r: F.coalesce(F.contains(F.col("_low"), r["keyword"]), F.lit(False)))
+    return scratch.withColumn("intent", F.coalesce(F.get(first, F.lit(0))["label"], F.lit(default))).drop("_low", "_rules")
 
 
 def keyword_hits(df: DataFrame, rules, column: str = "customer_message") -> DataFrame:

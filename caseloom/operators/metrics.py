@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from caseloom import config
 
-MAX_LABELS = 10_000
 SCALARS = ("accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1")
 
 
@@ -103,23 +102,24 @@ def compare_models(reports: list[DataFrame]) -> DataFrame:
     return union.where("label = ''").groupBy("model").pivot("metric", list(SCALARS)).agg(F.first("value"))
 
 
-def distinct_labels(df: DataFrame, column: str, limit: int = MAX_LABELS) -> list[str]:
-    """Sorted labels as plan constants; their number is checked first."""
-    rows = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} labels")
-    return [r[0] for r in rows]
-
-
 def confusion_matrix(predictions: DataFrame, labels: list[str] | None = None) -> DataFrame:
-    """True labels by predicted labels, zero-filled."""
-    labels = labels or distinct_labels(predictions, "true_intent")
-    counts = pair_counts(predictions).where(F.col("true_intent").isin(labels))
+    """True labels by predicted labels, zero-filled.
+
+    Without ``labels`` in long form, ``true_intent, predicted_intent, n`` for every pair of
+    labels that occur as true ones; with them as one row per label and one column per label.
+    """
+    counts = pair_counts(predictions)
+    if labels is None:
+        every = counts.where(F.col("true_intent").isNotNull()).select("true_intent").distinct()
+        axis = every.agg(F.array_sort(F.collect_list("true_intent"))).scalar()
+        cells = every.withColumn("predicted_intent", F.explode(axis))
+        found = cells.join(counts, ["true_intent", "predicted_intent"], "left")
+        return found.select("true_intent", "predicted_intent", F.coalesce("n", F.lit(0)).alias("n"))
     cells = [
         F.coalesce(F.sum(F.when(F.col("predicted_intent") == label, F.col("n"))), F.lit(0)).alias(label) for label in labels
     ]
     every = predictions.sparkSession.createDataFrame([(x,) for x in labels], "true_intent string")
-    wide = every.join(counts.groupBy("true_intent").agg(*cells), "true_intent", "left")
+    wide = every.join(counts.where(F.col("true_intent").isin(labels)).groupBy("true_intent").agg(*cells), "true_intent", "left")
     return wide.na.fill(0, subset=labels)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,19 +124,20 @@ def length_counts(df: DataFrame, column: str = "text") -> DataFrame:
 
 def length_statistics(df: DataFrame, column: str = "text") -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum of text length."""
-    n, x = F.col("n"), F.col("chars")
+    n, x = F.col("n").cast("decimal(38,0)"), F.col("chars")
     summed = length_counts(df, column).agg(
         F.sum("n").alias("n"),
         F.sum(n * x).alias("s"),
-        F.sum((n * x * x).cast("decimal(38,0)")).alias("q"),
+        F.sum(n * x * x).alias("q"),
         F.min("chars").alias("min_chars"),
         F.expr("percentile(chars, array(0.25, 0.5, 0.75), n)").alias("p"),
         F.max("chars").alias("max_chars"),
     )
-    centred = F.col("q").cast("double") - F.col("s").cast("double") * F.col("s") / F.col("n")
+    s, q = F.col("s").cast("double"), F.col("q").cast("double")
+    centred = q - s * s / F.col("n")
     return summed.select(
         F.col("n").alias("n_texts"),
-        (F.col("s") / F.col("n")).alias("mean_chars"),
+        (s / F.col("n")).alias("mean_chars"),
         F.when(F.col("n") > 1, F.sqrt(F.greatest(centred, F.lit(0.0)) / (F.col("n") - 1))).alias("std_chars"),
         "min_chars",
         F.get("p", F.lit(0)).alias("p25"),
@@ -161,5 +162,4 @@ def length_histogram(df: DataFrame, column: str = "text", bins: int = 50) -> Dat
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows and percentage per value."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    return counts.withColumn("percentage", F.col("n") * F.lit(100.0) / total)
+    return counts.withColumn("percentage", F.col("n") * F.lit(100.0) / F.sum("n").over(Window.partitionBy(F.lit(0))))

@@ -34,7 +34,8 @@ State no amount, date, policy, discount or order status that the cases do not sh
 never say that something was already done. With weak evidence or an escalation, hand over
 or ask for details. Be short and polite, and return the reply alone."""
 
-ReplyBatch = Callable[[list[str]], Iterable[str]]
+#: Takes prompts and gives as many replies; an exception in place of a reply is that prompt's error.
+ReplyBatch = Callable[[list[str]], Iterable["str | Exception"]]
 
 
 def render(template: str, slots: dict[str, Column]) -> Column:
@@ -109,10 +110,10 @@ def safe_reply(escalation: Column) -> Column:
 
 
 def call_provider(df: DataFrame, prompt: str, provider: ReplyBatch, out: str = "generated") -> DataFrame:
-    """Add ``struct<raw, error>`` from a batch callable ``list[str] -> list[str]``.
+    """Add ``struct<raw, error>`` from a batch callable.
 
-    This is the only step that leaves the JVM.  A batch that fails is repeated row by
-    row, so that one bad prompt does not fail its neighbours.
+    This is the only step that leaves the JVM.  Each prompt is sent once: the callable gives
+    an exception for a prompt that fails; one that it raises is the error of the whole batch.
     """
     text = T.StringType()
     schema = T.StructType([*df.schema.fields, T.StructField("_raw", text), T.StructField("_error", text)])
@@ -127,21 +128,24 @@ def call_provider(df: DataFrame, prompt: str, provider: ReplyBatch, out: str = "
     return mapped.withColumn(out, F.struct(F.col("_raw").alias("raw"), F.col("_error").alias("error"))).drop("_raw", "_error")
 
 
-def _answer(provider: ReplyBatch, prompts: list[str]) -> tuple[list, list]:
+def _answer(provider: ReplyBatch, prompts: list[str | None]) -> tuple[list, list]:
+    """Raw replies and errors, one each per prompt; a prompt is sent once at most and null ones never."""
+    at = [i for i, p in enumerate(prompts) if p is not None]
+    raw, errors = [None] * len(prompts), [None] * len(prompts)
+    if not at:
+        return raw, errors
     try:
-        raw = list(provider(prompts))
-        if len(raw) != len(prompts):
+        given = list(provider([prompts[i] for i in at]))
+        if len(given) != len(at):
             raise ValueError("one reply per prompt expected")
-        return raw, [None] * len(raw)
-    except Exception:
-        return tuple(map(list, zip(*[_answer_one(provider, p) for p in prompts])))
-
-
-def _answer_one(provider: ReplyBatch, prompt: str) -> tuple:
-    try:
-        return next(iter(provider([prompt]))), None
     except Exception as e:
-        return None, str(e) or type(e).__name__
+        given = [e] * len(at)
+    for i, reply in zip(at, given):
+        if isinstance(reply, Exception):
+            errors[i] = str(reply) or type(reply).__name__
+        else:
+            raw[i] = reply
+    return raw, errors
 
 
 def interpret(generated: Column, escalation: Column, top_cases: Column, cfg: config.TriageConfig = config.DEFAULT) -> Column:

@@ -8,20 +8,18 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from caseloom import config, schemas
 from caseloom.functions import text as X
 from caseloom.operators import skew
 from caseloom.session import store
 
-REPLIES_PER_LIST = 1000
 EPS = 1e-8
 
-# Work limits of one retrieval, in (query, document, term) matches and in table rows.
-PAIR_LIMIT = 2_000_000_000
-BROADCAST_ROWS = 2_000_000
-BUDGETS = (2_000, 100_000)
+# A query is first answered from its rarest terms, as many as have so many postings in
+# total.  What that does not settle goes on with GROWTH times as many.
+FIRST_BUDGET = 5_000
+GROWTH = 50
 
 
 @lru_cache(maxsize=8)
@@ -52,8 +50,8 @@ def fill_cases(cases: DataFrame) -> DataFrame:
 def group_cases(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
     """One row per customer message: the fields of its first case, its first reply and the number of replies.
 
-    All replies stay in the case table itself (see ``reply_lists``), so the size of a
-    row does not depend on how often a message was answered.
+    All replies are in :func:`replies_of`, so the size of a row does not depend on how often
+    a message was answered.
     """
     key = case_key(cases)
     order = order if order in cases.columns else "case_id"
@@ -65,54 +63,26 @@ def group_cases(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
     return grouped.select("doc_id", *[F.col(f"_first.{f}").alias(f) for f in fields], "n_replies")
 
 
-def reply_lists(
-    cases: DataFrame,
-    order: str = "brand_tweet_id",
-    per_list: int = REPLIES_PER_LIST,
-    rows_per_task: int = skew.ROWS_PER_SALT,
-) -> DataFrame:
-    """All replies per customer message as ordered lists ``(doc_id, part, parts, brand_replies)``.
-
-    A message with up to ``per_list`` replies has one list.  A longer one has several
-    parts of about that length, each ordered by ``reply_order``; together they hold
-    every reply.
-    """
+def replies_of(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
+    """Every reply as a row ``(doc_id, reply_order, brand_reply)``, however many a message has."""
     key = case_key(cases)
     order = order if order in cases.columns else "case_id"
-    rows = cases.where(F.col(key).isNotNull()).select(
+    return cases.where(F.col(key).isNotNull()).select(
         F.col(key).alias("doc_id"), F.col(order).alias("reply_order"), F.coalesce("brand_reply", F.lit("")).alias("brand_reply")
     )
-    hot = skew.heavy_keys(rows, "doc_id", rows_per_task)
-    heavy = F.broadcast(rows.sparkSession.createDataFrame(hot, T.StructType([rows.schema["doc_id"], T.StructField("n", T.LongType())])))
-    usual = rows.join(heavy, "doc_id", "left_anti") if hot else rows
-    usual = usual.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
-    lists = _collect_parts(usual, per_list)
-    return lists.unionByName(_collect_parts(rows.join(heavy, "doc_id"), per_list)) if hot else lists
-
-
-def _collect_parts(rows: DataFrame, per_list: int) -> DataFrame:
-    parts = F.ceil(F.col("n") / per_list).cast("int")
-    part = F.pmod(F.xxhash64("reply_order"), parts).cast("int")
-    lists = rows.withColumn("parts", parts).withColumn("part", part).groupBy("doc_id", "part", "parts").agg(
-        F.array_sort(F.collect_list(F.struct("reply_order", "brand_reply"))).alias("r")
-    )
-    return lists.select("doc_id", "part", "parts", F.col("r.reply_order").alias("reply_order"), F.col("r.brand_reply").alias("brand_replies"))
 
 
 # --- TF-IDF -----------------------------------------------------------------
 
 
-def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=(), clustered: bool = False) -> DataFrame:
-    """``(doc_id, term, tf)``.  All counts of a document end up in one partition, which the
-    norm and the vectors use again; ``clustered`` tells that ``docs`` already is laid out so."""
+def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=()) -> DataFrame:
+    """``(doc_id, term, tf)``.  A document's tokens are counted where it is read; only counts are shuffled."""
     words = docs.select(F.col(doc_id).alias("doc_id"), F.explode(X.tokens(text)).alias("term"))
     # Joins on the term filter out NULL; with the filter already here the counts of one
     # table have one plan, and Spark computes them once.
     words = words.where(F.col("term").isNotNull())
     if stop_words:
         words = words.where(~F.col("term").isin(list(stop_words)))
-    if not clustered:
-        words = words.repartition("doc_id")
     return words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -128,20 +98,23 @@ def n_rows(df: DataFrame) -> Column:
 
 
 def tfidf(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """L2-normalised weights ``(doc_id, term, weight)``; the vocabulary is bounded, hence broadcast."""
-    raw = counts.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    """L2-normalised weights ``(doc_id, term, weight)``."""
+    raw = counts.join(vocab.select("term", "idf"), "term").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
     return raw.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
 
 
 def vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """One sparse unit vector per document, sorted by term, with a digest that equal vectors share."""
-    raw = counts.join(F.broadcast(vocab.select("term", "idf")), "term")
-    entry = F.struct("term", (F.col("tf") * F.col("idf")).alias("weight"))
+    """One sparse unit vector per document, sorted by term, with a digest that equal vectors share.
+
+    An entry has the term's document frequency beside its weight.
+    """
+    raw = counts.join(vocab.select("term", "idf", "df"), "term")
+    entry = F.struct("term", (F.col("tf") * F.col("idf")).alias("weight"), "df")
     rows = raw.groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"]))
     unit = rows.withColumn("norm", norm).withColumn(
-        "v", F.transform("v", lambda e: F.struct(e["term"].alias("term"), (e["weight"] / F.col("norm")).alias("weight")))
+        "v", F.transform("v", lambda e: F.struct(e["term"].alias("term"), (e["weight"] / F.col("norm")).alias("weight"), e["df"].alias("df")))
     )
     return unit.select("doc_id", F.unhex(F.sha2(F.to_json("v"), 256)).alias("vec_key"), "v")
 
@@ -153,11 +126,11 @@ def vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
 class CaseIndex:
     """Tables of a retrieval index."""
 
-    cases: DataFrame  # doc_id and the fields shown in results; brand_replies is NULL if it has several parts
-    replies: DataFrame  # reply lists per doc_id
+    cases: DataFrame  # doc_id and the fields shown in results
+    replies: DataFrame  # doc_id, reply_order, brand_reply: all replies
     vocab: DataFrame  # term, frequency, df, idf
-    members: DataFrame  # doc_id, vec_key
-    postings: DataFrame  # vec_id, term, weight: one entry per distinct vector
+    members: DataFrame  # doc_id, vec_id
+    postings: DataFrame  # vec_id, term, weight, df: one entry per distinct vector
     stop_words: tuple = ()
 
     TABLES = ("cases", "replies", "vocab", "members", "postings")
@@ -177,15 +150,15 @@ def build_index(
     """
     stop_words = default_stop_words() if stop_words is None else tuple(stop_words)
     filled = fill_cases(cases)
-    replies = keep(reply_lists(filled, order))
-    whole = replies.where("parts = 1").select("doc_id", "brand_replies")
-    grouped = keep(group_cases(filled, order).join(whole, "doc_id", "left"))
+    replies = keep(replies_of(filled, order))
+    grouped = keep(group_cases(filled, order))
     counts = keep(term_counts(grouped, "doc_id", "customer_message", stop_words))
     vocab = keep(vocabulary(counts, n_rows(grouped), max_features))
     vecs = keep(vectors(counts, vocab))
-    distinct = vecs.groupBy("vec_key").agg(F.min("doc_id").alias("vec_id"), F.any_value("v").alias("v"))
+    distinct = keep(vecs.groupBy("vec_key").agg(F.min("doc_id").alias("vec_id"), F.any_value("v").alias("v")))
+    members = keep(vecs.select("doc_id", "vec_key").join(distinct.select("vec_key", "vec_id"), "vec_key").select("doc_id", "vec_id"))
     postings = keep(distinct.select("vec_id", F.inline("v")))
-    return CaseIndex(grouped, replies, vocab, vecs.select("doc_id", "vec_key"), postings, stop_words)
+    return CaseIndex(grouped, replies, vocab, members, postings, stop_words)
 
 
 # --- retrieval --------------------------------------------------------------
@@ -198,33 +171,31 @@ def retrieve(
     min_similarity: float = config.DEFAULT.min_similarity,
     query_id: str = "message_id",
     text: str = "message",
-    pair_limit: int = PAIR_LIMIT,
-    broadcast_rows: int = BROADCAST_ROWS,
-    budgets: tuple = BUDGETS,
+    budget: int = FIRST_BUDGET,
+    keep: Callable[[DataFrame], DataFrame] = store,
 ) -> DataFrame:
     """Queries with ``retrieval``: struct of sufficient, top_cases, top_similarity and n_results.
 
     Equal query vectors are searched once and equal document vectors are stored once.
-    Queries without a known term get an empty result.
+    Queries without a known term get an empty result.  ``keep`` writes what is read again.
     """
     counts = term_counts(queries, query_id, text, index.stop_words)
-    q_vecs = store(vectors(counts, index.vocab).withColumnRenamed("doc_id", query_id))
+    q_vecs = keep(vectors(counts, index.vocab).withColumnRenamed("doc_id", query_id))
     distinct = q_vecs.groupBy("vec_key").agg(F.min(query_id).alias("q_key"), F.any_value("v").alias("v"))
     q_terms = distinct.select("q_key", F.inline("v")).withColumnRenamed("weight", "q_weight")
-    hits = store(search(q_terms, index.postings, top_k, pair_limit, broadcast_rows, budgets))
+    hits = search(q_terms, index.postings, top_k, budget, keep)
     answers = distinct.select("vec_key", "q_key").join(_answers(hits, index, top_k, min_similarity), "q_key").drop("q_key")
-    keyed = skew.salted_join(q_vecs.select(query_id, "vec_key"), answers, "vec_key", F.col(query_id))
+    keyed = q_vecs.select(query_id, "vec_key").join(answers, "vec_key")
     out = queries.join(keyed.drop("vec_key"), query_id, "left")
     return out.withColumn("retrieval", F.coalesce("retrieval", no_result())).select(*queries.columns, "retrieval")
 
 
 def evidence_replies(answered: DataFrame, index: CaseIndex, query_id: str = "message_id") -> DataFrame:
-    """Every reply list of every retrieved case, however long."""
+    """Every reply of every retrieved case as a row, however many there are."""
     shown = answered.select(query_id, F.explode("retrieval.top_cases").alias("c"))
     shown = shown.select(query_id, "c.case_id", F.col("c.customer_tweet_id").alias("_doc"))
-    lists = index.replies.withColumn("_doc", F.col("doc_id").cast("string"))
-    joined = skew.salted_join(shown, lists, "_doc", F.col(query_id))
-    return joined.select(query_id, "case_id", "part", "parts", "reply_order", "brand_replies")
+    replies = index.replies.withColumn("_doc", F.col("doc_id").cast("string"))
+    return shown.join(replies, "_doc").select(query_id, "case_id", "reply_order", "brand_reply")
 
 
 def no_result() -> Column:
@@ -238,21 +209,18 @@ def no_result() -> Column:
 
 def _answers(hits: DataFrame, index: CaseIndex, top_k: int, min_similarity: float) -> DataFrame:
     # Copies of a vector tie, so at most top_k members of it, the smallest ids, can be in a result.
-    few = skew.top_n_per_group(index.members, ["vec_key"], [F.col("doc_id")], top_k)
-    few = few.groupBy("vec_key").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
-    few = few.select(F.get("ids", F.lit(0)).alias("vec_id"), F.explode("ids").alias("doc_id"))
-    hot = skew.heavy_keys(hits, "vec_id")
-    docs = skew.salted_join(hits, few, "vec_id", F.col("q_key"), hot=hot)
+    found = index.members.join(hits.select("vec_id").distinct(), "vec_id", "left_semi")
+    few = skew.top_n_per_group(found, ["vec_id"], [F.col("doc_id")], top_k)
+    docs = hits.join(few, "vec_id")
     ranked = skew.top_n_per_group(docs, ["q_key"], [F.desc("rank_score"), F.col("doc_id")], top_k, rank="place")
-    # Without a vector that many queries share there is no such document either.
-    shown = skew.salted_join(ranked, index.cases, "doc_id", F.col("q_key"), hot=None if hot else [])
+    named = index.cases.join(ranked.select("doc_id").distinct(), "doc_id", "left_semi")
+    shown = ranked.join(named, "doc_id")
     case = F.struct(
         "place",
         F.struct(
             "case_id",
             F.col("doc_id").cast("string").alias("customer_tweet_id"),
             "customer_message",
-            "brand_replies",
             "brand_reply",
             "n_replies",
             "intent",
@@ -278,65 +246,31 @@ def search(
     q_terms: DataFrame,
     postings: DataFrame,
     top_k: int,
-    pair_limit: int = PAIR_LIMIT,
-    broadcast_rows: int = BROADCAST_ROWS,
-    budgets: tuple = BUDGETS,
+    budget: int = FIRST_BUDGET,
+    keep: Callable[[DataFrame], DataFrame] = store,
 ) -> DataFrame:
     """Exact top ``top_k`` vectors per query: ``(q_key, vec_id, score, rank_score)``.
 
-    The number of term matches is known from the term statistics before any match is
-    made.  While it is small the matches are simply summed.  Beyond ``pair_limit``
-    queries are answered from their rare terms as long as that provably finds the
-    same result, and only the others go on to their frequent terms.
+    Queries ``(q_key, term, q_weight, df)`` are answered from their rare terms first.  All
+    vectors have length 1, so a bound on what the other terms can add tells which queries
+    are settled; the others go on with a larger budget, until none is open.  A budget that
+    takes in all terms of a query always settles it.
     """
-    matches, q_rows, p_rows = _work(q_terms, postings)
-    if matches <= pair_limit:
-        return _top(_sum_matches(q_terms, postings, q_rows, p_rows, broadcast_rows), top_k)
-    stats = F.broadcast(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    open_terms = store(q_terms.join(stats, "term"))
-    done = []
-    for budget in budgets:
-        found = store(_search_rare(open_terms, postings, top_k, budget))
+    open_terms, done = keep(q_terms), []
+    while True:
+        found = keep(_search_rare(open_terms, postings, top_k, budget))
         done.append(found.where("settled").select("q_key", F.inline("top")))
-        settled = found.where("settled").select("q_key")
-        open_terms = store(open_terms.join(settled, "q_key", "left_anti"))
-        if open_terms.isEmpty():
+        unsettled = found.where("NOT settled").select("q_key")
+        if unsettled.isEmpty():
             break
-    else:
-        rest = open_terms.drop("df")
-        _, q_rows, p_rows = _work(rest, postings)
-        done.append(_top(_sum_matches(rest, postings, q_rows, p_rows, broadcast_rows), top_k))
+        open_terms = keep(open_terms.join(unsettled, "q_key", "left_semi"))
+        budget *= GROWTH
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out
 
 
-def _work(q_terms: DataFrame, postings: DataFrame) -> tuple[int, int, int]:
-    q = q_terms.groupBy("term").agg(F.count(F.lit(1)).alias("qf"))
-    p = postings.groupBy("term").agg(F.count(F.lit(1)).alias("pf"))
-    row = q.join(p, "term", "full").agg(
-        F.sum(F.col("qf").cast("decimal(38,0)") * F.col("pf")).alias("m"), F.sum("qf").alias("q"), F.sum("pf").alias("p")
-    ).first()
-    return tuple(int(x or 0) for x in row)
-
-
-def _sum_matches(q_terms, postings, q_rows, p_rows, broadcast_rows) -> DataFrame:
-    """Cosine of every query and vector that share a term.
-
-    With a small side broadcast, the other one stays partitioned by query or by
-    vector, so the sums need no shuffle of the matches.
-    """
-    if p_rows <= broadcast_rows:
-        both = q_terms.repartition("q_key").join(F.broadcast(postings), "term")
-    elif q_rows <= broadcast_rows:
-        both = postings.repartition("vec_id").join(F.broadcast(q_terms), "term")
-    else:
-        spread = F.struct("q_key")
-        both = skew.salted_join(q_terms, postings, "term", spread)
-    return both.groupBy("q_key", "vec_id").agg(F.sum(F.col("q_weight") * F.col("weight")).alias("score"))
-
-
 def _top(scores: DataFrame, top_k: int) -> DataFrame:
     # Rounded for ranking, so that the order of float additions cannot decide a tie.
     ranked = scores.where("score > 0").withColumn("rank_score", F.round("score", 9))
@@ -346,20 +280,20 @@ def _top(scores: DataFrame, top_k: int) -> DataFrame:
 def _search_rare(open_terms: DataFrame, postings: DataFrame, top_k: int, budget: int) -> DataFrame:
     """Best vectors per query among those sharing one of its rare terms, and whether they are ``settled``.
 
-    A query's terms are taken from the rarest on, while the documents having them are
-    at most ``budget`` in total.  All vectors have length 1, so a vector with none of
-    these terms scores at most the length of the query without them, ``rest``.  The
-    result is final when its last score is above that.
+    A query's terms are taken from the rarest on, while the documents having them are at
+    most ``budget`` in total; the rarest is always taken.  A vector with none of these terms
+    scores at most the length of the query without them, ``rest``.  The result is final when
+    its last score is above that.  Every query has a row, if only an empty one.
     """
     by_df = Window.partitionBy("q_key").orderBy("df", "term")
     whole = Window.partitionBy("q_key")
-    split = open_terms.withColumn("rare", F.sum("df").over(by_df.rowsBetween(Window.unboundedPreceding, 0)) <= budget)
+    before = F.coalesce(F.sum("df").over(by_df.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    split = open_terms.withColumn("rare", (before == 0) | (before + F.col("df") <= budget))
     rest = F.sqrt(F.sum(F.when(F.col("rare"), 0.0).otherwise(F.col("q_weight") * F.col("q_weight"))).over(whole))
     split = split.withColumn("rest", rest)
 
     rare = split.where("rare")
-    short = postings.join(F.broadcast(open_terms.where(F.col("df") <= budget).select("term").distinct()), "term", "left_semi")
-    partial = skew.salted_join(rare, short, "term", F.col("q_key")).groupBy("q_key", "vec_id").agg(
+    partial = rare.drop("df").join(postings, "term").groupBy("q_key", "vec_id").agg(
         F.sum(F.col("q_weight") * F.col("weight")).alias("part"),
         F.sum(F.col("weight") * F.col("weight")).alias("seen"),
         F.max("rest").alias("rest"),
@@ -373,15 +307,16 @@ def _search_rare(open_terms: DataFrame, postings: DataFrame, top_k: int, budget:
     pairs = able.where("rest > 0").select("q_key", "vec_id")
     others = split.where(~F.col("rare")).select("q_key", "term", "q_weight")
     extra = pairs.join(others, "q_key").join(postings, ["vec_id", "term"]).select(
-        "q_key", "vec_id", (F.col("q_weight") * F.col("weight")).alias("part"), F.lit(None).cast("double").alias("rest")
+        "q_key", "vec_id", (F.col("q_weight") * F.col("weight")).alias("part")
     )
-    scores = able.select("q_key", "vec_id", "part", "rest").unionByName(extra)
-    scores = scores.groupBy("q_key", "vec_id").agg(F.sum("part").alias("score"), F.max("rest").alias("rest"))
+    scores = able.select("q_key", "vec_id", "part").unionByName(extra).groupBy("q_key", "vec_id").agg(F.sum("part").alias("score"))
     top = _top(scores, top_k).groupBy("q_key").agg(
         F.collect_list(F.struct("vec_id", "score", "rank_score")).alias("top"),
-        F.max("rest").alias("rest"),
         F.min("rank_score").alias("last"),
         F.count(F.lit(1)).alias("n"),
     )
-    settled = (F.col("rest") == 0) | ((F.col("n") == top_k) & (F.col("last") > F.col("rest") + EPS))
-    return top.select("q_key", settled.alias("settled"), "top")
+    every = split.groupBy("q_key").agg(F.max("rest").alias("rest")).join(top, "q_key", "left")
+    full = (F.col("n") == top_k) & (F.col("last") > F.col("rest") + EPS)
+    settled = (F.col("rest") == 0) | F.coalesce(full, F.lit(False))
+    none = F.array().cast(top.schema["top"].dataType)
+    return every.select("q_key", settled.alias("settled"), F.coalesce("top", none).alias("top"))

@@ -1,4 +1,9 @@
-"""Joins, rankings and duplicate handling that hold when one key owns a large share of the rows."""
+"""Rankings, shares and duplicate handling that hold when one key owns a large share of the rows.
+
+Joins are plain joins: adaptive execution splits a partition that one key makes too large,
+on either side, and needs no list of such keys.  What adaptive execution cannot split, a
+ranking or an aggregate over one key, is made in pieces here.
+"""
 
 from __future__ import annotations
 
@@ -6,53 +11,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A key with at least 1/MAX_HEAVY of the rows is always among the MAX_HEAVY most
-# frequent ones, so a table of that many keys is bounded and safe to broadcast.
-MAX_HEAVY = 1024
-ROWS_PER_SALT = 200_000
-MAX_SALTS = 4096
-MAX_GROUPS = 100_000
-
-
-def heavy_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_SALT) -> list:
-    """``(key, rows)`` of the most frequent keys with at least ``min_rows`` rows; MAX_HEAVY of them at most.
 
-    Reads the key column only and counts before the shuffle.
-    """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.where(F.col("rows") >= min_rows).orderBy(F.desc("rows"), key).limit(MAX_HEAVY).collect()
+from caseloom.session import store
 
+ROWS_PER_SALT = 200_000
+COPIES_PER_ROW = 1_000_000
 
-def salted_join(
-    many: DataFrame,
-    few: DataFrame,
-    key: str,
-    spread: Column,
-    how: str = "inner",
-    rows_per_salt: int = ROWS_PER_SALT,
-    hot: list | None = None,
-) -> DataFrame:
-    """Equi-join on ``key`` whose heavy keys on the ``many`` side are spread over several tasks.
 
-    The heavy keys are looked up first, unless given; without any this is a plain join.
-    Each gets a number of salts that grows with its row count; its rows in ``few`` are
-    repeated once per salt.  ``spread`` must differ between the rows of a key.
-    """
-    hot = heavy_keys(many, key, rows_per_salt) if hot is None else hot
-    if not hot:
-        return many.join(few, key, how)
-    schema = T.StructType([T.StructField("_hot", many.schema[key].dataType), T.StructField("_salts", T.IntegerType())])
-    table = [(k, min(-(-rows // rows_per_salt), MAX_SALTS)) for k, rows in hot]
-    salts = F.broadcast(many.sparkSession.createDataFrame(table, schema))
-    left = many.join(salts, F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int"), F.lit(0))
-    )
-    right = few.join(salts, F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    )
-    return left.drop("_hot", "_salts").join(right.drop("_hot", "_salts"), [key, "_salt"], how).drop("_salt")
+def same(pairs: list[tuple[Column, Column]]) -> Column:
+    """Equality of all pairs, NULL being equal to NULL."""
+    return reduce(lambda a, b: a & b, [a.eqNullSafe(b) for a, b in pairs])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
@@ -69,17 +37,26 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = N
 
 
 def top_n_per_group(
-    df: DataFrame, group: list[str], order: list[Column], n: int, rank: str | None = None, spread: Column | None = None
+    df: DataFrame,
+    group: list[str],
+    order: list[Column],
+    n: int,
+    rank: str | None = None,
+    spread: Column | None = None,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """First ``n`` rows of every group in ``order``, which must be total.
 
-    Up to the optimizer's group-limit threshold the cut is also made before the
-    shuffle.  For a larger ``n`` give ``spread``: the groups are then cut in salted
-    pieces first, and the survivors once more.
+    With ``spread`` the groups are cut in pieces first, as many as a group's row count asks
+    for, and the survivors once more; the optimizer's group limit makes either cut before
+    the shuffle too, as far as ``n`` is under its threshold.
     """
     if spread is not None:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(256)))
-        df = _cut(salted, [*group, "_salt"], order, n, "_rn").drop("_salt", "_rn")
+        sizes = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / rows_per_salt).alias("_salts"))
+        sizes = sizes.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_salts")
+        key = same([(F.col(g), F.col(f"_g{i}")) for i, g in enumerate(group)])
+        salted = df.join(sizes, key).withColumn("_salt", F.pmod(F.xxhash64(spread), F.col("_salts")))
+        df = _cut(salted, [*group, "_salt"], order, n, "_rn").select(*df.columns)
     out = _cut(df, group, order, n, rank or "_rank")
     return out if rank else out.drop("_rank")
 
@@ -92,41 +69,25 @@ def _cut(df, group, order, n, rank):
 def smallest_share(df: DataFrame, group: str, order_hex: Column, ids: list[str], share: float) -> DataFrame:
     """Flag, per group, the exact ``ceil(share * n)`` smallest rows by ``(order_hex, ids)`` as ``picked``.
 
-    ``order_hex`` is an evenly spread hex digest.  Its first four digits put the rows
-    of each group into 65,536 buckets.  Counting per bucket tells which bucket the
-    share ends in, and ranking that bucket alone gives the last row of the share.  The
-    flag is then one comparison per row: no task ever sees a whole group.
+    ``order_hex`` is an evenly spread hex digest, whose first four digits put the rows of
+    each group into 65,536 buckets.  A row's place is its rank in its bucket after all rows
+    of the buckets before, so no task sees a whole group.  ``df`` is read once, to be stored.
     """
     bucket = F.conv(F.substring("_hex", 1, 4), 16, 10).cast("int")
-    hashed = df.withColumn("_hex", order_hex)
-    counts = hashed.groupBy(group, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(group)
-    edge = (
-        counts.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-        .withColumn("_want", F.ceil(F.round(F.sum("_n").over(whole) * F.lit(share), 9)))
-        .where((F.col("_before") < F.col("_want")) & (F.col("_before") + F.col("_n") >= F.col("_want")))
-        .select(
-            F.col(group).alias("_g"), F.col("_bucket").alias("_edge"), (F.col("_want") - F.col("_before")).alias("_left")
-        )
+    hashed = store(df.withColumn("_hex", order_hex).withColumn("_bucket", bucket))
+    counts = hashed.groupBy(F.col(group).alias("_g"), F.col("_bucket").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy("_g")
+    running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(
+        "_g",
+        "_b",
+        F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
+        F.ceil(F.round(F.sum("_n").over(whole) * F.lit(share), 9)).alias("_want"),
     )
-    key = F.struct("_hex", *ids)
-    same = F.col(group).eqNullSafe(F.col("_g"))
-    at_edge = hashed.join(_per_group(edge), same & (bucket == F.col("_edge"))).select("_g", "_left", key.alias("_last"))
-    ranked = at_edge.withColumn("_nth", F.row_number().over(Window.partitionBy("_g").orderBy("_last")))
-    last = ranked.where(F.col("_nth") == F.col("_left")).select("_g", "_last")
-    marked = hashed.join(_per_group(last), same, "left")
-    picked = F.coalesce(key <= F.col("_last"), F.lit(False))
-    return marked.withColumn("picked", picked).drop("_hex", "_g", "_last")
-
-
-def _per_group(df: DataFrame) -> DataFrame:
-    """A table with one row per group: broadcast if there are at most MAX_GROUPS of them."""
-    found = df.take(MAX_GROUPS + 1)
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)) if len(found) <= MAX_GROUPS else df
-
-
-COPIES_PER_ROW = 1_000_000
+    in_bucket = Window.partitionBy(group, "_bucket").orderBy("_hex", *ids)
+    ranked = hashed.withColumn("_rank", F.row_number().over(in_bucket))
+    placed = ranked.join(before, same([(F.col(group), F.col("_g")), (F.col("_bucket"), F.col("_b"))]))
+    return placed.select(*df.columns, (F.col("_before") + F.col("_rank") <= F.col("_want")).alias("picked"))
 
 
 def count_copies(df: DataFrame) -> DataFrame:
@@ -135,28 +96,23 @@ def count_copies(df: DataFrame) -> DataFrame:
 
 
 def repeat_copies(df: DataFrame, copies: str, chunk: int = COPIES_PER_ROW) -> DataFrame:
-    """Emit each row ``copies`` times, a huge number of them from many tasks."""
-    few = df.where(F.col(copies) <= chunk).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col(copies))))
-    many = (
-        df.where(F.col(copies) > chunk)
-        .withColumn("_c", F.explode(F.sequence(F.lit(0), F.ceil(F.col(copies) / chunk) - 1)))
-        .repartition(*[c for c in df.columns], "_c")
-        .withColumn("_i", F.explode(F.sequence(F.lit(1), F.least(F.lit(chunk), F.col(copies) - F.col("_c") * chunk))))
-        .drop("_c")
-    )
-    return few.unionByName(many).drop(copies, "_i")
+    """Emit each row ``copies`` times: first in chunks, which are dealt out, and then in each chunk."""
+    chunks = F.sequence(F.lit(0), F.ceil(F.col(copies) / chunk) - 1)
+    dealt = df.where(F.col(copies) > 0).withColumn("_c", F.explode(chunks)).repartition(*df.columns, "_c")
+    left = F.least(F.lit(chunk).cast("long"), F.col(copies) - F.col("_c") * chunk)
+    return dealt.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), left))).drop(copies, "_c", "_i")
 
 
-def mark_duplicates(df: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+def mark_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row with ``is_duplicate``: False for the first row of its key by the other columns, else True.
 
-    Exact copies are counted first, so a hot group of copies is one row by the time
-    it is compared with the first row of its key.
+    Exact copies are counted first, so a hot group of copies is one row by the time it is
+    compared with the first row of its key.
     """
     rest = [c for c in df.columns if c not in keys]
     counted = count_copies(df)
     firsts = counted.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
-    same_key = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys])
+    same_key = same([(F.col(f"c.{k}"), F.col(f"f.{k}")) for k in keys])
     both = counted.alias("c").join(firsts.alias("f"), same_key).select("c.*", "_first")
     is_first = F.struct(*rest).eqNullSafe(F.col("_first"))
     kept = F.when(is_first, F.struct(F.lit(False).alias("is_duplicate"), F.lit(1).cast("long").alias("_times")))

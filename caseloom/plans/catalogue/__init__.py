@@ -21,4 +21,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from caseloom.plans.catalogue import judging, learning, messages, samples, scoring, similar, answering  # noqa: E402, F401
+from caseloom.plans.catalogue import answering, files, judging, learning, messages, samples, scoring, similar  # noqa: E402, F401

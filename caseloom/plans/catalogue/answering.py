@@ -7,7 +7,7 @@ from caseloom.operators import escalation, grounding, replies, similarity
 from caseloom.plans import triage as T
 from caseloom.plans.catalogue import bindings as B
 from caseloom.plans.catalogue import query
-from caseloom.plans.catalogue.similar import QUERIES, _index
+from caseloom.plans.catalogue.similar import QUERIES, looked_up
 
 q = B.quote
 CFG = config.DEFAULT
@@ -205,27 +205,78 @@ def deterministic(spark, sf):
     )
 
 
+BLOCKS = """blocks AS (SELECT message_id, string_agg('Example ' || CAST(place AS VARCHAR) || ':' || chr(10) || '  SIMILARITY: '
+              || CAST(round(score, 4) AS VARCHAR) || chr(10) || '  CUSTOMER: ' || l.customer_message || chr(10)
+              || '  BRAND REPLY: ' || l.brand_reply, chr(10) || chr(10) ORDER BY place) AS block
+            FROM top JOIN corpus l ON l.customer_tweet_id = top.doc_id GROUP BY 1)"""
+EXAMPLES = f"coalesce({B.strip_sql('block')}, {q(config.NO_EXAMPLES)})"
+
+
 @query(
     "G1_evidence_block",
     B.with_views(
-        "labelled inbox",
-        f""", blocks AS (SELECT message_id, string_agg('Example ' || CAST(place AS VARCHAR) || ':' || chr(10) || '  SIMILARITY: '
-              || CAST(round(score, 4) AS VARCHAR) || chr(10) || '  CUSTOMER: ' || l.customer_message || chr(10)
-              || '  BRAND REPLY: ' || l.brand_reply, chr(10) || chr(10) ORDER BY place) AS block
-            FROM top JOIN labelled l ON l.customer_tweet_id = top.doc_id GROUP BY 1)
-        SELECT i.message_id AS message_id, coalesce({B.strip_sql('block')}, {q(config.NO_EXAMPLES)}) AS evidence
-        FROM inbox i LEFT JOIN blocks USING (message_id)""",
+        "corpus asked",
+        f", {BLOCKS} SELECT i.message_id AS message_id, {EXAMPLES} AS evidence FROM asked i LEFT JOIN blocks USING (message_id)",
         QUERIES,
     ),
 )
 def evidence_block(spark, sf):
-    rows = similarity.retrieve(B.inbox(spark, sf), _index(spark, sf))
+    index, asked = looked_up(spark, sf)
+    rows = similarity.retrieve(asked, index)
     return rows.select("message_id", replies.format_examples(F.col("retrieval.top_cases")).alias("evidence"))
 
 
-@query("G2_reply_prompt")
+def triage_sql(source, valid_only=True):
+    """Every message of a view, checked, classified, searched, decided and grounded."""
+    return f"""{CHECK.replace("FROM inbox", "FROM " + source)},
+    {_classes('body')},
+    {BLOCKS},
+    found AS (SELECT message_id, max(score) AS best, count(*) AS n,
+              string_agg('CASE_' || CAST(doc_id AS VARCHAR), '; ' ORDER BY place) AS ids FROM top GROUP BY 1),
+    retrieved AS (SELECT c.*, coalesce(best >= 0.15, FALSE) AS sufficient, coalesce(round(best, 4), 0.0) AS top_similarity,
+                  coalesce(n, 0) AS n_results, coalesce(ids, '') AS ids, block
+                  FROM classified c LEFT JOIN found f ON f.message_id = c.message_id {"AND c.why = ''" if valid_only else ""}
+                  LEFT JOIN blocks b ON b.message_id = f.message_id),
+    decided AS (SELECT *, {reason_sql()} AS why2 FROM retrieved),
+    grounded AS (SELECT *, why2 <> '' OR n_results > 0 AS supported FROM decided)"""
+
+
+def render_sql(template, slots):
+    """The filled template as a concatenation."""
+    parts, rest = [], template
+    while rest:
+        found = sorted((rest.index("{%s}" % s), s) for s in slots if "{%s}" % s in rest)
+        if not found:
+            parts.append(q(rest))
+            break
+        at, slot = found[0]
+        parts += [q(rest[:at]), f"coalesce({slots[slot]}, '')"]
+        rest = rest[at + len(slot) + 2 :]
+    return " || ".join(parts)
+
+
+def prompt_sql(message):
+    return render_sql(
+        replies.REPLY_TEMPLATE,
+        {
+            "customer_message": message,
+            "predicted_intent": "intent",
+            "intent_confidence": "CAST(confidence AS VARCHAR)",
+            "n_historical_examples": "CAST(n_results AS VARCHAR)",
+            "historical_examples": EXAMPLES,
+            "escalation_decision": "CASE WHEN why2 = '' THEN 'AUTO_HANDLE' ELSE 'ESCALATE' END",
+            "escalation_reason": f"CASE WHEN why2 = '' THEN {q(config.REASON_AUTO)} ELSE why2 END",
+        },
+    )
+
+
+@query(
+    "G2_reply_prompt",
+    B.with_views("corpus asked", f", {triage_sql('asked', False)} SELECT message_id, {prompt_sql('message')} AS prompt FROM decided", QUERIES),
+)
 def prompts(spark, sf):
-    rows = B.rule_classifier(similarity.retrieve(B.inbox(spark, sf), _index(spark, sf)), "message")
+    index, asked = looked_up(spark, sf)
+    rows = B.rule_classifier(similarity.retrieve(asked, index), "message")
     rows = rows.withColumn("e", escalation.decide(F.col("message"), F.col("classification"), F.col("retrieval")))
     prompt = replies.reply_prompt(F.col("message"), F.col("classification"), F.col("retrieval"), F.col("e"))
     return rows.select("message_id", prompt.alias("prompt"))
@@ -236,48 +287,54 @@ def echo(prompts):
     out = []
     for p in prompts:
         if "hacked" in p:
-            raise RuntimeError("no answer")
-        out.append("We are looking into it. " + p.split("Decision: ")[1].split("\n")[0])
+            out.append(RuntimeError("no answer"))
+        else:
+            out.append("We are looking into it. " + p.split("Decision: ")[1].split("\n")[0])
     return out
 
 
 def _triaged(spark, sf, provider=None):
-    return T.triage(B.inbox(spark, sf), B.rule_classifier, _index(spark, sf), provider)
+    index, asked = looked_up(spark, sf)
+    return T.triage(asked, B.rule_classifier, index, provider)
 
 
-@query("G3_provider_replies")
+@query(
+    "G3_provider_replies",
+    B.with_views(
+        "corpus asked",
+        f""", {triage_sql('asked')},
+        answered AS (SELECT *, why = '' AND contains({prompt_sql('body')}, 'hacked') AS failed FROM grounded),
+        final AS (SELECT *, concat_ws(' ', nullif(why2, ''), CASE WHEN NOT supported THEN {q(config.REASON_GROUNDING)} END,
+                  CASE WHEN failed THEN {q(config.REASON_GENERATION)} END) AS why3 FROM answered)
+        SELECT message_id, CASE WHEN why <> '' OR why3 <> '' THEN 'ESCALATE' ELSE 'AUTO_HANDLE' END AS decision,
+        CASE WHEN why <> '' THEN why WHEN why3 <> '' THEN why3 END AS escalation_reason,
+        CASE WHEN why <> '' THEN {q(config.REPLY_INVALID)} WHEN failed THEN {SAFE}
+             ELSE 'We are looking into it. ' || CASE WHEN why2 = '' THEN 'AUTO_HANDLE' ELSE 'ESCALATE' END END AS reply,
+        CASE WHEN why <> '' THEN 'fallback' WHEN failed THEN 'failed' ELSE 'ok' END AS generation_status FROM final""",
+        QUERIES,
+    ),
+)
 def provider_replies(spark, sf):
     return _triaged(spark, sf, echo).select("message_id", "decision", "escalation_reason", "reply", "generation_status")
 
 
-TRIAGE = f""", {CHECK},
-    {_classes('body')},
-    found AS (SELECT message_id, max(score) AS best, count(*) AS n,
-              string_agg('CASE_' || CAST(doc_id AS VARCHAR), '; ' ORDER BY place) AS ids FROM top GROUP BY 1),
-    retrieved AS (SELECT c.*, coalesce(best >= 0.15, FALSE) AS sufficient, coalesce(round(best, 4), 0.0) AS top_similarity,
-                  coalesce(n, 0) AS n_results, coalesce(ids, '') AS ids
-                  FROM classified c LEFT JOIN found f ON f.message_id = c.message_id AND c.why = ''),
-    decided AS (SELECT *, {reason_sql()} AS why2 FROM retrieved),
-    grounded AS (SELECT *, why2 <> '' OR n_results > 0 AS supported FROM decided)"""
-
-
-@query(
-    "G6_batch_triage",
-    B.with_views(
-        "labelled inbox",
-        f"""{TRIAGE}
-        SELECT message_id, message AS customer_message, CASE WHEN why = '' THEN intent END AS intent,
+RESULT = f"""message_id, message AS customer_message, CASE WHEN why = '' THEN intent END AS intent,
         CASE WHEN why = '' THEN confidence ELSE 0.0 END AS intent_confidence, top_similarity, n_results,
         CASE WHEN why <> '' OR why2 <> '' OR NOT supported THEN 'ESCALATE' ELSE 'AUTO_HANDLE' END AS decision,
         CASE WHEN why <> '' THEN why WHEN NOT supported THEN {q(config.REASON_GROUNDING)} WHEN why2 <> '' THEN why2 END AS escalation_reason,
         CASE WHEN why <> '' THEN {q(config.REPLY_INVALID)} ELSE {REPLY} END AS reply,
         why <> '' OR supported AS supported, ids AS evidence,
-        CASE WHEN why = '' THEN 'ok' ELSE 'fallback' END AS generation_status FROM grounded""",
-        QUERIES,
-    ),
-)
+        CASE WHEN why = '' THEN 'ok' ELSE 'fallback' END AS generation_status"""
+
+
+@query("G6_batch_triage", B.with_views("corpus asked", f", {triage_sql('asked')} SELECT {RESULT} FROM grounded", QUERIES))
 def batch_triage(spark, sf):
-    return _triaged(spark, sf).select(
+    return flat(_triaged(spark, sf))
+
+
+def flat(done):
+    """The columns of a triage result that SQL has too."""
+    return done.select(
         "message_id",
         "customer_message",
         "intent",

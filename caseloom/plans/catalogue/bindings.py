@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions import text as X
-from caseloom.operators import cases, classify, labels, metrics
+from caseloom.operators import cases, classify, golden, labels, metrics
+from caseloom.session import store
 
 # Keyword rules on fragments that the generated prose has; the second set plays the predictor.
 RULES = (("a", ("thou", "men")), ("b", ("der",)), ("c", ("wh",)), ("d", ("tion",)))
@@ -19,7 +20,8 @@ OTHER_RULES = (("b", ("und", "der")), ("a", ("the",)), ("d", ("tio",)), ("c", ("
 STOPS = ("the", "and", "of", "to", "in", "die", "der", "und", "la", "de", "le", "les", "an", "on")
 SPAN = 1_000_000  # message ids per conversation
 SEED = 42
-PER_LABEL = 20
+PER_LABEL = 30
+EXTRA = 500_000  # added rows have their original's id and so much more
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -30,7 +32,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def tweets(spark: SparkSession, sf: str) -> DataFrame:
-    turns = table(spark, sf, "conversations").where("role <> 'system'")
+    """All turns; those of the system have no direction."""
+    turns = table(spark, sf, "conversations")
     tweet_id = F.col("conv_id") * SPAN + F.col("turn")
     seconds = (F.col("conv_id") * 3600 + F.col("turn") * (300 + F.col("conv_id") % 7 * 60)).cast("double")
     when = F.lit("2017-10-30 08:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
@@ -40,7 +43,7 @@ def tweets(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("role") == "assistant", F.concat(F.lit("brand_"), (F.col("conv_id") % 5).cast("string")))
         .otherwise(F.col("conv_id").cast("string"))
         .alias("author_id"),
-        (F.col("role") == "user").alias("inbound"),
+        F.when(F.col("role") == "user", True).when(F.col("role") == "assistant", False).alias("inbound"),
         F.when((F.col("conv_id") + F.col("turn")) % 13 == 0, F.lit("not recorded")).otherwise(stamp).alias("created_at"),
         "text",
         F.when(F.col("turn") > 0, tweet_id - 1).alias("in_response_to_tweet_id"),
@@ -48,25 +51,25 @@ def tweets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def messy(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages with missing, blank and short texts, odd direction flags and repeated rows."""
+    """All messages as they are but for odd direction flags, some of them repeated; added copies with
+    missing, blank and one-character texts."""
+    rows = tweets(spark, sf)
     conv = F.floor(F.col("tweet_id") / SPAN)
-    times = F.when(conv % 9 == 2, F.lit(2)).otherwise(F.lit(1))
-    return tweets(spark, sf).select(
-        "tweet_id",
-        "author_id",
+    text = F.when(conv % 11 == 3, F.lit(None)).when(conv % 11 == 4, F.lit("\t  ")).otherwise(F.substring("text", 1, 1))
+    added = rows.where(conv % 11 >= 3).where(conv % 11 <= 5).withColumns(
+        {c: F.col(c) + EXTRA for c in ("tweet_id", "in_response_to_tweet_id")} | {"text": text}
+    )
+    every = rows.unionByName(added)
+    flag = (
         F.when(F.col("tweet_id") % 17 == 5, F.lit("maybe"))
         .when(F.col("inbound"), F.lit("True"))
-        .otherwise(F.lit("false"))
-        .alias("inbound"),
-        "created_at",
-        F.when(conv % 11 == 3, F.lit(None))
-        .when(conv % 11 == 4, F.lit("\t  "))
-        .when(conv % 11 == 5, F.substring("text", 1, 1))
-        .otherwise(F.col("text"))
-        .alias("text"),
-        "in_response_to_tweet_id",
+        .when(~F.col("inbound"), F.lit("false"))
+    )
+    times = F.when(conv % 9 == 2, F.lit(2)).otherwise(F.lit(1))
+    return every.select(
+        "tweet_id", "author_id", flag.alias("inbound"), "created_at", "text", "in_response_to_tweet_id",
         F.explode(F.sequence(F.lit(1), times)).alias("_i"),
-    ).drop("_i")
+    ).drop("_i")
 
 
 def dated(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,21 +140,42 @@ def sources(spark: SparkSession, sf: str) -> DataFrame:
 # --- triage -----------------------------------------------------------------
 
 
-def inbox(spark: SparkSession, sf: str) -> DataFrame:
-    """Customer messages, some with risky wording, too short or blank."""
-    users = tweets(spark, sf).where("inbound")
-    k = F.floor(F.col("tweet_id") / SPAN) % 7
-    return users.select(
-        F.col("tweet_id").alias("message_id"),
-        F.when(k == 0, F.concat(F.lit("Please CANCEL my order: "), "text"))
-        .when(k == 1, F.substring("text", 1, 5))
+def risky(k, text):
+    """Risky wording, a text too short, or a blank one."""
+    return (
+        F.when(k == 0, F.concat(F.lit("Please CANCEL my order: "), text))
+        .when(k == 1, F.substring(text, 1, 5))
         .when(k == 2, F.lit(" \t "))
-        .when(k == 3, F.concat(F.lit("I was hacked and unlock account. "), "text"))
-        .otherwise(F.col("text"))
-        .alias("message"),
+        .when(k == 3, F.concat(F.lit("I was hacked and unlock account. "), text))
     )
 
 
+def odd_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages added to the given ones: copies with risky wording, too short or blank."""
+    k = F.floor(F.col("tweet_id") / SPAN) % 7
+    users = tweets(spark, sf).where("inbound").where(k <= 3)
+    return users.select((F.col("tweet_id") + EXTRA).alias("message_id"), risky(k, F.col("text")).alias("message"))
+
+
+def inbox(spark: SparkSession, sf: str) -> DataFrame:
+    """All customer messages as they are, and the added ones."""
+    users = tweets(spark, sf).where("inbound").select(F.col("tweet_id").alias("message_id"), F.col("text").alias("message"))
+    return users.unionByName(odd_messages(spark, sf))
+
+
+def case_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The labelled cases without golden ones and their messages, split for training and validation."""
+    rows = labelled(spark, sf)
+    gold = store(golden.golden_set(rows, PER_LABEL, SEED))
+    return golden.make_splits(rows, gold, seed=SEED)
+
+
+def asked(spark: SparkSession, sf: str, splits: DataFrame) -> DataFrame:
+    """What is looked up in the training cases: the validation messages as they are, and the added ones."""
+    held = splits.where("split = 'validation'").select(F.col("customer_tweet_id").alias("message_id"), F.col("customer_message").alias("message"))
+    return held.unionByName(odd_messages(spark, sf))
+
+
 def rule_classifier(df: DataFrame, column: str) -> DataFrame:
     """Class scores from keyword hits: three more for a class with a hit, one for every class."""
     names = [label for label, _ in RULES] + ["other"]
@@ -162,18 +186,20 @@ def rule_classifier(df: DataFrame, column: str) -> DataFrame:
 
 
 def drafts(spark: SparkSession, sf: str) -> DataFrame:
-    """Assistant turns as drafted replies, some with unsupported claims."""
+    """Assistant turns as drafted replies, and added copies with unsupported claims or next to no text."""
     rows = tweets(spark, sf).where("NOT inbound")
     k = F.floor(F.col("tweet_id") / SPAN) % 8
     claim = (
         F.when(k == 0, F.lit("Your order has been cancelled and you will receive $50 or 20 USD. "))
         .when(k == 1, F.lit("I've refunded it by next week, on 2024-03-15. Our policy says so. "))
         .when(k == 2, F.lit("You are entitled to a refund of $10 by March 15, 2024. "))
-        .otherwise(F.lit(""))
     )
-    return rows.select(
+    added = rows.where(k <= 3).select(
+        (F.col("tweet_id") + EXTRA).alias("tweet_id"), F.when(k == 3, F.lit(" ok ")).otherwise(F.concat(claim, "text")).alias("text")
+    )
+    return rows.select("tweet_id", "text").unionByName(added).select(
         F.col("tweet_id").alias("message_id"),
-        F.when(k == 3, F.lit(" ok ")).otherwise(F.concat(claim, "text")).alias("reply"),
+        F.col("text").alias("reply"),
         (F.col("tweet_id") % 3).cast("int").alias("n_cases"),
         F.when(F.col("tweet_id") % 2 == 0, F.lit("ESCALATE")).otherwise(F.lit("AUTO_HANDLE")).alias("decision"),
     )
@@ -181,7 +207,7 @@ def drafts(spark: SparkSession, sf: str) -> DataFrame:
 
 def verdicts(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
     """Typed judge verdicts for the labelled documents, with scores from the ids."""
-    d = table(spark, sf, "labels")
+    d = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "text", "source"), "doc_id")
     from caseloom.config import JUDGE_DIMENSIONS as dims
 
     scores = [
@@ -199,9 +225,9 @@ def verdicts(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
     )
     return d.select(
         F.concat(F.lit("CASE_"), F.col("doc_id").cast("string")).alias("case_id"),
-        F.concat(F.lit("message "), F.col("doc_id").cast("string")).alias("customer_message"),
+        F.col("text").alias("customer_message"),
         F.lit("other").alias("predicted_intent"),
-        F.concat(F.lit("reply "), F.col("doc_id").cast("string")).alias("generated_reply"),
+        F.concat(F.lit("See "), F.col("source")).alias("generated_reply"),
         result.alias("judge_result"),
     )
 
@@ -248,25 +274,26 @@ CTES = {
         SELECT c.conv_id * {SPAN} + c.turn AS tweet_id,
                CASE WHEN c.role = 'assistant' THEN 'brand_' || CAST(c.conv_id % 5 AS VARCHAR)
                     ELSE CAST(c.conv_id AS VARCHAR) END AS author_id,
-               c.role = 'user' AS inbound,
+               CASE c.role WHEN 'user' THEN TRUE WHEN 'assistant' THEN FALSE END AS inbound,
                CASE WHEN (c.conv_id + c.turn) % 13 = 0 THEN 'not recorded'
                     ELSE strftime(TIMESTAMP '2017-10-30 08:00:00'
                          + to_seconds(c.conv_id * 3600 + c.turn * (300 + c.conv_id % 7 * 60)),
                          '%a %b %d %H:%M:%S +0000 %Y') END AS created_at,
                c.text AS text,
                CASE WHEN c.turn > 0 THEN c.conv_id * {SPAN} + c.turn - 1 END AS in_response_to_tweet_id
-        FROM conversations c
-        WHERE c.role <> 'system'""",
+        FROM conversations c""",
     "messy": f"""
         SELECT tweet_id, author_id,
-               CASE WHEN tweet_id % 17 = 5 THEN 'maybe' WHEN inbound THEN 'True' ELSE 'false' END AS inbound,
-               created_at,
-               CASE WHEN (tweet_id // {SPAN}) % 11 = 3 THEN NULL
-                    WHEN (tweet_id // {SPAN}) % 11 = 4 THEN chr(9) || '  '
-                    WHEN (tweet_id // {SPAN}) % 11 = 5 THEN substr(text, 1, 1)
-                    ELSE text END AS text,
-               in_response_to_tweet_id
-        FROM (SELECT * FROM tweets UNION ALL SELECT * FROM tweets WHERE (tweet_id // {SPAN}) % 9 = 2) t""",
+               CASE WHEN tweet_id % 17 = 5 THEN 'maybe' WHEN inbound THEN 'True' WHEN NOT inbound THEN 'false' END AS inbound,
+               created_at, text, in_response_to_tweet_id
+        FROM (
+          SELECT * FROM tweets
+          UNION ALL
+          SELECT tweet_id + {EXTRA}, author_id, inbound, created_at,
+                 CASE (tweet_id // {SPAN}) % 11 WHEN 3 THEN NULL WHEN 4 THEN chr(9) || '  ' ELSE substr(text, 1, 1) END,
+                 in_response_to_tweet_id + {EXTRA}
+          FROM tweets WHERE (tweet_id // {SPAN}) % 11 BETWEEN 3 AND 5) t,
+        LATERAL (SELECT unnest(CASE WHEN (tweet_id // {SPAN}) % 9 = 2 THEN [1, 2] ELSE [1] END)) r""",
     "dated": """
         SELECT o_orderkey * 10 AS tweet_id, CAST(o_custkey AS VARCHAR) AS author_id, TRUE AS inbound,
                o_orderdate AS created, o_orderpriority AS text, CAST(NULL AS BIGINT) AS in_response_to_tweet_id
@@ -331,33 +358,48 @@ CTES = {
                CASE WHEN support = 0 THEN 0 ELSE CAST(tp AS DOUBLE) / support END AS recall,
                CASE WHEN support + predicted = 0 THEN 0 ELSE 2.0 * CAST(tp AS DOUBLE) / (support + predicted) END AS f1
         FROM per_label""",
-    "inbox": f"""
-        SELECT tweet_id AS message_id,
+    "odd": f"""
+        SELECT tweet_id + {EXTRA} AS message_id,
                CASE (tweet_id // {SPAN}) % 7
                  WHEN 0 THEN 'Please CANCEL my order: ' || text
                  WHEN 1 THEN substr(text, 1, 5)
                  WHEN 2 THEN ' ' || chr(9) || ' '
-                 WHEN 3 THEN 'I was hacked and unlock account. ' || text
-                 ELSE text END AS message
-        FROM tweets WHERE inbound""",
+                 ELSE 'I was hacked and unlock account. ' || text END AS message
+        FROM tweets WHERE inbound AND (tweet_id // {SPAN}) % 7 <= 3""",
+    "inbox": "SELECT tweet_id AS message_id, text AS message FROM tweets WHERE inbound UNION ALL SELECT * FROM odd",
+    "case_gold": f"""
+        SELECT *, {order_sql('customer_tweet_id', 'brand_tweet_id')} AS o FROM labelled
+        QUALIFY row_number() OVER (PARTITION BY intent ORDER BY o, customer_tweet_id, brand_tweet_id) <= {PER_LABEL}""",
+    "case_splits": f"""
+        SELECT *, CASE WHEN row_number() OVER (PARTITION BY intent ORDER BY o, customer_tweet_id, brand_tweet_id)
+                         <= ceil(round(0.15 * count(*) OVER (PARTITION BY intent), 9))
+                       THEN 'validation' ELSE 'train' END AS split
+        FROM (SELECT *, {order_sql('customer_tweet_id', 'brand_tweet_id')} AS o FROM labelled
+              WHERE case_id NOT IN (SELECT case_id FROM case_gold)
+                AND customer_message NOT IN (SELECT customer_message FROM case_gold)) p""",
+    "corpus": "SELECT * FROM case_splits WHERE split = 'train'",
+    "held_cases": "SELECT * FROM case_splits WHERE split = 'validation'",
+    "asked": "SELECT customer_tweet_id AS message_id, customer_message AS message FROM held_cases UNION ALL SELECT * FROM odd",
     "drafts": f"""
-        SELECT tweet_id AS message_id,
-               CASE (tweet_id // {SPAN}) % 8
-                 WHEN 0 THEN 'Your order has been cancelled and you will receive $50 or 20 USD. ' || text
-                 WHEN 1 THEN 'I''ve refunded it by next week, on 2024-03-15. Our policy says so. ' || text
-                 WHEN 2 THEN 'You are entitled to a refund of $10 by March 15, 2024. ' || text
-                 WHEN 3 THEN ' ok '
-                 ELSE text END AS reply,
-               CAST(tweet_id % 3 AS INTEGER) AS n_cases,
+        SELECT tweet_id AS message_id, text AS reply, CAST(tweet_id % 3 AS INTEGER) AS n_cases,
                CASE WHEN tweet_id % 2 = 0 THEN 'ESCALATE' ELSE 'AUTO_HANDLE' END AS decision
-        FROM tweets WHERE NOT inbound""",
+        FROM (
+          SELECT tweet_id, text FROM tweets WHERE NOT inbound
+          UNION ALL
+          SELECT tweet_id + {EXTRA},
+                 CASE (tweet_id // {SPAN}) % 8
+                   WHEN 0 THEN 'Your order has been cancelled and you will receive $50 or 20 USD. ' || text
+                   WHEN 1 THEN 'I''ve refunded it by next week, on 2024-03-15. Our policy says so. ' || text
+                   WHEN 2 THEN 'You are entitled to a refund of $10 by March 15, 2024. ' || text
+                   ELSE ' ok ' END
+          FROM tweets WHERE NOT inbound AND (tweet_id // {SPAN}) % 8 <= 3) d""",
 }
 CTES["dated_pairs"] = """
-        SELECT c.tweet_id AS customer_tweet_id, b.tweet_id AS brand_tweet_id, c.author_id AS customer_user,
-               b.author_id AS brand_account, c.text AS customer_message, b.text AS brand_reply,
-               (epoch_us(b.created) - epoch_us(c.created)) / 6e7 AS reply_time_minutes
-        FROM dated c JOIN dated b ON b.in_response_to_tweet_id = c.tweet_id
-        WHERE c.inbound AND NOT b.inbound"""
+        SELECT o_orderkey * 10 AS customer_tweet_id, l_orderkey * 10 + l_linenumber AS brand_tweet_id,
+               CAST(o_custkey AS VARCHAR) AS customer_user, 'supplier_' || CAST(l_suppkey AS VARCHAR) AS brand_account,
+               o_orderpriority AS customer_message, concat_ws(' ', l_returnflag, CAST(l_partkey AS VARCHAR)) AS brand_reply,
+               (epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 6e7 AS reply_time_minutes
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey"""
 
 
 def _verdict_sql(shift: int) -> str:
@@ -369,10 +411,10 @@ def _verdict_sql(shift: int) -> str:
     )
     return f"""
         SELECT *, ({' + '.join(dims)}) / 5.0 AS overall_score FROM (
-          SELECT 'CASE_' || CAST(doc_id AS VARCHAR) AS case_id, 'message ' || CAST(doc_id AS VARCHAR) AS customer_message,
-                 'other' AS predicted_intent, 'reply ' || CAST(doc_id AS VARCHAR) AS generated_reply,
+          SELECT 'CASE_' || CAST(doc_id AS VARCHAR) AS case_id, text AS customer_message,
+                 'other' AS predicted_intent, 'See ' || source AS generated_reply,
                  doc_id % 10 <> 7 AS ok, {scores}
-          FROM labels) v"""
+          FROM labels JOIN documents USING (doc_id)) v"""
 
 
 CTES["verdicts"] = _verdict_sql(0)
@@ -405,7 +447,12 @@ DEPENDS = {
     "paired": ["tweets"],
     "messy_pairs": ["messy"],
     "labelled": ["paired"],
-    "dated_pairs": ["dated"],
+    "case_gold": ["labelled"],
+    "case_splits": ["case_gold"],
+    "corpus": ["case_splits"],
+    "held_cases": ["case_splits"],
+    "odd": ["tweets"],
+    "asked": ["held_cases", "odd"],
     "golden": ["pool"],
     "held": ["golden"],
     "clean_pool": ["held"],
@@ -413,7 +460,7 @@ DEPENDS = {
     "pair_counts": ["scored"],
     "per_label": ["pair_counts"],
     "label_metrics": ["per_label"],
-    "inbox": ["tweets"],
+    "inbox": ["odd"],
     "drafts": ["tweets"],
 }
 

@@ -3,12 +3,15 @@
 from pyspark.sql import functions as F
 
 from caseloom.config import JUDGE_DIMENSIONS as DIMS
+from caseloom.config import NO_JUDGE_EXAMPLES
 from caseloom.functions.jsonparse import parse_json
 from caseloom.operators import judge as J
 from caseloom.plans import triage as T
 from caseloom.plans.catalogue import bindings as B
 from caseloom.plans.catalogue import query
-from caseloom.plans.catalogue.similar import _index
+from caseloom.plans.catalogue.answering import RESULT, render_sql, triage_sql
+from caseloom.plans.catalogue.similar import QUERIES, looked_up
+from caseloom.session import store
 
 CELLS = "case_id, customer_message, predicted_intent, generated_reply"
 
@@ -166,10 +169,23 @@ def slice_(spark, sf):
     return J.evaluation_slice(_splits(spark, sf).where("split = 'validation'"), 30).select("case_id", "intent")
 
 
-@query("H1_judge_prompt")
+THREE_PLACES = "CAST(CAST(CAST(round(score, 4) AS DECIMAL(18, 4)) AS DECIMAL(18, 3)) AS VARCHAR)"
+JUDGED = f"""{triage_sql('asked')},
+    shown AS (SELECT message_id, CAST(count(*) AS VARCHAR) || chr(10) || string_agg('SIMILARITY: ' || {THREE_PLACES} || chr(10)
+              || 'CUSTOMER: ' || l.customer_message || chr(10) || 'BRAND REPLY: ' || l.brand_reply || chr(10), chr(10) ORDER BY place) AS listed
+              FROM top JOIN corpus l ON l.customer_tweet_id = top.doc_id GROUP BY 1),
+    results AS (SELECT {RESULT}, why FROM grounded),
+    prompts AS (SELECT r.*, {render_sql(J.JUDGE_TEMPLATE, {
+        "customer_message": "customer_message", "predicted_intent": "intent", "intent_confidence": "CAST(intent_confidence AS VARCHAR)",
+        "historical_examples": f"CASE WHEN why = '' AND listed IS NOT NULL THEN listed ELSE {B.quote(NO_JUDGE_EXAMPLES)} END",
+        "generated_reply": "reply", "escalation_decision": "decision", "escalation_reason": "escalation_reason"})} AS judge_prompt
+      FROM results r LEFT JOIN shown s ON s.message_id = r.message_id)"""
+
+
+@query("H1_judge_prompt", B.with_views("corpus asked", f", {JUDGED} SELECT message_id, judge_prompt FROM prompts", QUERIES))
 def judge_prompts(spark, sf):
-    done = T.triage(B.inbox(spark, sf), B.rule_classifier, _index(spark, sf))
-    return J.judge_prompt(done).select("message_id", "judge_prompt")
+    index, asked = looked_up(spark, sf)
+    return J.judge_prompt(T.triage(asked, B.rule_classifier, index)).select("message_id", "judge_prompt")
 
 
 def strict_judge(prompts):
@@ -184,9 +200,26 @@ def strict_judge(prompts):
     return out
 
 
-@query("H8_judge_run")
+SCORES = " + ".join(f"((length(judge_prompt) + {3 * i}) % 5 + 1)" for i in range(len(DIMS)))
+
+
+@query(
+    "H8_judge_run",
+    B.with_views(
+        "corpus asked held_cases",
+        f""", {JUDGED} SELECT case_id, p.intent AS predicted_intent, decision AS escalation_decision,
+        CASE WHEN length(judge_prompt) % 11 = 0 THEN 'failed' ELSE 'success' END AS status,
+        CASE WHEN length(judge_prompt) % 11 <> 0 THEN round(({SCORES}) / 5.0, 2) END AS overall_score
+        FROM prompts p JOIN held_cases h ON h.customer_tweet_id = p.message_id""",
+        QUERIES,
+    ),
+)
 def judge_run(spark, sf):
-    validation = B.labelled(spark, sf)
-    return T.judge_run(validation, B.rule_classifier, _index(spark, sf), strict_judge, n=30).select(
+    """The whole validation split, judged."""
+    from caseloom.operators import similarity
+
+    splits = store(B.case_splits(spark, sf))
+    index = similarity.build_index(splits.where("split = 'train'"), B.STOPS, keep=store)
+    return T.judge_run(splits.where("split = 'validation'"), B.rule_classifier, index, strict_judge).select(
         "case_id", "predicted_intent", "escalation_decision", "judge_result.status", "judge_result.overall_score"
     )

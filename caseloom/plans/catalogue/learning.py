@@ -10,12 +10,12 @@ from caseloom.operators import golden as G
 from caseloom.plans import evaluation
 from caseloom.plans.catalogue import bindings as B
 from caseloom.plans.catalogue import query
-from caseloom.plans.catalogue.answering import NAMES, _classes, CHECK
-from caseloom.plans.catalogue.similar import _index
+from caseloom.plans.catalogue.answering import CHECK, NAMES, RESULT, _classes, triage_sql
+from caseloom.plans.catalogue.similar import _index, searches
 from caseloom.session import shared_folder, store
 from caseloom.streaming import live
 
-CFG = TriageConfig(max_iter=50)
+CFG = TriageConfig()
 
 
 def _fitted(spark, sf):
@@ -24,17 +24,46 @@ def _fitted(spark, sf):
     return C.fit_classifier(train, CFG, B.STOPS), train, gold
 
 
-@query("M6_classifier_report")
+@query(
+    "M6_classifier_report",
+    B.with_views(
+        "splits",
+        """SELECT g.intent AS label, count(*) AS examples, TRUE AS scored, TRUE AS beats_majority
+        FROM golden g GROUP BY 1""",
+    ),
+)
 def fitted_report(spark, sf):
-    model, _, gold = _fitted(spark, sf)
-    return evaluation.tfidf_results(model, gold)["report"]
+    """Per golden label its examples, whether its figures lie between 0 and 1, and whether the model beats the majority."""
+    model, train, gold = _fitted(spark, sf)
+    results = evaluation.tfidf_results(model, gold)
+    report = results["report"]
+    base = evaluation.majority_report(train, gold)
+    better = [r.where("metric = 'accuracy'").select("value").scalar() for r in (report, base)]
+    fine = report.where("metric LIKE 'per_intent_%'").groupBy("label").agg(
+        (F.count_if(F.col("value").between(0, 1)) == 3).alias("scored")
+    )
+    sizes = results["predictions"].groupBy(F.col("true_intent").alias("label")).agg(F.count(F.lit(1)).alias("examples"))
+    return sizes.join(fine, "label").withColumn("beats_majority", better[0] > better[1])
 
 
-@query("M7_batch_predictions")
+@query(
+    "M7_batch_predictions",
+    B.with_views("splits inbox", "SELECT message_id, TRUE AS known_label, TRUE AS sums_to_one, TRUE AS surest_first FROM inbox"),
+)
 def batch_predictions(spark, sf):
-    model, _, _ = _fitted(spark, sf)
+    """For every message, whether its classes are the training labels with falling probabilities that sum to one."""
+    model, train, _ = _fitted(spark, sf)
     rows = C.classify(B.inbox(spark, sf), model)
-    return rows.select("message_id", "classification.intent", "classification.confidence")
+    top = F.col("classification.top_intents")
+    names = F.array(*[F.lit(x) for x in C.labels_of(model)])
+    total = F.aggregate(top, F.lit(0.0), lambda a, t: a + t["probability"])
+    falling = F.forall(F.sequence(F.lit(1), F.size(top) - 1), lambda i: F.get(top, i - 1)["probability"] >= F.get(top, i)["probability"])
+    return rows.select(
+        "message_id",
+        F.array_contains(names, F.col("classification.intent")).alias("known_label"),
+        (F.abs(total - 1) < 0.01).alias("sums_to_one"),
+        (falling & (F.get(top, F.lit(0))["intent"] == F.col("classification.intent"))).alias("surest_first"),
+    )
 
 
 RANKED = ", ".join(f"ranks[{i + 1}].intent || ' ' || CAST(round(-ranks[{i + 1}].k, 4) AS VARCHAR)" for i in range(len(NAMES)))
@@ -59,26 +88,28 @@ def _folder(spark, name):
     return f"{shared_folder(spark)}/caseloom/{name}-{uuid4().hex}"
 
 
-def _drain(spark, frame, name, mode="append"):
+def _drain(spark, frame, name):
     """Run a stream over everything there is now and return what it wrote."""
     folder = _folder(spark, name)
 
     def put(batch, number):
-        batch.write.mode("overwrite").parquet(f"{folder}/out" if mode == "complete" else f"{folder}/out/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
 
-    run = frame.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").foreachBatch(put)
+    run = frame.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/state").foreachBatch(put)
     run.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 
 @query(
     "X5_windowed_counts",
-    """SELECT epoch(time_bucket(INTERVAL 1 DAY, ts))::BIGINT AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2""",
+    """SELECT epoch(time_bucket(INTERVAL 1 DAY, ts))::BIGINT AS window_start, event_type, count(*) AS n FROM events
+    GROUP BY 1, 2 HAVING window_start + 86400 <= (SELECT epoch(max(ts)) - 3600 FROM events)""",
 )
 def windowed(spark, sf):
+    """Windows that the watermark has closed; rows that come later are dropped."""
     events = _stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     counts = live.windowed_counts(events, "ts", "event_type", "1 day", "1 hour")
-    out = _drain(spark, counts, "windowed", "complete")
+    out = _drain(spark, counts, "windowed")
     return out.select(F.unix_seconds("window_start").alias("window_start"), "event_type", "n")
 
 
@@ -101,13 +132,23 @@ def stream_pairs(spark, sf):
             F.timestamp_seconds(seconds + 1_500_000_000).alias("created_at"),
         )
 
-    # A replay of a whole table must not call any of its rows late.
-    pairs = live.pair_stream(side("user"), side("assistant"), "7 days", "36500 days")
+    pairs = live.pair_stream(side("user"), side("assistant"), "7 days", "1 day")
     out = _drain(spark, pairs, "pairs")
     return out.select("customer_tweet_id", "brand_tweet_id", F.round("reply_time_minutes", 6).alias("reply_time_minutes"))
 
 
-@query("X3_stream_triage")
+TURNS = {"turns": "SELECT tweet_id AS message_id, text AS message FROM tweets WHERE inbound"}
+
+
+@query(
+    "X3_stream_triage",
+    B.with_views(
+        "corpus",
+        f""", {triage_sql('turns')}, results AS (SELECT {RESULT} FROM grounded)
+        SELECT message_id, decision, escalation_reason, reply FROM results""",
+        TURNS | searches("turns"),
+    ),
+)
 def stream_triage(spark, sf):
     messages = _stream(spark, sf, "conversations").where("role = 'user'").select(
         (F.col("conv_id") * B.SPAN + F.col("turn")).alias("message_id"), F.col("text").alias("message")

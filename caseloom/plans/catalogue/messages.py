@@ -11,19 +11,6 @@ TWEET_COLS = "tweet_id, author_id, inbound, created_at, text, in_response_to_twe
 BRAND = "brand_2"
 
 
-@query("S1_message_scan", B.with_views("tweets", f"SELECT {TWEET_COLS} FROM tweets"))
-def message_scan(spark, sf):
-    return B.tweets(spark, sf)
-
-
-@query(
-    "S4_keep_empty_strings",
-    B.with_views("messy", "SELECT tweet_id, coalesce(text, '') AS text, coalesce(created_at, '') AS created_at FROM messy"),
-)
-def keep_empty(spark, sf):
-    return B.messy(spark, sf).select("tweet_id", "text", "created_at").na.fill("")
-
-
 @query("P1_customer_messages", B.with_views("tweets", "SELECT tweet_id, author_id, text FROM tweets WHERE inbound"))
 def customers(spark, sf):
     return cases.customer_messages(B.tweets(spark, sf)).select("tweet_id", "author_id", "text")
@@ -308,7 +295,7 @@ def subset(spark, sf):
         count(*) FILTER (length(text) < 2) AS short_messages,
         count(*) FILTER (length(text) > 300) AS long_messages,
         count(*) FILTER (in_response_to_tweet_id IS NULL) AS missing_reply_link,
-        count(*) FILTER (lower(inbound) NOT IN ('true', 'false')) AS unexpected_inbound FROM messy""",
+        count(*) FILTER (NOT coalesce(lower(inbound) IN ('true', 'false'), FALSE)) AS unexpected_inbound FROM messy""",
     ),
 )
 def quality(spark, sf):

@@ -118,9 +118,9 @@ def errors(spark, sf):
     return M.error_table(B.scored(spark, sf), B.sources(spark, sf)).drop("customer_message")
 
 
-@query("L2_errors_by_confidence", ERRORS + " ORDER BY confidence DESC, example_id LIMIT 50")
+@query("L2_errors_by_confidence", ERRORS + " ORDER BY confidence DESC, example_id")
 def surest_errors(spark, sf):
-    return M.error_table(B.scored(spark, sf), B.sources(spark, sf)).drop("customer_message").limit(50)
+    return M.error_table(B.scored(spark, sf), B.sources(spark, sf)).drop("customer_message")
 
 
 @query("J7_source_lookup", B.with_views("scored", "SELECT example_id, correct, 'CASE_' || substr(example_id, 6) AS source_case_id FROM scored"))

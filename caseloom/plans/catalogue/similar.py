@@ -7,8 +7,7 @@ from caseloom.plans.catalogue import bindings as B
 from caseloom.plans.catalogue import query
 from caseloom.session import store
 
-HELD = "customer_tweet_id % 5 <> 1"  # cases kept out of the corpus, as golden ones are
-DOCS = {"docs": f"SELECT customer_tweet_id AS doc_id, any_value(customer_message) AS body FROM labelled WHERE {HELD} GROUP BY 1"}
+DOCS = {"docs": "SELECT customer_tweet_id AS doc_id, any_value(customer_message) AS body FROM corpus GROUP BY 1"}
 
 
 @query(
@@ -28,18 +27,13 @@ def grouped(spark, sf):
 
 
 @query(
-    "A13_reply_lists",
-    B.with_views(
-        "dated_pairs",
-        """SELECT customer_tweet_id AS doc_id, 0 AS part, 1 AS parts,
-        string_agg(brand_reply, ' | ' ORDER BY brand_tweet_id, brand_reply) AS replies FROM dated_pairs GROUP BY 1""",
-    ),
+    "A13_all_replies",
+    B.with_views("dated_pairs", "SELECT customer_tweet_id AS doc_id, brand_tweet_id AS reply_order, brand_reply FROM dated_pairs"),
 )
-def reply_lists(spark, sf):
+def all_replies(spark, sf):
     from caseloom.operators import cases
 
-    lists = S.reply_lists(cases.pair_messages(B.dated(spark, sf)))
-    return lists.select("doc_id", "part", "parts", F.array_join("brand_replies", " | ").alias("replies"))
+    return S.replies_of(cases.pair_messages(B.dated(spark, sf)))
 
 
 TF = B.tfidf_ctes("d", "documents_view")
@@ -67,12 +61,14 @@ def weights(spark, sf):
     return S.tfidf(*_doc_counts(spark, sf)).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
-def _corpus(spark, sf):
-    return B.labelled(spark, sf).where(HELD)
+def _index(spark, sf):
+    return S.build_index(B.case_splits(spark, sf).where("split = 'train'"), B.STOPS, keep=store)
 
 
-def _index(spark, sf):
-    return S.build_index(store(_corpus(spark, sf)), B.STOPS, keep=store)
+def looked_up(spark, sf):
+    """The index of the training cases, and what is asked."""
+    splits = store(B.case_splits(spark, sf))
+    return S.build_index(splits.where("split = 'train'"), B.STOPS, keep=store), B.asked(spark, sf, splits)
 
 
 CORPUS = DOCS | B.tfidf_ctes("c", "docs")
@@ -81,7 +77,7 @@ CORPUS = DOCS | B.tfidf_ctes("c", "docs")
 @query(
     "M5_corpus_postings",
     B.with_views(
-        "labelled",
+        "corpus",
         """SELECT vec_id, term, round(weight, 6) AS weight FROM (
           SELECT doc_id, term, weight, min(doc_id) OVER (PARTITION BY v, term) AS vec_id FROM c_weights
           JOIN (SELECT doc_id, string_agg(term || ':' || CAST(round(weight, 9) AS VARCHAR), ' ' ORDER BY term) AS v
@@ -90,48 +86,49 @@ CORPUS = DOCS | B.tfidf_ctes("c", "docs")
     ),
 )
 def postings(spark, sf):
-    return S.build_index(_corpus(spark, sf), B.STOPS).postings.withColumn("weight", F.round("weight", 6))
+    return _index(spark, sf).postings.drop("df").withColumn("weight", F.round("weight", 6))
 
 
 @query(
     "M5_corpus_cases",
     B.with_views(
-        "labelled",
-        f"""SELECT customer_tweet_id AS doc_id, min(customer_message) AS customer_message, min(case_id) AS case_id,
-        min(intent) AS intent, min_by(brand_reply, row(brand_tweet_id, brand_reply)) AS brand_reply, count(*) AS n_replies,
-        string_agg(brand_reply, ' | ' ORDER BY brand_tweet_id, brand_reply) AS replies
-        FROM labelled WHERE {HELD} GROUP BY 1""",
+        "corpus",
+        """SELECT customer_tweet_id AS doc_id, min(customer_message) AS customer_message, min(case_id) AS case_id,
+        min(intent) AS intent, min_by(brand_reply, row(brand_tweet_id, brand_reply)) AS brand_reply, count(*) AS n_replies
+        FROM corpus GROUP BY 1""",
     ),
 )
 def corpus_cases(spark, sf):
-    c = S.build_index(_corpus(spark, sf), B.STOPS).cases
-    return c.select(
-        "doc_id", "customer_message", "case_id", "intent", "brand_reply", "n_replies",
-        F.array_join("brand_replies", " | ").alias("replies"),
-    )
+    c = _index(spark, sf).cases
+    return c.select("doc_id", "customer_message", "case_id", "intent", "brand_reply", "n_replies")
+
+
+def searches(source):
+    """What the messages of a view find in the training cases."""
+    return CORPUS | {"questions": f"SELECT message_id AS doc_id, message AS body FROM {source}", **B.tfidf_ctes("q", "questions", "c_vocab"), **FOUND}
 
 
-QUERIES = CORPUS | {
-    "asked": "SELECT message_id AS doc_id, message AS body FROM inbox",
-    **B.tfidf_ctes("q", "asked", "c_vocab"),
+FOUND = {
     "scores": """SELECT q.doc_id AS message_id, c.doc_id AS doc_id, sum(q.weight * c.weight) AS score
                  FROM q_weights q JOIN c_weights c USING (term) GROUP BY 1, 2""",
     "top": """SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY round(score, 9) DESC, doc_id) AS place FROM scores
               WHERE score > 0 QUALIFY place <= 3""",
 }
+QUERIES = searches("asked")
 
 
 def _retrieved(spark, sf, **options):
-    return S.retrieve(B.inbox(spark, sf), _index(spark, sf), **options)
+    index, asked = looked_up(spark, sf)
+    return S.retrieve(asked, index, **options)
 
 
 @query(
     "M4_retrieval",
     B.with_views(
-        "labelled inbox",
+        "corpus asked",
         """SELECT i.message_id AS message_id, coalesce(max(score) >= 0.15, FALSE) AS sufficient,
         coalesce(round(max(score), 4), 0.0) AS top_similarity, count(doc_id) AS n_results
-        FROM inbox i LEFT JOIN top USING (message_id) GROUP BY 1""",
+        FROM asked i LEFT JOIN top USING (message_id) GROUP BY 1""",
         QUERIES,
     ),
 )
@@ -143,11 +140,11 @@ def retrieval(spark, sf):
 @query(
     "W7_top_cases",
     B.with_views(
-        "labelled inbox",
+        "corpus asked",
         """SELECT message_id, place, 'CASE_' || CAST(doc_id AS VARCHAR) AS case_id, round(score, 4) AS similarity_score,
         l.intent AS intent, l.brand_reply AS brand_reply FROM top
         JOIN (SELECT customer_tweet_id, min(intent) AS intent, min_by(brand_reply, row(brand_tweet_id, brand_reply)) AS brand_reply
-              FROM labelled GROUP BY 1) l ON l.customer_tweet_id = top.doc_id""",
+              FROM corpus GROUP BY 1) l ON l.customer_tweet_id = top.doc_id""",
         QUERIES,
     ),
 )
@@ -166,13 +163,13 @@ def top_cases(spark, sf):
 @query(
     "J8_rare_term_search",
     B.with_views(
-        "labelled inbox",
+        "corpus asked",
         "SELECT message_id, place, 'CASE_' || CAST(doc_id AS VARCHAR) AS case_id, round(score, 4) AS similarity_score FROM top",
         QUERIES,
     ),
 )
 def rare_term_search(spark, sf):
-    """The same result found from rare terms first, as for large batches against large corpora."""
-    r = _retrieved(spark, sf, pair_limit=0, budgets=(60, 600))
+    """The same result from so small a first budget that most queries need several rounds."""
+    r = _retrieved(spark, sf, budget=60)
     r = r.select("message_id", F.posexplode("retrieval.top_cases").alias("p", "c"))
     return r.select("message_id", (F.col("p") + 1).cast("long").alias("place"), "c.case_id", "c.similarity_score")

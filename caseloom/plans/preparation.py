@@ -35,7 +35,10 @@ def prepare(
     keep("brand_analysis", brands.brand_profile(brands.top_brands(volume, 20)))
     choice = keep("selected_brand", brands.select_brand(volume, low, high))
     paths["selected_brand_summary"] = writers.write_summary(writers.brand_summary(choice), f"{out}/selected_brand_summary")
-    brand = choice.first()["brand"]
+    found = choice.first()
+    if found is None:
+        raise ValueError(f"no brand has {low} to {high} replies, and there are too few brands to fall back on")
+    brand = found["brand"]
     subset = keep("brand_tweets", brands.brand_subset(tweets, brand))
     keep("message_quality", profile.message_quality(subset))
     pairs = keep("candidate_cases", cases.build_cases(subset))

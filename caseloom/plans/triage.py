@@ -12,6 +12,7 @@ from caseloom import config, schemas
 from caseloom.operators import classify as C
 from caseloom.operators import escalation, grounding, judge, replies, similarity
 from caseloom.sources.readers import read_sample_messages
+from caseloom.session import store
 from caseloom.sources.writers import write_json
 
 Classifier = Callable[[DataFrame, str], DataFrame]
@@ -44,6 +45,7 @@ def triage(
     message: str = "message",
     extra: tuple = (),
     template: str = replies.REPLY_TEMPLATE,
+    keep: Callable[[DataFrame], DataFrame] = store,
 ) -> DataFrame:
     """One result row per message, keyed by ``message_id``.
 
@@ -57,10 +59,10 @@ def triage(
     if index is None:
         rows = rows.withColumn("retrieval", similarity.no_result())
     else:
-        rows = similarity.retrieve(rows, index, cfg.top_k, cfg.min_similarity, message_id, "text")
+        rows = similarity.retrieve(rows, index, cfg.top_k, cfg.min_similarity, message_id, "text", keep=keep)
     text, cls, ret = F.col("text"), F.col("classification"), F.col("retrieval")
     rows = rows.withColumn("first", escalation.decide(text, cls, ret, cfg=cfg))
-    rows = rows.withColumn("drafted", _draft(rows)) if provider is None else _generate(rows, provider, cfg, template)
+    rows = rows.withColumn("drafted", _draft(rows)) if provider is None else _generate(rows, provider, cfg, template, keep)
     checked = grounding.check(F.col("drafted.reply"), F.size("retrieval.top_cases"), F.col("first.decision"), cfg)
     rows = rows.withColumn("grounding", checked)
     failed = F.col("drafted.generation_status") == "failed"
@@ -79,13 +81,13 @@ def _draft(rows: DataFrame):
     )
 
 
-def _generate(rows: DataFrame, provider, cfg, template) -> DataFrame:
+def _generate(rows: DataFrame, provider, cfg, template, keep) -> DataFrame:
+    """Drafts by the provider.  All rows take one way, those of invalid messages with no prompt; the
+    answers are kept, so that whatever is done with the results asks the provider once."""
     prompt = replies.reply_prompt(F.col("text"), F.col("classification"), F.col("retrieval"), F.col("first"), template)
-    asked = rows.where("check.valid").withColumn("prompt", prompt)
-    asked = replies.call_provider(asked, "prompt", provider)
+    asked = keep(replies.call_provider(rows.withColumn("prompt", F.when(F.col("check.valid"), prompt)), "prompt", provider))
     answer = replies.interpret(F.col("generated"), F.col("first"), F.col("retrieval.top_cases"), cfg)
-    asked = asked.withColumn("drafted", answer).drop("prompt", "generated")
-    return asked.unionByName(rows.where("NOT check.valid"), allowMissingColumns=True)
+    return asked.withColumn("drafted", answer).drop("prompt", "generated")
 
 
 def _result(rows: DataFrame, message_id: str, extra: tuple) -> DataFrame:
@@ -138,17 +140,21 @@ def judge_run(
     index: similarity.CaseIndex,
     judge_provider: replies.ReplyBatch,
     reply_provider: replies.ReplyBatch | None = None,
-    n: int = 3,
+    n: int | None = None,
     cfg: config.TriageConfig = config.DEFAULT,
+    keep: Callable[[DataFrame], DataFrame] = store,
 ) -> DataFrame:
-    """Triage an evaluation slice and judge every reply: case, reply and ``judge_result``."""
-    cases = judge.evaluation_slice(validation, n).select(
+    """Triage validation cases, all or the first ``n``, and judge every reply: case, reply and ``judge_result``.
+
+    The verdicts are kept, so the judge is asked once.
+    """
+    cases = (validation if n is None else judge.evaluation_slice(validation, n)).select(
         F.concat_ws("/", "customer_tweet_id", "brand_tweet_id").alias("message_id"),
         "case_id",
         F.col("customer_message").alias("message"),
     )
-    done = triage(cases, classifier, index, reply_provider, cfg, extra=("case_id",))
-    asked = replies.call_provider(judge.judge_prompt(done), "judge_prompt", judge_provider, "judged")
+    done = triage(cases, classifier, index, reply_provider, cfg, extra=("case_id",), keep=keep)
+    asked = keep(replies.call_provider(judge.judge_prompt(done), "judge_prompt", judge_provider, "judged"))
     return asked.select(
         "case_id",
         "customer_message",

@@ -47,12 +47,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+class Stores:
+    """``keep`` writes like :func:`store`; ``remove`` deletes what was written, when nothing reads it any more."""
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+        path = f"{shared_folder(spark)}/caseloom/table-{uuid4().hex}"
+        self.paths.append((spark, path))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        while self.paths:
+            spark, path = self.paths.pop()
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def store(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from the written table.
 
     Cuts the lineage, survives the loss of executors, and gives the planner real sizes.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/caseloom/table-{uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Stores().keep(df)

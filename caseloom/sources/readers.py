@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,16 +12,26 @@ from pyspark.sql import types as T
 from caseloom import schemas
 from caseloom.functions.jsonparse import is_object
 
-REPLACEMENT = "�"
+FILE_BYTES = 1 << 30
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType = schemas.TWEETS, encoding: str = "UTF-8", keep_empty: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = schemas.TWEETS,
+    encoding: str = "UTF-8",
+    keep_empty: bool = False,
+    most_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """CSV with a header and quoted texts over several lines.
 
-    ``keep_empty`` leaves no NULL in string columns.
+    ``keep_empty`` leaves no NULL in string columns.  A text over several lines keeps a file
+    in one task, so files over ``most_bytes`` are refused: split them first, as
+    :func:`caseloom.sources.writers.write_csv` does by writing many.
     """
+    names = spark.read.format("binaryFile").load(path).where(F.col("length") > most_bytes).select("path", "length")
+    if large := names.first():
+        raise ValueError(f"{large['path']} has {large['length']} bytes in one file; split it into files of at most {most_bytes}")
     df = (
         spark.read.schema(schema)
         .option("header", True)
@@ -35,16 +47,17 @@ def read_csv(
 
 
 def read_csv_any_encoding(spark: SparkSession, path: str, schema: T.StructType = schemas.TWEETS) -> DataFrame:
-    """Read as UTF-8, or as Latin-1 if a text turns out not to be UTF-8.
+    """Each file as UTF-8 if its bytes are that, else as Latin-1.
 
-    Spark decodes broken bytes to a replacement character, which is what is looked for.
+    The bytes are tested line by line, so a file may be as large as a disk, and a genuine
+    replacement character in a text does not matter.
     """
-    df = read_csv(spark, path, schema)
-    bad = F.lit(False)
-    for f in schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            bad = bad | F.coalesce(F.contains(F.col(f.name), F.lit(REPLACEMENT)), F.lit(False))
-    return df if df.where(bad).isEmpty() else read_csv(spark, path, schema, "ISO-8859-1")
+    lines = spark.read.option("lineSep", "\n").text(path)  # keeps the bytes as they are
+    tested = lines.select(F.input_file_name().alias("file"), F.is_valid_utf8("value").alias("fine"))
+    files = tested.groupBy("file").agg(F.min("fine").alias("fine")).collect()  # one row per file
+    kinds = {"UTF-8": [f["file"] for f in files if f["fine"]], "ISO-8859-1": [f["file"] for f in files if not f["fine"]]}
+    parts = [read_csv(spark, names, schema, encoding) for encoding, names in kinds.items() if names]
+    return reduce(DataFrame.unionByName, parts) if parts else read_csv(spark, path, schema)
 
 
 def find_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -87,9 +100,9 @@ def read_field(spark: SparkSession, path: str, key: str) -> str | None:
     return row["value"] if row else None
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
+def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON documents of a saved report."""
-    return spark.read.option("multiLine", True).json(path)
+    return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame | None:

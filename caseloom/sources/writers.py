@@ -13,7 +13,8 @@ from caseloom.sources.readers import read_table
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
@@ -59,11 +60,11 @@ def save_index(index: similarity.CaseIndex, path: str) -> str:
 def load_index(spark: SparkSession, path: str) -> similarity.CaseIndex | None:
     """Index at a path, or None if it is missing or of an older layout."""
     wanted = {
-        "cases": ["doc_id", "customer_message", "brand_replies"],
-        "replies": ["doc_id", "part", "parts", "brand_replies"],
+        "cases": ["doc_id", "customer_message", "n_replies"],
+        "replies": ["doc_id", "reply_order", "brand_reply"],
         "vocab": ["term", "idf"],
-        "members": ["doc_id", "vec_key"],
-        "postings": ["vec_id", "term", "weight"],
+        "members": ["doc_id", "vec_id"],
+        "postings": ["vec_id", "term", "weight", "df"],
     }
     tables = {name: read_table(spark, f"{path}/{name}", columns) for name, columns in wanted.items()}
     words = read_table(spark, f"{path}/stop_words", ["word"])

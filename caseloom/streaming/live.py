@@ -11,6 +11,7 @@ from caseloom import config
 from caseloom.functions import text as X
 from caseloom.operators import similarity
 from caseloom.plans.triage import Classifier, triage
+from caseloom.session import Stores
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet") -> DataFrame:
@@ -30,12 +31,16 @@ def triage_stream(
     """Triage every micro-batch against a loaded index.
 
     A batch goes to a folder named after it and overwrites it, so a batch that is
-    repeated after a failure is not written twice.
+    repeated after a failure is not written twice.  Its intermediate tables are removed with it.
     """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        result = triage(batch, classifier, index, cfg=cfg, **options)
-        result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        stores = Stores()
+        try:
+            result = triage(batch, classifier, index, cfg=cfg, keep=stores.keep, **options)
+            result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        finally:
+            stores.remove()
 
     writer = messages.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

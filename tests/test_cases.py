@@ -41,11 +41,6 @@ def test_case_columns(tweets):
     assert by(df, "case_id")[0] == ("CASE_1",)
 
 
-def test_salted_pairs_are_the_same(tweets):
-    plain = by(cases.build_cases(tweets), "customer_tweet_id", "brand_tweet_id", "brand_reply")
-    assert by(cases.build_cases(tweets, rows_per_salt=1), "customer_tweet_id", "brand_tweet_id", "brand_reply") == plain
-
-
 def test_validity(rows):
     data = [(1, 1, "a", "x"), (1, 1, "a", "x"), (1, 1, None, "x"), (2, 2, " ", "y"), (3, 3, "b", ""), (4, 4, "c", "z")]
     df = rows(data, "customer_tweet_id long, brand_tweet_id long, customer_message string, brand_reply string")
@@ -148,9 +143,15 @@ def test_null_and_direction_counts(tweets):
 
 def test_rules_from_table(rows):
     df = rows([(2, "b", "x"), (1, "a", "z"), (1, "a", "y")], "priority int, label string, keyword string")
-    assert labels.rules_from_table(df) == (("a", ("y", "z")), ("b", ("x",)))
-    with pytest.raises(ValueError):
-        labels.rules_from_table(df, limit=2)
+    texts = rows([(1, "X and Y"), (2, "mere x"), (3, "none"), (4, None)], "n int, customer_message string")
+    got = dict(by(labels.label_by_table(texts, df), "n", "intent"))
+    assert got == {1: "a", 2: "b", 3: "other", 4: "other"}
+
+
+def test_twenty_thousand_rules(spark, rows):
+    rules = spark.range(20_000).selectExpr("CAST(id AS INT) AS priority", "concat('l', id) AS label", "concat('<', id, '>') AS keyword")
+    texts = rows([(1, "a <19999> b <7>"), (2, "<19999>")], "n int, customer_message string")
+    assert dict(by(labels.label_by_table(texts, rules), "n", "intent")) == {1: "l7", 2: "l19999"}
 
 
 def test_distribution_sums_to_hundred(tweets):

@@ -62,9 +62,17 @@ def test_predicted_only_label_counts_in_macro(rows):
 
 
 def test_confusion_matrix(predictions):
-    m = M.confusion_matrix(predictions)
+    m = M.confusion_matrix(predictions, list(LABELS))
     got = [list(r)[1:] for r in m.orderBy("true_intent").collect()]
     assert m.columns == ["true_intent", *LABELS] and got == MATRIX
+    long = {(r["true_intent"], r["predicted_intent"]): r["n"] for r in M.confusion_matrix(predictions).collect()}
+    assert long == {(a, b): MATRIX[i][j] for i, a in enumerate(sorted(LABELS)) for j, b in enumerate(sorted(LABELS))}
+
+
+def test_confusion_matrix_of_many_labels(spark):
+    df = spark.range(1200).selectExpr("concat('l', id) AS true_intent", "concat('l', id - id % 2) AS predicted_intent")
+    long = M.confusion_matrix(df)
+    assert long.count() == 1200 * 1200 and long.agg(F.sum("n")).first()[0] == 1200
 
 
 def test_top_confusions(predictions):
@@ -90,5 +98,3 @@ def test_compare_and_count_check(predictions):
     assert table.columns == ["model", *M.SCALARS] and table.count() == 2
     with pytest.raises(ValueError):
         M.require_same_count(predictions, predictions.limit(3))
-    with pytest.raises(ValueError):
-        M.distinct_labels(predictions, "true_intent", limit=2)

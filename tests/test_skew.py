@@ -15,31 +15,23 @@ def skewed(spark):
     )
 
 
-def test_heavy_keys_are_bounded_and_counted(skewed):
-    assert [tuple(r) for r in skew.heavy_keys(skewed, "k", 100)] == [(0, 1000)]
-    assert len(skew.heavy_keys(skewed, "k", 1)) == skew.MAX_HEAVY
+def test_joins_name_no_keys(spark):
+    """1,500 hot keys are joined like any others: by a plain join, which adaptive execution may split."""
+    from caseloom.operators import cases
 
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, skewed, how):
-    few = spark.range(0, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    plain = sorted(map(tuple, skewed.join(few, "k", how).collect()), key=str)
-    salted = skew.salted_join(skewed, few, "k", F.col("v"), how, rows_per_salt=100)
-    assert sorted(map(tuple, salted.collect()), key=str) == plain
-    assert "_salt" not in salted.columns
-
-
-def test_salted_join_spreads_the_hot_key(skewed, spark):
-    few = spark.range(0, 2000, 2).select(F.col("id").alias("k"))
-    plan = skew.salted_join(skewed, few, "k", F.col("v"), rows_per_salt=100)._jdf.queryExecution().toString()
-    assert "_salt" in plan and "CartesianProduct" not in plan
+    rows = spark.range(1500).selectExpr("id AS tweet_id", "'u' AS author_id", "true AS inbound", "'' AS created_at", "'m' AS text", "CAST(NULL AS BIGINT) AS in_response_to_tweet_id")
+    answers = spark.range(6000).selectExpr("id + 10000", "'b'", "false", "''", "'r'", "id % 1500")
+    pairs = cases.pair_messages(rows.union(answers))
+    assert pairs.count() == 6000 and pairs.select("customer_tweet_id").distinct().count() == 1500
+    plan = pairs._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "Expand" not in plan
 
 
 @pytest.mark.parametrize("n", [1, 3, 50])
 def test_top_n_with_and_without_spread(skewed, n):
     order = [F.desc("v")]
     want = sorted(map(tuple, skew.top_n_per_group(skewed, ["k"], order, n).collect()))
-    spread = skew.top_n_per_group(skewed, ["k"], order, n, spread=F.col("v"))
+    spread = skew.top_n_per_group(skewed, ["k"], order, n, spread=F.col("v"), rows_per_salt=100)
     assert sorted(map(tuple, spread.collect())) == want
     assert sum(1 for k, _ in want if k == 0) == n
 
@@ -77,6 +69,15 @@ def test_mark_duplicates_with_a_group_of_copies(rows):
     assert sum(1 for r in got if r["v"] == "x") == 50
 
 
+@pytest.mark.parametrize("key", ["k", None])
+def test_mark_duplicates_of_a_hot_key(spark, key):
+    """Nine tenths of the distinct rows have one key, or none."""
+    df = spark.range(1000).select(F.when(F.col("id") % 10 > 0, F.lit(key)).otherwise(F.concat(F.lit("x"), "id")).alias("k"), F.col("id").alias("v"))
+    got = skew.mark_duplicates(df, ["k"]).collect()
+    assert len(got) == 1000 and sum(not r["is_duplicate"] for r in got) == 101
+    assert [r["v"] for r in got if r["k"] == key and not r["is_duplicate"]] == [1]
+
+
 def test_repeat_copies_in_chunks(rows):
     df = rows([("a", 25), ("b", 1), ("c", 10)], "v string, n long")
     got = [r["v"] for r in skew.repeat_copies(df, "n", chunk=4).collect()]

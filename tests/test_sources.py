@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseloom import schemas
 from caseloom.operators import classify as C
@@ -28,6 +29,24 @@ def test_latin1_fallback(spark, tmp_path):
         assert readers.read_csv_any_encoding(spark, str(tmp_path / name)).first()["text"] == "caf\xe9"
 
 
+def test_replacement_character_in_utf8(spark, tmp_path):
+    (tmp_path / "u.csv").write_text(HEADER + "1,a,True,,caf\u00e9 \ufffd,,\n", encoding="utf-8")
+    (tmp_path / "l.csv").write_bytes((HEADER + "2,a,True,,caf\xe9,,\n").encode("latin-1"))
+    got = readers.read_csv_any_encoding(spark, str(tmp_path)).collect()
+    assert {r["tweet_id"]: r["text"] for r in got} == {1: "caf\u00e9 \ufffd", 2: "caf\u00e9"}
+
+
+def test_spaces_survive_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, " \t "), (2, " x ")], "n long, s string")
+    assert sorted(map(tuple, readers.read_csv(spark, writers.write_csv(df, str(tmp_path / "s")), df.schema).collect())) == [(1, " \t "), (2, " x ")]
+
+
+def test_large_files_are_refused(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(HEADER + "1,a,True,,text,,\n" * 20)
+    with pytest.raises(ValueError, match="split it"):
+        readers.read_csv(spark, str(tmp_path / "t.csv"), most_bytes=100)
+
+
 def test_largest_file(spark, tmp_path):
     (tmp_path / "a" / "b").mkdir(parents=True)
     (tmp_path / "a" / "b" / "big.csv").write_text("x" * 100)
@@ -66,7 +85,7 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(a).exceptAll(spark.read.parquet(b)).count() == 0
     path = writers.write_json(df, str(tmp_path / "j"))
     assert '"s":null' in "".join(r["value"] for r in spark.read.text(path).collect())
-    assert readers.read_report(spark, writers.write_summary(df.where("i = 1"), str(tmp_path / "r"))).first()["s"] == "a"
+    assert readers.read_report(spark, writers.write_summary(df.where("i = 1"), str(tmp_path / "r")), df.schema).first()["s"] == "a"
     assert readers.read_table(spark, str(tmp_path / "none")) is None
     assert readers.read_table(spark, a, ["missing"]) is None
 
@@ -106,7 +125,7 @@ def test_preparation(spark, prepared):
     splits = spark.read.parquet(prepared["splits"])
     assert {r["split"] for r in splits.select("split").distinct().collect()} == {"train", "validation"}
     assert splits.count() == 260
-    assert readers.read_report(spark, prepared["selected_brand_summary"]).first()["selected_brand"] == "acme"
+    assert readers.read_report(spark, prepared["selected_brand_summary"], T.StructType().add("selected_brand", "string")).first()["selected_brand"] == "acme"
 
 
 def test_classifier_beats_majority(spark, prepared, tmp_path):

@@ -160,7 +160,8 @@ def test_triage_with_provider(spark, index):
         out = []
         for p in prompts:
             if "hacked" in p:
-                raise RuntimeError("down")
+                out.append(RuntimeError("down"))
+                continue
             out.append("Your refund has been sent." if "late" in p else "ok")
         return out
 
@@ -172,6 +173,42 @@ def test_triage_with_provider(spark, index):
     assert got[4]["generation_status"] == "failed" and got[3]["generation_status"] == "fallback"
 
 
+def test_provider_is_asked_once_per_valid_message(spark, index, tmp_path):
+    folder = str(tmp_path)
+
+    def provider(prompts):
+        import os
+        import uuid
+
+        for p in prompts:
+            open(os.path.join(folder, uuid.uuid4().hex), "w").write(p)
+        return ["We are looking into it."] * len(prompts)
+
+    df = spark.createDataFrame(MESSAGES, "message_id long, message string")
+    done = T.triage(df, always, index, provider)
+    for _ in range(3):
+        done.write.format("noop").mode("overwrite").save()
+    valid = done.where("generation_status <> 'fallback'").count()
+    assert 0 < valid == len(list(tmp_path.iterdir()))
+
+
+def test_streaming_batches_leave_no_tables(spark, index, tmp_path):
+    from pathlib import Path
+
+    from caseloom.session import shared_folder
+    from caseloom.streaming import live
+
+    tables = Path(shared_folder(spark).removeprefix("file:")) / "caseloom"
+    before = set(tables.iterdir())
+    df = spark.createDataFrame(MESSAGES, "message_id long, message string")
+    for i in range(10):
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    live.triage_stream(stream, always, index, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("batch=")]) == 10
+    assert set(tables.iterdir()) == before
+
+
 def test_triage_without_python_stays_in_the_jvm(spark, index):
     df = spark.createDataFrame(MESSAGES, "message_id long, message string")
     plan = T.triage(store(df), always, index)._jdf.queryExecution().toString()
