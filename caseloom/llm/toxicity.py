@@ -89,7 +89,7 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, penalty:
     return w, b
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, penalty: float = 1e-2, rounds: int = 150, seed: int = 0) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, penalty: float = 1e-3, rounds: int = 150, seed: int = 0) -> ToxicityModel:
     """Model from ``labels`` (``doc_id, toxic``; 0 or 1) of ``docs`` (``doc_id, text``).
 
     The fit is on a sample of about ``fit_rows`` labelled rows, half of each class (all, if it
