@@ -131,6 +131,26 @@ NO_EXAMPLES = "(No relevant historical cases found for this request.)"
 NO_JUDGE_EXAMPLES = "0\nNo historical cases available."
 GOLDEN_LABEL_SOURCE = "keyword_heuristic"
 JUDGE_DIMENSIONS = ("relevance", "groundedness", "resolution_match", "actionability", "safety")
+EXPECTED_ACTION = "Resolve based on "
+CATALOGUE_DESCRIPTION = "Customer issues related to "
+CATALOGUE_INCLUDE = "See intent_examples.csv for examples"
+CATALOGUE_EXCLUDE = "N/A"
+CATALOGUE_ACTION = "Provide relevant troubleshooting or account link"
+CATALOGUE_RISK = "low"
+JUDGE_INVALID_JSON = "Invalid JSON returned by LLM"
+JUDGE_MISSING = "Missing dimension '%s' in judge output"
+JUDGE_MALFORMED = "Malformed dimension '%s'"
+JUDGE_NON_INTEGER = "Non-integer score for '%s'"
+JUDGE_OUT_OF_BOUNDS = "Score for '%s' out of bounds (must be 1-5)"
+HUMAN_REVIEW_COLUMNS = (
+    "human_relevance",
+    "human_groundedness",
+    "human_resolution_match",
+    "human_actionability",
+    "human_safety",
+    "human_overall_score",
+    "human_notes",
+)
 CONFIDENCE_BINS = (
     (1, "0.0–0.2", 0.2),
     (2, "0.2–0.4", 0.4),
@@ -142,7 +162,7 @@ CONFIDENCE_BINS = (
 
 @dataclass(frozen=True)
 class TriageConfig:
-    """Every threshold and switch of message triage."""
+    """Every threshold and switch of message triage.  The defaults are fixed values too."""
 
     max_features: int = 5000
     max_iter: int = 1000

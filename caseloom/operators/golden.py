@@ -38,7 +38,7 @@ def golden_columns(sample: DataFrame) -> DataFrame:
         *KEY,
         F.col("customer_message"),
         "intent",
-        F.concat(F.lit("Resolve based on "), F.col("intent")).alias("expected_action"),
+        F.concat(F.lit(config.EXPECTED_ACTION), F.col("intent")).alias("expected_action"),
         F.lit("").alias("escalation_reason"),
         difficulty().alias("difficulty"),
         F.lit(config.GOLDEN_LABEL_SOURCE).alias("label_source"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom import config, schemas
+from caseloom import config
 from caseloom.functions import text as X
 from caseloom.functions.jsonparse import is_object, parse_object
 from caseloom.operators.replies import render
@@ -80,7 +80,7 @@ def verdict(raw: Column, provider_error: Column | None = None) -> Column:
 
 def _validated(raw: Column, obj: Column, provider_error: Column) -> Column:
     dims = F.struct(*[_dimension(obj, d).alias(d) for d in DIMENSIONS])
-    not_json = F.when(obj.isNull(), F.lit("Invalid JSON returned by LLM"))
+    not_json = F.when(obj.isNull(), F.lit(config.JUDGE_INVALID_JSON))
 
     def assemble(seen: Column) -> Column:
         ok = seen["error"].isNull()
@@ -123,10 +123,10 @@ def _dimension(obj: Column, d: str) -> Column:
 
     def judge(seen: Column) -> Column:
         error = (
-            F.when(seen["missing"], F.lit(f"Missing dimension '{d}' in judge output"))
-            .when(~seen["complete"], F.lit(f"Malformed dimension '{d}'"))
-            .when(seen["score"].isNull(), F.lit(f"Non-integer score for '{d}'"))
-            .when(~seen["score"].between(1, 5), F.lit(f"Score for '{d}' out of bounds (must be 1-5)"))
+            F.when(seen["missing"], F.lit(config.JUDGE_MISSING % d))
+            .when(~seen["complete"], F.lit(config.JUDGE_MALFORMED % d))
+            .when(seen["score"].isNull(), F.lit(config.JUDGE_NON_INTEGER % d))
+            .when(~seen["score"].between(1, 5), F.lit(config.JUDGE_OUT_OF_BOUNDS % d))
         )
         return F.struct(seen["score"].alias("score"), seen["reason"].alias("reason"), error.alias("error"))
 
@@ -184,7 +184,7 @@ def review_package(judged: DataFrame) -> DataFrame:
         "customer_message",
         "predicted_intent",
         "generated_reply",
-        *[F.lit("").alias(c) for c in schemas.HUMAN_REVIEW_COLUMNS],
+        *[F.lit("").alias(c) for c in config.HUMAN_REVIEW_COLUMNS],
     )
 
 

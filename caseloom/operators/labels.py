@@ -75,11 +75,11 @@ def label_catalogue(labelled: DataFrame) -> DataFrame:
     """Definition row for every observed label."""
     return labelled.select("intent").distinct().select(
         "intent",
-        F.concat(F.lit("Customer issues related to "), F.replace("intent", F.lit("_"), F.lit(" "))).alias("description"),
-        F.lit("See intent_examples.csv for examples").alias("include_examples"),
-        F.lit("N/A").alias("exclude_examples"),
-        F.lit("Provide relevant troubleshooting or account link").alias("expected_action"),
-        F.lit("low").alias("escalation_risk"),
+        F.concat(F.lit(config.CATALOGUE_DESCRIPTION), F.replace("intent", F.lit("_"), F.lit(" "))).alias("description"),
+        F.lit(config.CATALOGUE_INCLUDE).alias("include_examples"),
+        F.lit(config.CATALOGUE_EXCLUDE).alias("exclude_examples"),
+        F.lit(config.CATALOGUE_ACTION).alias("expected_action"),
+        F.lit(config.CATALOGUE_RISK).alias("escalation_risk"),
     )
 
 

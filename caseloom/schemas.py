@@ -20,13 +20,3 @@ TOP_CASES = (
     "array<struct<case_id:string,customer_tweet_id:string,customer_message:string,"
     "brand_reply:string,n_replies:bigint,intent:string,similarity_score:double,conversation_id:string>>"
 )
-
-HUMAN_REVIEW_COLUMNS = (
-    "human_relevance",
-    "human_groundedness",
-    "human_resolution_match",
-    "human_actionability",
-    "human_safety",
-    "human_overall_score",
-    "human_notes",
-)
