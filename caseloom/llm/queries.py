@@ -41,7 +41,20 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return token_shards.round_trip(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@query("op2_relative_parsing")
+@query(
+    "op2_relative_parsing",
+    r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    spans AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT *, unnest(generate_series(1, len(w) - 49)) AS i FROM d) x),
+    firsts AS (SELECT s, min(doc_id) AS owner FROM spans GROUP BY s),
+    gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM spans JOIN firsts USING (s) WHERE owner < doc_id),
+    words AS (SELECT doc_id, p, w[p] AS word FROM (SELECT *, unnest(generate_series(1, len(w))) AS p FROM d) x),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+    """,
+)
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the passages of 50 words that smaller documents have."""
     return substring.remove_repeats(table(spark, sf, "documents"), window=50, keep_text=False)
