@@ -104,27 +104,27 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     links = store(successors(rows.select("doc_id", "tie", F.length("text").alias("n_chars")).distinct()))
-    signed = rows.withColumn("sigs", signatures(F.col("text")))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    # every text goes to its predecessor: no more of it than that one takes
+    # Every text goes to its predecessor: no more of it than that one takes.  Signatures are
+    # made after the shuffle of the texts, which both joins read, rather than sent along.
     asked = links.select(F.col("doc_id").alias("p_id"), F.col("tie").alias("p_tie"), "n_chars", "next_id", "next_tie")
-    sent = signed.join(asked, _same([("doc_id", "next_id"), ("tie", "next_tie")]))
-    sent = sent.select("p_id", "p_tie", F.substring("text", F.lit(1), half).alias("head"), F.col("sigs").alias("next_sigs"))
+    sent = rows.join(asked, _same([("doc_id", "next_id"), ("tie", "next_tie")]))
+    sent = sent.select("p_id", "p_tie", F.substring("text", F.lit(1), half).alias("head"), signatures(F.col("text")).alias("next_sigs"))
     sent = sent.dropDuplicates(["p_id", "p_tie"])
-    met = signed.join(sent, _same([("doc_id", "p_id"), ("tie", "p_tie")]))
-    met = met.withColumn("n_chars", F.length("text"))
+    met = rows.join(sent, _same([("doc_id", "p_id"), ("tie", "p_tie")])).withColumn("n_chars", F.length("text"))
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
-    met = met.select("doc_id", "n_chars", F.concat(kept, "head").alias("edited"), "sigs", "next_sigs")
-    # a generator between the two steps keeps the edited text from being built again for each use
-    met = met.withColumn("edit", F.explode(F.array(F.struct("edited", signatures(F.col("edited")).alias("sigs")))))
+    met = met.select("doc_id", "n_chars", "text", F.concat(kept, "head").alias("edited"), "next_sigs")
+    # a generator between the two steps keeps texts and signatures from being made again for each use
+    made = F.struct("edited", signatures(F.col("edited")).alias("sigs"), signatures(F.col("text")).alias("own"))
+    met = met.withColumn("edit", F.explode(F.array(made)))
     return met.select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2(F.col("edit.edited"), 256).alias("edited_sha256"),
-        fingerprint(F.col("sigs")).alias("fingerprint"),
+        fingerprint(F.col("edit.own")).alias("fingerprint"),
         fingerprint(F.col("edit.sigs")).alias("edited_fingerprint"),
-        likeness(F.col("sigs"), F.col("edit.sigs")).alias("near_edited"),
-        likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
+        likeness(F.col("edit.own"), F.col("edit.sigs")).alias("near_edited"),
+        likeness(F.col("edit.own"), F.col("next_sigs")).alias("near_next"),
     )
 
 
