@@ -9,7 +9,6 @@ matrix products for each.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,10 +20,13 @@ from caseloom.llm.batches import add_columns
 from caseloom.llm.grams import drawn, gram_hashes
 
 BITS = 13
-LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     names: list[str]
@@ -81,7 +83,7 @@ def fit(docs: DataFrame, fit_rows: int = 1500, landmarks: int = 96, grams: int =
         return solve([], [], grams, landmarks, ridge)
     rates = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, fit_rows / n))])
     sample = usable.where(drawn(F.col("doc_id"), rates[F.col("lang")], seed))
-    rows = sorted((r["lang"], str(r["doc_id"]), r["text"]) for r in sample.collect() if LETTER.search(r["text"]))
+    rows = sorted((r["lang"], str(r["doc_id"]), r["text"]) for r in sample.collect() if has_letter(r["text"]))
     return solve([r[2] for r in rows], [r[0] for r in rows], grams, landmarks, ridge)
 
 
@@ -96,7 +98,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", name:
         texts = batch.column(text_col).to_pylist()
         names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         z = np.unpackbits(model.landmarks, axis=1, count=1 << BITS).astype(np.float32)
-        told = [i for i, t in enumerate(texts) if model.names and t and LETTER.search(t)]
+        told = [i for i, t in enumerate(texts) if model.names and has_letter(t)]
         for lo in range(0, len(told), 128):
             part = told[lo : lo + 128]
             f = kernel(presence([texts[i] for i in part], model.grams), z) @ model.weights + model.bias
