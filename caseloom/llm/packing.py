@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.llm.batches import cores, map_batches, texts
-from caseloom.llm.tokens import encoder
+from caseloom.llm.tokens import KEPT_PIECES, encoder
 from caseloom.session import store
 
 SALTS = 64
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = True, kept_pieces: int = KEPT_PIECES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids`` (little-endian 32-bit) of every document.
 
     The end id is appended to each document, a null text counting as empty.  Documents over
@@ -31,7 +31,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
     """
 
     def cut(batch: pa.RecordBatch) -> pa.Table:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, kept_pieces)
         out = defaultdict(list)
         ids_of = batch.column("doc_id").to_pylist()
         for doc_id, raw in zip(ids_of, enc.encode(batch.column("text").to_pylist())):
@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
     rows = texts(docs, id_col, text_col)
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
-    return map_batches(rows, cut, schema + ", ids binary" * keep_ids, "text")
+    return map_batches(rows, cut, schema + ", ids binary" * keep_ids, "text", using="tokens")
 
 
 class _Bins:
@@ -156,13 +156,13 @@ def pack(items: DataFrame, capacity: int = 1024) -> DataFrame:
     )
 
 
-def packed(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = True, kept_pieces: int = KEPT_PIECES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every piece of every document with its place: ``sequence_id`` and ``offset`` beside the columns of :func:`pieces`.
 
     Null texts are empty documents of one token; repeated rows are packed each on their own;
     a null id is kept; an empty table gives no rows.
     """
-    cut = store(pieces(docs, tokenizer, capacity, end_id, keep_ids, id_col, text_col))
+    cut = store(pieces(docs, tokenizer, capacity, end_id, keep_ids, kept_pieces, id_col, text_col))
     keyed = cut.withColumn("item", F.struct("doc_id", "piece", "ids_crc32"))
     return pack(keyed, capacity).drop("item")
 

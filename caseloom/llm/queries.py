@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm import language, merges, packing, perspectives, simhash, spotsigs, substring, token_shards, topk, toxicity
+from caseloom.llm.batches import small_batches
 from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
 
@@ -21,6 +22,7 @@ def query(name: str, sql: str | None = None):
     def add(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             shared_folder(spark)
+            small_batches(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

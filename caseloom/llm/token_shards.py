@@ -192,7 +192,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
             row = {"part": part, "nth": made, "path": f"{folder}/{name}", "n_docs": len(ids), "n_ids": size, "lo": ids[0], "hi": ids[-1]}
             return pa.RecordBatch.from_pylist([row], schema)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", using="tokens"):
             new = batch.column("doc_id").to_pylist()
             for doc_id, raw in zip(new, enc.encode(batch.column("text").to_pylist())):
                 ids.append(doc_id)

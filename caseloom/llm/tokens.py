@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from caseloom.llm import batches
+
 #: Runs of spaces with the word that follows.
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: Where a text has more than one space or line end between words, or other spaces.
@@ -22,7 +23,7 @@ RUNS = re.compile(r"[ \n][ \n\t\r]|[\t\r\x00]|\A[ \n]|[ \n]\Z|\A\Z")
 #: Characters that some definition calls a space and PIECE does not.
 CONTROLS = "\x0b\x0c\x1c\x1d\x1e\x1f"
 UNUSUAL = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]")
-KEPT_PIECES = 1_200_000  # of some 250 bytes each
+KEPT_PIECES = 600_000  # in each of two generations, of some 250 bytes each
 JOINED_CHARS = 1 << 17
 
 
@@ -38,6 +39,17 @@ def _pieces(text: str) -> list[str]:
     return ("\0" + text.replace("\n", " \n")).split(" ")
 
 
+def _positions(ids: list) -> list[int]:
+    """Where None stands."""
+    out, at = [], -1
+    try:
+        while True:
+            at = ids.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 def _piece(name: str) -> str:
     return name[1:] if name[0] == "\0" else name if name[0] == "\n" else " " + name
 
@@ -45,7 +57,8 @@ def _piece(name: str) -> str:
 class Encoder:
     """Encodes texts to little-endian ids of ``dtype``; one per worker process."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT_PIECES):
+        self.kept = kept
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
@@ -55,6 +68,7 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.widths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the generation before; what is still used moves to known
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -99,22 +113,38 @@ class Encoder:
                 parts = _pieces(t)
                 ids = list(map(get, parts))
                 if None in ids:
-                    missed[i] = (parts, ids)
+                    missed[i] = (parts, ids, _positions(ids))
                 else:
                     out[i] = b"".join(ids)
         if missed:
-            new = {p for parts, ids in missed.values() for p, x in zip(parts, ids) if x is None}
-            self._learn(list(new))
-            for i, (parts, ids) in missed.items():
-                out[i] = b"".join([get(p) if x is None else x for p, x in zip(parts, ids)])
-            if len(self.known) > KEPT_PIECES:
-                self.known.clear()
+            new = {parts[k] for parts, _, at in missed.values() for k in at}
+            self.known.update((p, self.older[p]) for p in new & self.older.keys())
+            self._learn(list(new - self.older.keys()))
+            for i, (parts, ids, at) in missed.items():
+                for k in at:
+                    ids[k] = get(parts[k])
+                out[i] = b"".join(ids)
+            if len(self.known) > self.kept:
+                self.older, self.known = self.known, {}
         for i, ids in zip(whole, self._whole([plain[i] for i in whole]) if whole else []):
             out[i] = ids
         return out
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a file that every machine has at ``path``."""
-    return Encoder(path)
+_MADE: dict[str, Encoder] = {}
+
+
+def encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
+    """The worker's encoder for a file that every machine has at ``path``; fewer kept pieces take less memory and more time."""
+    if path not in _MADE:
+        _MADE[path] = Encoder(path)
+    _MADE[path].kept = kept
+    return _MADE[path]
+
+
+def _forget() -> None:
+    for made in _MADE.values():
+        made.known, made.older = {}, {}
+
+
+batches.CACHES["tokens"] = _forget

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm import language, packing, simhash, substring, toxicity
+from caseloom.llm.batches import small_batches
 from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
 
@@ -58,16 +59,27 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every piece of every document lies in sequences of 1024 tokens."""
-    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, end_id=2, keep_ids=False)
+    """Where every piece of every document lies in sequences of 1024 tokens.
+
+    After four other stages the executors' heaps are full, so the workers keep fewer pieces.
+    """
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, end_id=2, keep_ids=False, kept_pieces=100_000)
+
+
+def _stage(fn):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, docs, sf_dir)
+
+    return run_stage
 
 
 STAGES = [
-    ("language", language_id),
-    ("toxicity", without_toxic),
-    ("near_duplicates", one_of_near_copies),
-    ("repeated_passages", without_repeats),
-    ("packing", packed_sequences),
+    ("language", _stage(language_id)),
+    ("toxicity", _stage(without_toxic)),
+    ("near_duplicates", _stage(one_of_near_copies)),
+    ("repeated_passages", _stage(without_repeats)),
+    ("packing", _stage(packed_sequences)),
 ]
 #: Trained models and whole-text fingerprints are beyond SQL; tests compare with plain Python.
 ORACLE_SQL = None
