@@ -16,7 +16,6 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +23,13 @@ import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 
-from caseloom.llm.batches import add_columns
+from caseloom.llm.batches import CACHES, add_columns
 
 SPACE = "▁"
 SHIFT = 21  # symbols are pieces, or characters without a piece after all pieces
 NONE = (1 << 31) - 1
 LONG = 64
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000  # in each of two generations
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -131,8 +130,11 @@ class Merges:
             offer([before[i], i])
         return np.array([s for s in sym if s >= 0], np.int64)
 
-    def in_step(self, words: list[str], keys: np.ndarray, rate: float) -> list[np.ndarray]:
-        """Many words at once: each round does the next merge of every word that has one."""
+    def in_step(self, words: list[str], keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+        """Many words at once: each round does the next merge of every word that has one.
+
+        All symbols, and where those of each word begin and end.
+        """
         sizes = np.array([len(w) for w in words], np.int64)
         sym = self.chars[np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)]
         of = np.repeat(np.arange(len(words)), sizes)
@@ -176,12 +178,10 @@ class Merges:
                 again = np.union1d(fresh, fresh[(fresh > 0) & (of[fresh - 1] == of[fresh])] - 1)
                 rank[again] = candidates(again)
         if not kept_of:
-            return []
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
         of, start, sym = np.concatenate(kept_of), np.concatenate(kept_start), np.concatenate(kept_sym)
         order = np.lexsort((start, of))
-        bounds = np.searchsorted(of[order], np.arange(len(words) + 1))
-        sym = sym[order]
-        return [sym[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+        return sym[order], np.searchsorted(of[order], np.arange(len(words) + 1))
 
 
 class Segmenter:
@@ -191,14 +191,20 @@ class Segmenter:
         self.merges, self.rate, self.seed = Merges(path), rate, seed
         self.variants = variants if rate > 0 else 1
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.older = self.known  # the generation before; what is still used moves to known
 
     def _learn(self, variant: int, words: list[str]) -> None:
         seed = (self.seed * 1_000_003 + variant) & (1 << 64) - 1
         keys = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
         known, to_ids = self.known[variant], self.merges.to_ids
+        if not words:
+            return
         short = [i for i, w in enumerate(words) if len(w) <= LONG]
-        for i, s in zip(short, self.merges.in_step([words[i] for i in short], keys[short], self.rate)):
-            known[words[i]] = to_ids(s).tobytes()
+        sym, bounds = self.merges.in_step([words[i] for i in short], keys[short], self.rate)
+        raw, odd = sym.astype("<i4").tobytes(), np.concatenate([[0], np.cumsum(sym >= self.merges.size)])[bounds]
+        cuts = bounds.tolist()
+        for i, a, b, apart in zip(short, cuts, cuts[1:], (odd[1:] > odd[:-1]).tolist()):
+            known[words[i]] = to_ids(sym[a:b]).tobytes() if apart else raw[4 * a : 4 * b]
         for i, w in enumerate(words):
             if len(w) > LONG:
                 known[w] = to_ids(self.merges.agenda(w, int(keys[i]), self.rate)).tobytes()
@@ -217,12 +223,14 @@ class Segmenter:
             found.append(ids)
         for v, new in enumerate(missed):
             if new:
-                self._learn(v, list(new))
+                older = self.older[v]
+                self.known[v].update([(w, older[w]) for w in new if w in older])
+                self._learn(v, [w for w in new if w not in older])
         for v, words, ids in zip(pick, split, found):
             get = self.known[v].get
             out.append(b"".join([get(w) if x is None else x for w, x in zip(words, ids)] if None in ids else ids))
         if sum(map(len, self.known)) > KEPT_WORDS:
-            self.known = [{} for _ in self.known]
+            self.older, self.known = self.known, [{} for _ in self.known]
         return out
 
     def decode(self, raw: bytes) -> str:
@@ -230,9 +238,23 @@ class Segmenter:
         return text[1:]
 
 
-@lru_cache(maxsize=2)
+_MADE: dict[tuple, Segmenter] = {}
+
+
 def segmenter(path: str, rate: float, seed: int, variants: int) -> Segmenter:
-    return Segmenter(path, rate, seed, variants)
+    """The worker's segmenter for these settings."""
+    key = (path, rate, seed, variants)
+    if key not in _MADE:
+        _MADE[key] = Segmenter(*key)
+    return _MADE[key]
+
+
+def _forget() -> None:
+    for made in _MADE.values():
+        made.older = made.known = [{} for _ in made.known]
+
+
+CACHES["merges"] = _forget
 
 
 def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int = 8, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,7 +268,7 @@ def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, varian
         made = segmenter(model, rate, seed, variants).encode(batch.column(id_col).to_pylist(), batch.column(text_col).to_pylist())
         return [pa.array(made, pa.binary())]
 
-    return add_columns(docs, ids, "pieces binary", text_col, keep_text)
+    return add_columns(docs, ids, "pieces binary", text_col, keep_text, using="merges")
 
 
 def decode(rows: DataFrame, model: str, name: str = "decoded", keep_pieces: bool = True) -> DataFrame:
@@ -256,7 +278,7 @@ def decode(rows: DataFrame, model: str, name: str = "decoded", keep_pieces: bool
         s = segmenter(model, 0.0, 0, 1)
         return [pa.array([s.decode(x or b"") for x in batch.column("pieces").to_pylist()], pa.string())]
 
-    return add_columns(rows, texts, f"{name} string", "pieces", keep_pieces)
+    return add_columns(rows, texts, f"{name} string", "pieces", keep_pieces, using="merges")
 
 
 def round_trip(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int = 8) -> DataFrame:
@@ -269,4 +291,4 @@ def round_trip(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, va
         same = [s.decode(x) == (t or "") for x, t in zip(made, plain)]
         return [pa.array([len(x) // 4 for x in made], pa.int64()), pa.array([zlib.crc32(x) for x in made], pa.int64()), pa.array(same)]
 
-    return add_columns(docs.select("doc_id", "text"), check, "n_pieces long, ids_crc32 long, lossless boolean", "text", keep_text=False)
+    return add_columns(docs.select("doc_id", "text"), check, "n_pieces long, ids_crc32 long, lossless boolean", "text", keep_text=False, using="merges")

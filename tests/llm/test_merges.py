@@ -52,8 +52,9 @@ def test_in_step_is_the_agenda(plain):
     words = [" " + "".join(rng.choice(letters, int(rng.integers(1, 40)))) for _ in range(300)]
     keys = rng.integers(0, 1 << 62, len(words)).astype(np.uint64)
     for rate in (0.0, 0.2):
-        step = plain.merges.in_step(words, keys, rate)
-        assert all(a.tolist() == plain.merges.agenda(w, int(k), rate).tolist() for a, w, k in zip(step, words, keys))
+        sym, bounds = plain.merges.in_step(words, keys, rate)
+        step = [sym[a:b] for a, b in zip(bounds, bounds[1:])]
+        assert len(step) == len(words) and all(a.tolist() == plain.merges.agenda(w, int(k), rate).tolist() for a, w, k in zip(step, words, keys))
 
 
 def test_tables(spark):
