@@ -23,7 +23,7 @@ RUNS = re.compile(r"[ \n][ \n\t\r]|[\t\r\x00]|\A[ \n]|[ \n]\Z|\A\Z")
 #: Characters that some definition calls a space and PIECE does not.
 CONTROLS = "\x0b\x0c\x1c\x1d\x1e\x1f"
 UNUSUAL = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]")
-KEPT_PIECES = 600_000  # in each of two generations, of some 250 bytes each
+KEPT_PIECES = 1_000_000  # in each of two generations, of some 250 bytes each
 JOINED_CHARS = 1 << 17
 
 
