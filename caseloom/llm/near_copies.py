@@ -1,0 +1,128 @@
+"""Near copies by the Jaccard index of their sets of word shingles.
+
+SimHash balls (:mod:`simhash`) join texts within four bits, which is closer than a Jaccard
+index of 0.8 mostly is: such pairs differ in some ten bits.  So texts also meet in bands of
+min-hashes: a pair of index J has all four min-hashes of one of 20 bands in common with
+probability 1 - (1 - J^4)^20, which is 0.99997 at 0.8.  Both only give candidates; the
+shingle sets themselves decide.
+
+Of each band's group, every member is first compared with one of them, another in each
+band.  Where that leaves members unlinked, all pairs of the group are compared that are not
+joined yet, so a large group of copies costs its size and no pair is passed over.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from caseloom.llm import simhash
+from caseloom.llm.batches import map_batches
+from caseloom.session import store
+
+BANDS, ROWS = 20, 4
+_RANDOM = np.random.default_rng(20)
+_MUL = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+
+
+def bands(shingles: np.ndarray) -> list[int]:
+    """A signed 64-bit number for each band of min-hashes of a set; none for the empty set."""
+    if not len(shingles):
+        return []
+    low = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(shingles), 1024):
+        np.minimum(low, (shingles[at : at + 1024, None] * _MUL + _ADD).min(axis=0), out=low)
+    keys = [xxhash.xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(low.reshape(BANDS, ROWS))]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+def _sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """``row, doc_id, set_id, size, fp, bands`` for every row; ``set_id`` is a hash of the shingle set."""
+
+    def made(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, sizes, fps, keys = [], [], [], []
+        for text in batch.column("text").to_pylist():
+            hashes = simhash.shingle_hashes(text, shingle)
+            members = np.unique(hashes)
+            ids.append(xxhash.xxh64_intdigest(members.tobytes()))
+            sizes.append(len(members))
+            fps.append(simhash.print_of(hashes))
+            keys.append(bands(members))
+        longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (ids, fps)]
+        arrays = [batch.column("row"), batch.column("doc_id"), longs[0], pa.array(sizes, pa.int64()), longs[1], pa.array(keys, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "set_id", "size", "fp", "bands"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("row", "doc_id", "text"), made, f"row long, doc_id {kind}, set_id long, size long, fp long, bands array<long>", "text")
+
+
+def _members(texts: DataFrame, shingle: int) -> DataFrame:
+    """``set_id, members``: the sorted shingle hashes of each text, 8 bytes each."""
+
+    def made(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.unique(simhash.shingle_hashes(t, shingle)).tobytes() for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(sets, pa.binary())], ["set_id", "members"])
+
+    return map_batches(texts.select("set_id", "text"), made, "set_id long, members binary", "text")
+
+
+def _alike(pairs: DataFrame, members: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs ``a, b`` of sets whose Jaccard index is at least ``least``."""
+
+    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(both >= least * (len(x) + len(y) - both) - 1e-9)
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left, right = (members.select(F.col("set_id").alias(k), F.col("members").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), check, "a long, b long", "x")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+
+
+def groups(docs: DataFrame, shingle: int = 5, least: float = 0.8, radius: int = 4) -> DataFrame:
+    """``row, doc_id, root`` for every row of ``docs``, which has ``row``, a hash of all that it holds.
+
+    Rows of equal ``root`` are reachable over pairs of texts whose sets of shingles have a
+    Jaccard index of ``least`` or more.  Null texts count as empty; texts without words are
+    alike.  Texts of fewer words than a shingle have one shingle of all their words.
+    """
+    rows = store(_sets(docs, shingle))
+    met = rows.select("set_id", "size", F.explode("bands").alias("bucket")).distinct()
+    head = F.min(F.struct(F.xxhash64("set_id", "bucket").alias("h"), "set_id"))["set_id"]
+    heads = met.groupBy("bucket").agg(head.alias("head"), F.count("*").alias("n")).where("n > 1")
+    met = store(met.join(heads, "bucket"))
+
+    firsts = store(rows.groupBy("fp").agg(F.min("set_id").alias("first")))
+    of = [firsts.select(F.col("fp").alias(k), F.col("first").alias(v)) for k, v in (("a", "x"), ("b", "y"))]
+    close = simhash.links(firsts.select("fp"), radius).join(of[0], "a").join(of[1], "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    same = rows.select("fp", "set_id").distinct().join(firsts, "fp").select(F.col("first").alias("a"), F.col("set_id").alias("b"))
+    first = store(_ordered(met.select(F.col("head").alias("a"), F.col("set_id").alias("b")).union(close).union(same)))
+
+    wanted = met.select("set_id").union(first.select("a")).union(first.select("b")).distinct()
+    sources = rows.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("row").alias("row"))
+    some = docs.select("row", "text").join(sources, "row").select("set_id", "text")
+    members = store(_members(some, shingle).dropDuplicates(["set_id"]))
+
+    linked = store(_alike(first, members, least))
+    roots = simhash.components(linked).select(F.col("node").alias("set_id"), "root")
+    placed = store(met.where("n > 2").join(roots, "set_id", "left").select("bucket", "set_id", "size", F.coalesce("root", "set_id").alias("root")))
+    split = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    still = placed.join(split, "bucket", "left_semi")
+    a, b = (still.select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in ("set_id", "size", "root")]) for k in "ab")
+    near = F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b") - 1e-9
+    others = a.join(b, "bucket").where(near & (F.col("set_id_a") < F.col("set_id_b")) & (F.col("root_a") != F.col("root_b")))
+    others = others.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    linked = linked.union(store(_alike(others, members, least)))
+
+    roots = simhash.components(linked).select(F.col("node").alias("set_id"), "root")
+    return rows.join(roots, "set_id", "left").select("row", "doc_id", F.coalesce("root", "set_id").alias("root"))

@@ -27,22 +27,33 @@ BITS = 64
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def simhash(text: str | None, shingle: int = 4) -> int:
-    """64 bits, each set if it is set in over half of the shingles' hashes; zero without words."""
+def shingle_hashes(text: str | None, shingle: int = 4) -> np.ndarray:
+    """The 64-bit hash of each shingle of a text, in order; none without words."""
     words = text.encode().translate(LOWER).split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends[k - 1 :].tolist())]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends[k - 1 :].tolist())], "<u8")
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """64 bits, each set if it is set in over half of the hashes; zero without any."""
+    if not len(hashes):
+        return 0
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
 
 
+def simhash(text: str | None, shingle: int = 4) -> int:
+    """64 bits, each set if it is set in over half of the shingles' hashes; zero without words."""
+    return print_of(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp`` for every row of ``docs``; a null text counts as empty, whose fingerprint is zero."""
 

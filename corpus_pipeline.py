@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import language, packing, simhash, substring, toxicity
+from caseloom.llm import language, near_copies, packing, simhash, substring, toxicity
 from caseloom.llm.batches import small_batches
 from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
@@ -35,8 +35,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, on shingles of five words.
+    """The document with the smallest id of each group within 4 bits of SimHash, on shingles of five words.
 
+    That is closer than most near copies are; the stage is :func:`one_of_alike`.
     Of rows that share that id one stays; rows without an id are no documents and go.
     """
     groups = simhash.near_duplicates(docs, shingle=5, radius=4)
@@ -45,6 +46,17 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return rows.dropDuplicates(["doc_id"])
 
 
+def one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies: shingles of five words with a Jaccard index of 0.8.
+
+    Of rows that share that id one stays; rows without an id are no documents and go.
+    """
+    groups = near_copies.groups(docs.withColumn("row", F.xxhash64(*docs.columns)), shingle=5, least=0.8)
+    firsts = groups.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    rows = docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
+    return rows.dropDuplicates(["doc_id"])
+
+
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 words that documents with smaller ids have; emptied ones go.
 
@@ -77,7 +89,7 @@ def _stage(fn):
 STAGES = [
     ("language", _stage(language_id)),
     ("toxicity", _stage(without_toxic)),
-    ("near_duplicates", _stage(one_of_near_copies)),
+    ("near_duplicates", _stage(one_of_alike)),
     ("repeated_passages", _stage(without_repeats)),
     ("packing", _stage(packed_sequences)),
 ]

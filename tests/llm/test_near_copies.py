@@ -1,0 +1,75 @@
+"""Near copies against the Jaccard index of all pairs."""
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as C
+from caseloom.llm import near_copies
+
+SF = "/root/testdata/sf0.01"
+
+
+def shingles(text, k=5):
+    words = text.lower().split()
+    return frozenset(tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))) if words else frozenset()
+
+
+def brute(sets, least=0.8):
+    """The smallest member of each one's group, over all pairs that share a shingle."""
+    root, where = list(range(len(sets))), {}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    pairs = 0
+    for i, s in enumerate(sets):
+        shared = {}
+        for x in s:
+            for j in where.setdefault(x, []):
+                shared[j] = shared.get(j, 0) + 1
+            where[x].append(i)
+        for j, n in shared.items():
+            if n >= least * (len(s) + len(sets[j]) - n) - 1e-9:
+                pairs += sets[j] != s
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))], pairs
+
+
+def test_every_pair_of_the_given_documents(spark):
+    table = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    table.sort(key=lambda r: r["doc_id"])
+    want, pairs = brute([shingles(r["text"]) for r in table])
+    assert pairs >= 10
+    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in table], "doc_id long, text string")
+    stage = dict(C.STAGES)["near_duplicates"]
+    got = {r.doc_id for r in stage(spark, docs, SF).collect()}
+    assert got == {table[i]["doc_id"] for i in set(want)}
+
+
+def test_chains_and_large_groups(spark):
+    """Copies at 0.8 to 0.95, a large group around one text, and chains whose ends are unlike."""
+    rng = np.random.default_rng(3)
+    rows, texts = [], []
+    for _ in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 10_000, 200)]
+        for _ in range(4):
+            texts.append(" ".join(words))
+            for at in rng.choice(200, int(rng.integers(1, 4)), replace=False):
+                words[at] = f"w{rng.integers(0, 10_000)}"
+    base = [f"v{x}" for x in rng.integers(0, 10_000, 200)]
+    texts += [" ".join(base[:i] + ["x"] + base[i + 1 :]) for i in range(200)]
+    rows = list(enumerate(texts))
+    want, _ = brute([shingles(t) for t in texts])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.xxhash64("doc_id", "text"))
+    got = {r.doc_id: r.root for r in near_copies.groups(docs).collect()}
+    assert len(set(got.values())) == len(set(want)) == len({(got[i], w) for i, w in enumerate(want)})
+
+
+@pytest.mark.parametrize("text", ["", "one", "a b c"])
+def test_short_texts(text):
+    assert len(near_copies.bands(near_copies.simhash.shingle_hashes(text, 5))) == (near_copies.BANDS if text else 0)
