@@ -47,14 +47,19 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies: shingles of five words with a Jaccard index of 0.8.
+    """One row of each group of near copies: shingles of five words with a Jaccard index of 0.8.
 
-    Of rows that share that id one stays; rows without an id are no documents and go.
+    That is the row with the smallest id; of several with that id the one whose columns hash
+    lowest, so that every run keeps the same.  Rows of equal id that are no near copies all
+    stay.  A row without an id stays unless a near copy has one; of near copies that all have
+    none, one stays.
     """
-    groups = near_copies.groups(docs.withColumn("row", F.xxhash64(*docs.columns)), shingle=5, least=0.8)
-    firsts = groups.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    rows = docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
-    return rows.dropDuplicates(["doc_id"])
+    row = F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])
+    groups = near_copies.groups(docs.withColumn("row", row), shingle=5, least=0.8)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))["row"]
+    firsts = groups.groupBy("root").agg(first.alias("row")).select("row")
+    rows = docs.withColumn("row", row).join(firsts, "row", "left_semi")
+    return rows.dropDuplicates(["row"]).select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,3 +73,17 @@ def test_chains_and_large_groups(spark):
 @pytest.mark.parametrize("text", ["", "one", "a b c"])
 def test_short_texts(text):
     assert len(near_copies.bands(near_copies.simhash.shingle_hashes(text, 5))) == (near_copies.BANDS if text else 0)
+
+
+def test_equal_and_null_ids(spark):
+    """Rows that share an id or have none stay, unless a near copy has the smaller id."""
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(60)) for c in "abcd")
+    kept = [(1, one, "x", None), (1, two, None, "x"), (None, three, "x", "x"), (7, four, "x", "x"), (None, "e f g h i j", "x", "x")]
+    gone = [(2, one + " tail", "x", None), (None, two, "y", "y"), (7, four, "x", "x"), (None, four + " tail", None, None), (None, "e f g h i j", "x", "x")]
+    for rows in (kept + gone, gone[::-1] + kept[::-1]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+        got = [tuple(r) for r in C.one_of_alike(spark, docs, SF).collect()]
+        assert sorted(got, key=str) == sorted(kept, key=str)
+    ties = [(1, one, "x", None), (1, one, None, "x"), (1, one, "z", "z")]
+    picked = {C.one_of_alike(spark, spark.createDataFrame(r, "doc_id long, text string, lang string, source string"), SF).collect()[0] for r in (ties, ties[::-1])}
+    assert len(picked) == 1
