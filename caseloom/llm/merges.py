@@ -2,12 +2,14 @@
 
 Encoding starts from single characters and keeps an agenda of neighbours that form a piece;
 the best-scored candidate, the leftmost of equals, is merged first.  With dropout, a
-candidate is skipped if a hash of the seed, the word's variant and its own place falls
-below the rate, so equal seeds give equal ids on any cluster, and the documents of a corpus
-see several segmentations of a word.  With rate 0 the ids are those of the library.
+candidate is skipped if a hash of the seed, the document, the word's position in it and the
+candidate's own place falls below the rate, so equal seeds give equal ids on any cluster, and
+every occurrence of a word is segmented on its own.  With rate 0 the ids are those of the
+library.
 
 Words are independent, because no piece goes on over the start of a run of spaces.  Each
-word is segmented once per variant and task.  Short words are merged together, all words of
+word's result depends only on which of its possible candidates are skipped: all of them are
+drawn for each occurrence, and results are kept by word and skipped candidates.  Short words are merged together, all words of
 a batch in step; long ones by an agenda of their own.
 """
 
@@ -30,13 +32,23 @@ SHIFT = 21  # symbols are pieces, or characters without a piece after all pieces
 NONE = (1 << 31) - 1
 LONG = 64
 KEPT_WORDS = 300_000  # in each of two generations
+STEP = 50_000  # occurrences drawn at once
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
 def _draw(key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A number from 0 to 1 for each candidate: where it starts, where its halves meet, where it ends."""
     with np.errstate(over="ignore"):
-        x = key + start.astype(np.uint64) * _C[0] + mid.astype(np.uint64) * _C[1] + end.astype(np.uint64) * _C[2]
+        return _mixed(key + _place(start, mid, end))
+
+
+def _place(start: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return start.astype(np.uint64) * _C[0] + mid.astype(np.uint64) * _C[1] + end.astype(np.uint64) * _C[2]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
         x = (x ^ (x >> np.uint64(30))) * _C[3]
         x = (x ^ (x >> np.uint64(27))) * _C[4]
         return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
@@ -70,6 +82,7 @@ class Merges:
                     made.append(i)
         at = np.argsort(np.array(keys, np.int64))
         self.keys, self.ranks, self.made = np.array(keys, np.int64)[at], np.array(ranks, np.int64)[at], np.array(made, np.int64)[at]
+        self.longest = max(map(len, self.ids), default=0)
         self.chars = np.arange(0x110000, dtype=np.int64) + n
         for p, i in self.ids.items():
             if len(p) == 1:
@@ -85,6 +98,17 @@ class Merges:
         hit = self.keys[at] == key
         return np.where(hit, self.ranks[at], NONE), self.made[at]
 
+    def places(self, word: str) -> np.ndarray | None:
+        """A number for each candidate that any order of merges may offer; None if there are over 62."""
+        ids, n, out = self.ids, len(word), []
+        for a in range(n if n <= LONG else 0):
+            for b in range(a + 2, min(n, a + self.longest) + 1):
+                if word[a:b] in ids:
+                    out += [(a, m, b) for m in range(a + 1, b) if (m - a == 1 or word[a:m] in ids) and (b - m == 1 or word[m:b] in ids)]
+        if n > LONG or len(out) > 62:
+            return None
+        return _place(*np.array(out, np.int64).reshape(-1, 3).T)
+
     def to_ids(self, symbols: np.ndarray) -> np.ndarray:
         """Ids of symbols; characters without a piece become their bytes."""
         odd = np.flatnonzero(symbols >= self.size)
@@ -184,14 +208,31 @@ class Merges:
         return sym[order], np.searchsorted(of[order], np.arange(len(words) + 1))
 
 
+def word_keys(docs: np.ndarray, position: np.ndarray) -> np.ndarray:
+    """The key of each word of a document, by the document's hash and the word's position."""
+    with np.errstate(over="ignore"):
+        x = docs + position.astype(np.uint64) * _C[2]
+        x = (x ^ (x >> np.uint64(29))) * _C[4]
+        x = (x ^ (x >> np.uint64(32))) * _C[3]
+        return x ^ (x >> np.uint64(31))
+
+
 class Segmenter:
-    """Ids of texts for one rate and seed; keeps the words it has seen."""
+    """Ids of texts for one rate and seed; ``variants`` segmentations of a word, or with None one for each occurrence."""
 
-    def __init__(self, path: str, rate: float, seed: int, variants: int):
+    def __init__(self, path: str, rate: float, seed: int, variants: int | None):
         self.merges, self.rate, self.seed = Merges(path), rate, seed
-        self.variants = variants if rate > 0 else 1
+        self.each = variants is None and rate > 0
+        self.variants = variants if variants and rate > 0 else 1
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.older = self.known  # the generation before; what is still used moves to known
+        self.forget()
+
+    def forget(self) -> None:
+        self.older = self.known = [{} for _ in range(self.variants)]
+        self.number: dict[str, int] = {}  # of each word, with its candidates and results by what is skipped
+        self.places: list[np.ndarray | None] = []
+        self.results: dict[tuple[int, int], bytes] = {}
 
     def _learn(self, variant: int, words: list[str]) -> None:
         seed = (self.seed * 1_000_003 + variant) & (1 << 64) - 1
@@ -210,7 +251,9 @@ class Segmenter:
                 known[w] = to_ids(self.merges.agenda(w, int(keys[i]), self.rate)).tobytes()
 
     def encode(self, keys: list, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids; the key of a text picks the variant of all its words."""
+        """Little-endian 32-bit ids; the key of a text picks the draws, or the variant, of its words."""
+        if self.each:
+            return self._encode_each(keys, texts)
         out: list[bytes] = []
         pick = [xxhash.xxh64_intdigest(repr(k), self.seed & (1 << 64) - 1) % self.variants for k in keys]
         split = [self.merges.word.findall(" " + t) if t else [] for t in texts]
@@ -233,6 +276,67 @@ class Segmenter:
             self.older, self.known = self.known, [{} for _ in self.known]
         return out
 
+    def _encode_each(self, keys: list, texts: list[str | None]) -> list[bytes]:
+        split = [self.merges.word.findall(" " + t) if t else [] for t in texts]
+        made: list[bytes] = []
+        sizes = np.array([len(w) for w in split], np.int64)
+        docs = np.array([xxhash.xxh64_intdigest(repr(k), self.seed & (1 << 64) - 1) for k in keys], np.uint64)
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        every = word_keys(np.repeat(docs, sizes), place)
+        words = [w for part in split for w in part]
+        for lo in range(0, len(words), STEP):
+            made += self._occurrences(words[lo : lo + STEP], every[lo : lo + STEP])
+        cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+        return [b"".join(made[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+    def _occurrences(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of each occurrence of a word, drawn by its own key."""
+        if len(self.results) + len(self.number) > KEPT_WORDS:
+            self.forget()
+        number = self.number
+        for w in set(words).difference(number):
+            number[w] = len(self.places)
+            self.places.append(self.merges.places(w))
+        of = np.array([number[w] for w in words], np.int64)
+        own, at = np.unique(of, return_inverse=True)
+        places = [self.places[i] for i in own.tolist()]
+        whole = np.array([p is not None for p in places])[at]
+        sizes = np.array([0 if p is None else len(p) for p in places], np.int64)
+        flat, begin = np.concatenate([np.zeros(0, np.uint64), *[p for p in places if p is not None]]), np.cumsum(sizes) - sizes
+        each = sizes[at]
+        first = np.cumsum(each) - each
+        bit = np.arange(each.sum()) - np.repeat(first, each)
+        skipped = _mixed(np.repeat(keys, each) + flat[np.repeat(begin[at], each) + bit]) < self.rate
+        mask, some = np.zeros(len(words), np.int64), np.flatnonzero(each)
+        if len(some):
+            mask[some] = np.bitwise_or.reduceat(skipped.astype(np.int64) << bit, first[some])
+        pairs = list(zip(of.tolist(), mask.tolist()))
+        get = self.results.get
+        out = [get(p) if ok else None for p, ok in zip(pairs, whole.tolist())]
+        missed: dict = {}
+        for i, x in enumerate(out):
+            if x is None:
+                missed.setdefault(pairs[i] if whole[i] else i, i)
+        order = list(missed.values())
+        found = dict(zip(missed, self._segment([words[i] for i in order], keys[order])))
+        self.results.update((k, v) for k, v in found.items() if isinstance(k, tuple))
+        return [found[pairs[i] if whole[i] else i] if x is None else x for i, x in enumerate(out)]
+
+    def _segment(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        """Each word by its key, none of them kept."""
+        out = [b""] * len(words)
+        short = [i for i, w in enumerate(words) if len(w) <= LONG]
+        if short:
+            sym, bounds = self.merges.in_step([words[i] for i in short], keys[short], self.rate)
+            raw, odd = sym.astype("<i4").tobytes(), np.concatenate([[0], np.cumsum(sym >= self.merges.size)])[bounds]
+            cuts = bounds.tolist()
+            for i, a, b, apart in zip(short, cuts, cuts[1:], (odd[1:] > odd[:-1]).tolist()):
+                out[i] = self.merges.to_ids(sym[a:b]).tobytes() if apart else raw[4 * a : 4 * b]
+        for i, w in enumerate(words):
+            if len(w) > LONG:
+                out[i] = self.merges.to_ids(self.merges.agenda(w, int(keys[i]), self.rate)).tobytes()
+        return out
+
     def decode(self, raw: bytes) -> str:
         text = b"".join(map(self.merges.plain.__getitem__, np.frombuffer(raw, "<i4").tolist())).decode()
         return text[1:]
@@ -241,7 +345,7 @@ class Segmenter:
 _MADE: dict[tuple, Segmenter] = {}
 
 
-def segmenter(path: str, rate: float, seed: int, variants: int) -> Segmenter:
+def segmenter(path: str, rate: float, seed: int, variants: int | None) -> Segmenter:
     """The worker's segmenter for these settings."""
     key = (path, rate, seed, variants)
     if key not in _MADE:
@@ -251,17 +355,18 @@ def segmenter(path: str, rate: float, seed: int, variants: int) -> Segmenter:
 
 def _forget() -> None:
     for made in _MADE.values():
-        made.older = made.known = [{} for _ in made.known]
+        made.forget()
 
 
 CACHES["merges"] = _forget
 
 
-def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int = 8, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int | None = None, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Adds ``pieces``, the little-endian 32-bit ids of each whole text, to every row and column of ``docs``.
 
     Null and empty texts have no ids.  Rows of equal id and text get equal ids; a null id is
-    a key like any other.  ``variants`` segmentations of a word are told apart in a corpus.
+    a key like any other.  Every occurrence of a word is drawn on its
+    own, unless ``variants`` bounds the segmentations of a word in a corpus.
     """
 
     def ids(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -281,7 +386,7 @@ def decode(rows: DataFrame, model: str, name: str = "decoded", keep_pieces: bool
     return add_columns(rows, texts, f"{name} string", "pieces", keep_pieces, using="merges")
 
 
-def round_trip(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int = 8) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int | None = None) -> DataFrame:
     """``doc_id, n_pieces, ids_crc32, lossless`` of every document, each encoded and decoded again."""
 
     def check(batch: pa.RecordBatch) -> list[pa.Array]:
