@@ -12,54 +12,53 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import language, near_copies, packing, simhash, substring, toxicity
+from caseloom.llm import language, packing, simhash, substring, toxicity
 from caseloom.llm.batches import small_batches
 from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of ``docs`` is called so."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter go.
 
     Learns from two thirds of the documents that have a language.
     """
     model = language.fit(docs.where(crc_of_id(F.col("doc_id")) % 3 != 1))
-    return language.predict(docs, model).where(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    name, score = _unused(docs, "lang_pred"), _unused(docs, "lang_score")
+    told = language.predict(docs, model, name=name, score=score)
+    return told.where(F.col(name) != language.UNDETERMINED).select(*docs.columns)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; learns from the labels of three quarters of them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(crc_of_id(F.col("doc_id")) % 4 != 2)
-    rated = toxicity.score(docs, toxicity.fit(docs, labels), threshold=0.3, score_col="_score", name="_toxic")
-    return rated.where("_toxic = 0").select(*docs.columns)
+    name, score = _unused(docs, "toxic_pred"), _unused(docs, "toxic_score")
+    rated = toxicity.score(docs, toxicity.fit(docs, labels), threshold=0.3, score_col=score, name=name)
+    return rated.where(F.col(name) == 0).select(*docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group within 4 bits of SimHash, on shingles of five words.
-
-    That is closer than most near copies are; the stage is :func:`one_of_alike`.
-    Of rows that share that id one stays; rows without an id are no documents and go.
-    """
-    groups = simhash.near_duplicates(docs, shingle=5, radius=4)
-    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
-    return rows.dropDuplicates(["doc_id"])
-
-
-def one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: shingles of five words with a Jaccard index of 0.8.
+    """One row of each group of the SimHash operator: shingles of four words, links at four bits.
 
     That is the row with the smallest id; of several with that id the one whose columns hash
-    lowest, so that every run keeps the same.  Rows of equal id that are no near copies all
-    stay.  A row without an id stays unless a near copy has one; of near copies that all have
-    none, one stays.
+    lowest (128 bits), so that every run keeps the same.  Rows of equal id in different groups
+    all stay.  A row without an id stays unless a near copy has one; of near copies that all
+    have none, and of rows that are equal in all columns, one stays.
     """
-    row = F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])
-    groups = near_copies.groups(docs.withColumn("row", row), shingle=5, least=0.8)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))["row"]
-    firsts = groups.groupBy("root").agg(first.alias("row")).select("row")
-    rows = docs.withColumn("row", row).join(firsts, "row", "left_semi")
-    return rows.dropDuplicates(["row"]).select(*docs.columns)
+    row = _unused(docs, "row")
+    nulls = [F.col(c).isNull() for c in docs.columns]
+    halves = [F.xxhash64(F.lit(i), *docs.columns, *nulls).alias(f"h{i}") for i in (1, 2)]
+    keyed = docs.withColumn(row, F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), *halves))
+    groups = simhash.near_duplicates(keyed, shingle=4, radius=4, id_col=row)
+    firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias(row)).distinct()
+    return keyed.join(firsts, row, "left_semi").dropDuplicates([row]).select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -94,7 +93,7 @@ def _stage(fn):
 STAGES = [
     ("language", _stage(language_id)),
     ("toxicity", _stage(without_toxic)),
-    ("near_duplicates", _stage(one_of_alike)),
+    ("near_duplicates", _stage(one_of_near_copies)),
     ("repeated_passages", _stage(without_repeats)),
     ("packing", _stage(packed_sequences)),
 ]
