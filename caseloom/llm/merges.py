@@ -7,10 +7,9 @@ candidate's own place falls below the rate, so equal seeds give equal ids on any
 every occurrence of a word is segmented on its own.  With rate 0 the ids are those of the
 library.
 
-Words are independent, because no piece goes on over the start of a run of spaces.  Each
-word's result depends only on which of its possible candidates are skipped: all of them are
-drawn for each occurrence, and results are kept by word and skipped candidates.  Short words are merged together, all words of
-a batch in step; long ones by an agenda of their own.
+Words are independent, because no piece goes on over the start of a run of spaces.  Every
+occurrence goes through its own merges and none is kept: short words are merged together,
+many occurrences in step; long ones by an agenda of their own.
 """
 
 from __future__ import annotations
@@ -25,14 +24,13 @@ import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 
-from caseloom.llm.batches import CACHES, add_columns
+from caseloom.llm.batches import add_columns
 
 SPACE = "▁"
 SHIFT = 21  # symbols are pieces, or characters without a piece after all pieces
 NONE = (1 << 31) - 1
-LONG = 64
-KEPT_WORDS = 300_000  # in each of two generations
-STEP = 50_000  # occurrences drawn at once
+LONG = 64  # characters of a word that is merged by itself; its ids are the same either way
+STEP = 50_000  # occurrences merged at once
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -98,17 +96,6 @@ class Merges:
         hit = self.keys[at] == key
         return np.where(hit, self.ranks[at], NONE), self.made[at]
 
-    def places(self, word: str) -> np.ndarray | None:
-        """A number for each candidate that any order of merges may offer; None if there are over 62."""
-        ids, n, out = self.ids, len(word), []
-        for a in range(n if n <= LONG else 0):
-            for b in range(a + 2, min(n, a + self.longest) + 1):
-                if word[a:b] in ids:
-                    out += [(a, m, b) for m in range(a + 1, b) if (m - a == 1 or word[a:m] in ids) and (b - m == 1 or word[m:b] in ids)]
-        if n > LONG or len(out) > 62:
-            return None
-        return _place(*np.array(out, np.int64).reshape(-1, 3).T)
-
     def to_ids(self, symbols: np.ndarray) -> np.ndarray:
         """Ids of symbols; characters without a piece become their bytes."""
         odd = np.flatnonzero(symbols >= self.size)
@@ -218,109 +205,32 @@ def word_keys(docs: np.ndarray, position: np.ndarray) -> np.ndarray:
 
 
 class Segmenter:
-    """Ids of texts for one rate and seed; ``variants`` segmentations of a word, or with None one for each occurrence."""
-
-    def __init__(self, path: str, rate: float, seed: int, variants: int | None):
-        self.merges, self.rate, self.seed = Merges(path), rate, seed
-        self.each = variants is None and rate > 0
-        self.variants = variants if variants and rate > 0 else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older = self.known  # the generation before; what is still used moves to known
-        self.forget()
-
-    def forget(self) -> None:
-        self.older = self.known = [{} for _ in range(self.variants)]
-        self.number: dict[str, int] = {}  # of each word, with its candidates and results by what is skipped
-        self.places: list[np.ndarray | None] = []
-        self.results: dict[tuple[int, int], bytes] = {}
-
-    def _learn(self, variant: int, words: list[str]) -> None:
-        seed = (self.seed * 1_000_003 + variant) & (1 << 64) - 1
-        keys = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
-        known, to_ids = self.known[variant], self.merges.to_ids
-        if not words:
-            return
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
-        sym, bounds = self.merges.in_step([words[i] for i in short], keys[short], self.rate)
-        raw, odd = sym.astype("<i4").tobytes(), np.concatenate([[0], np.cumsum(sym >= self.merges.size)])[bounds]
-        cuts = bounds.tolist()
-        for i, a, b, apart in zip(short, cuts, cuts[1:], (odd[1:] > odd[:-1]).tolist()):
-            known[words[i]] = to_ids(sym[a:b]).tobytes() if apart else raw[4 * a : 4 * b]
-        for i, w in enumerate(words):
-            if len(w) > LONG:
-                known[w] = to_ids(self.merges.agenda(w, int(keys[i]), self.rate)).tobytes()
+    """Ids of texts for one rate and seed, ``step`` occurrences of words merged at once."""
 
-    def encode(self, keys: list, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids; the key of a text picks the draws, or the variant, of its words."""
-        if self.each:
-            return self._encode_each(keys, texts)
-        out: list[bytes] = []
-        pick = [xxhash.xxh64_intdigest(repr(k), self.seed & (1 << 64) - 1) % self.variants for k in keys]
-        split = [self.merges.word.findall(" " + t) if t else [] for t in texts]
-        missed: list[set[str]] = [set() for _ in range(self.variants)]
-        found = []
-        for v, words in zip(pick, split):
-            ids = list(map(self.known[v].get, words))
-            if None in ids:
-                missed[v].update([w for w, x in zip(words, ids) if x is None])
-            found.append(ids)
-        for v, new in enumerate(missed):
-            if new:
-                older = self.older[v]
-                self.known[v].update([(w, older[w]) for w in new if w in older])
-                self._learn(v, [w for w in new if w not in older])
-        for v, words, ids in zip(pick, split, found):
-            get = self.known[v].get
-            out.append(b"".join([get(w) if x is None else x for w, x in zip(words, ids)] if None in ids else ids))
-        if sum(map(len, self.known)) > KEPT_WORDS:
-            self.older, self.known = self.known, [{} for _ in self.known]
-        return out
+    def __init__(self, path: str, rate: float, seed: int, step: int | None = None):
+        self.merges, self.rate, self.seed, self.step = Merges(path), rate, seed & (1 << 64) - 1, step or STEP
 
-    def _encode_each(self, keys: list, texts: list[str | None]) -> list[bytes]:
+    def encode(self, keys: list, texts: list[str | None]) -> list[bytes]:
+        """Little-endian 32-bit ids; the key of a text picks the draws of its words."""
         split = [self.merges.word.findall(" " + t) if t else [] for t in texts]
-        made: list[bytes] = []
         sizes = np.array([len(w) for w in split], np.int64)
-        docs = np.array([xxhash.xxh64_intdigest(repr(k), self.seed & (1 << 64) - 1) for k in keys], np.uint64)
+        docs = np.array([xxhash.xxh64_intdigest(repr(k), self.seed) for k in keys], np.uint64)
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         every = word_keys(np.repeat(docs, sizes), place)
         words = [w for part in split for w in part]
-        for lo in range(0, len(words), STEP):
-            made += self._occurrences(words[lo : lo + STEP], every[lo : lo + STEP])
+        made: list[bytes] = []
+        for lo in range(0, len(words), self.step):
+            made += self._occurrences(words[lo : lo + self.step], every[lo : lo + self.step])
         cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
         return [b"".join(made[a:b]) for a, b in zip(cuts, cuts[1:])]
 
     def _occurrences(self, words: list[str], keys: np.ndarray) -> list[bytes]:
-        """Ids of each occurrence of a word, drawn by its own key."""
-        if len(self.results) + len(self.number) > KEPT_WORDS:
-            self.forget()
-        number = self.number
-        for w in set(words).difference(number):
-            number[w] = len(self.places)
-            self.places.append(self.merges.places(w))
-        of = np.array([number[w] for w in words], np.int64)
-        own, at = np.unique(of, return_inverse=True)
-        places = [self.places[i] for i in own.tolist()]
-        whole = np.array([p is not None for p in places])[at]
-        sizes = np.array([0 if p is None else len(p) for p in places], np.int64)
-        flat, begin = np.concatenate([np.zeros(0, np.uint64), *[p for p in places if p is not None]]), np.cumsum(sizes) - sizes
-        each = sizes[at]
-        first = np.cumsum(each) - each
-        bit = np.arange(each.sum()) - np.repeat(first, each)
-        skipped = _mixed(np.repeat(keys, each) + flat[np.repeat(begin[at], each) + bit]) < self.rate
-        mask, some = np.zeros(len(words), np.int64), np.flatnonzero(each)
-        if len(some):
-            mask[some] = np.bitwise_or.reduceat(skipped.astype(np.int64) << bit, first[some])
-        pairs = list(zip(of.tolist(), mask.tolist()))
-        get = self.results.get
-        out = [get(p) if ok else None for p, ok in zip(pairs, whole.tolist())]
-        missed: dict = {}
-        for i, x in enumerate(out):
-            if x is None:
-                missed.setdefault(pairs[i] if whole[i] else i, i)
-        order = list(missed.values())
-        found = dict(zip(missed, self._segment([words[i] for i in order], keys[order])))
-        self.results.update((k, v) for k, v in found.items() if isinstance(k, tuple))
-        return [found[pairs[i] if whole[i] else i] if x is None else x for i, x in enumerate(out)]
+        """Ids of each occurrence of a word, drawn by its own key; without draws equal words are merged once."""
+        if self.rate > 0:
+            return self._segment(words, keys)
+        own = list(dict.fromkeys(words))
+        made = dict(zip(own, self._segment(own, np.zeros(len(own), np.uint64))))
+        return [made[w] for w in words]
 
     def _segment(self, words: list[str], keys: np.ndarray) -> list[bytes]:
         """Each word by its key, none of them kept."""
@@ -345,55 +255,47 @@ class Segmenter:
 _MADE: dict[tuple, Segmenter] = {}
 
 
-def segmenter(path: str, rate: float, seed: int, variants: int | None) -> Segmenter:
+def segmenter(path: str, rate: float, seed: int) -> Segmenter:
     """The worker's segmenter for these settings."""
-    key = (path, rate, seed, variants)
+    key = (path, rate, seed)
     if key not in _MADE:
         _MADE[key] = Segmenter(*key)
     return _MADE[key]
 
 
-def _forget() -> None:
-    for made in _MADE.values():
-        made.forget()
-
-
-CACHES["merges"] = _forget
-
-
-def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int | None = None, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Adds ``pieces``, the little-endian 32-bit ids of each whole text, to every row and column of ``docs``.
 
     Null and empty texts have no ids.  Rows of equal id and text get equal ids; a null id is
-    a key like any other.  Every occurrence of a word is drawn on its
-    own, unless ``variants`` bounds the segmentations of a word in a corpus.
+    a key like any other.  Very long texts are merged whole, so many words at a time.  An
+    empty table gives no rows; other columns are kept, but for one called ``pieces``.
     """
 
     def ids(batch: pa.RecordBatch) -> list[pa.Array]:
-        made = segmenter(model, rate, seed, variants).encode(batch.column(id_col).to_pylist(), batch.column(text_col).to_pylist())
+        made = segmenter(model, rate, seed).encode(batch.column(id_col).to_pylist(), batch.column(text_col).to_pylist())
         return [pa.array(made, pa.binary())]
 
-    return add_columns(docs, ids, "pieces binary", text_col, keep_text, using="merges")
+    return add_columns(docs, ids, "pieces binary", text_col, keep_text)
 
 
 def decode(rows: DataFrame, model: str, name: str = "decoded", keep_pieces: bool = True) -> DataFrame:
     """Adds the text of ``pieces``; what :func:`encode` made of a text is that text again, of null the empty one."""
 
     def texts(batch: pa.RecordBatch) -> list[pa.Array]:
-        s = segmenter(model, 0.0, 0, 1)
+        s = segmenter(model, 0.0, 0)
         return [pa.array([s.decode(x or b"") for x in batch.column("pieces").to_pylist()], pa.string())]
 
-    return add_columns(rows, texts, f"{name} string", "pieces", keep_pieces, using="merges")
+    return add_columns(rows, texts, f"{name} string", "pieces", keep_pieces)
 
 
-def round_trip(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0) -> DataFrame:
     """``doc_id, n_pieces, ids_crc32, lossless`` of every document, each encoded and decoded again."""
 
     def check(batch: pa.RecordBatch) -> list[pa.Array]:
-        s = segmenter(model, rate, seed, variants)
+        s = segmenter(model, rate, seed)
         plain = batch.column("text").to_pylist()
         made = s.encode(batch.column("doc_id").to_pylist(), plain)
         same = [s.decode(x) == (t or "") for x, t in zip(made, plain)]
         return [pa.array([len(x) // 4 for x in made], pa.int64()), pa.array([zlib.crc32(x) for x in made], pa.int64()), pa.array(same)]
 
-    return add_columns(docs.select("doc_id", "text"), check, "n_pieces long, ids_crc32 long, lossless boolean", "text", keep_text=False, using="merges")
+    return add_columns(docs.select("doc_id", "text"), check, "n_pieces long, ids_crc32 long, lossless boolean", "text", keep_text=False)

@@ -41,7 +41,7 @@ def test_dropout_decodes_to_the_text(plain, rate):
 def test_segmentations_vary():
     s = M.Segmenter(MODEL, 0.3, 1, 16)
     made = {s.encode([k], ["transformation of information"])[0] for k in range(60)}
-    assert 8 < len(made) <= 16
+    assert len(made) > 30
     other = M.Segmenter(MODEL, 0.3, 2, 16)
     assert {other.encode([k], ["transformation of information"])[0] for k in range(60)} != made
 
