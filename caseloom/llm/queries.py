@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import language, merges, packing, perspectives, simhash, spotsigs, substring, token_shards, topk, toxicity
+from caseloom.llm import alignment, language, merges, packing, perspectives, simhash, spotsigs, substring, token_shards, topk, toxicity
 from caseloom.llm.batches import small_batches
 from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
@@ -153,3 +153,10 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's pieces under seeded merge-dropout, and whether they give its text again."""
     return merges.round_trip(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), rate=0.1, seed=20)
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers over every document, with corpus-wide counts of linked ids."""
+    docs = table(spark, sf, "documents")
+    return alignment.alignment(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))

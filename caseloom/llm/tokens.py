@@ -31,12 +31,12 @@ def _unusual(text: str) -> bool:
     return any(c in text for c in CONTROLS) if text.isascii() else bool(UNUSUAL.search(text))
 
 
-def _pieces(text: str) -> list[str]:
-    """The text cut before each run of spaces, by names: of a piece ``" word"`` it is the word,
-    of one that begins with a line end the piece itself, of any other the piece after a NUL."""
+def _pieces(text: str, lead: str = "") -> list[str]:
+    """``lead``, which is nothing or a space, and the text, cut before each run of spaces, by names: of a piece
+    ``" word"`` it is the word, of one that begins with a line end the piece itself, of any other the piece after a NUL."""
     if RUNS.search(text):
-        return [p[1:] if p[0] == " " and p[1:2] not in ("", *" \n\t\r\0") else "\0" + p for p in PIECE.findall(text)]
-    return ("\0" + text.replace("\n", " \n")).split(" ")
+        return [p[1:] if p[0] == " " and p[1:2] not in ("", *" \n\t\r\0") else "\0" + p for p in PIECE.findall(lead + text)]
+    return (("" if lead else "\0") + text.replace("\n", " \n")).split(" ")
 
 
 def _positions(ids: list) -> list[int]:
@@ -55,9 +55,12 @@ def _piece(name: str) -> str:
 
 
 class Encoder:
-    """Encodes texts to little-endian ids of ``dtype``; one per worker process."""
+    """Encodes texts to little-endian ids of ``dtype``; one per worker process.
 
-    def __init__(self, path: str, kept: int = KEPT_PIECES):
+    ``plain``: the strings of special tokens in a text are text like any other.
+    """
+
+    def __init__(self, path: str, kept: int = KEPT_PIECES, plain: bool = False):
         self.kept = kept
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
@@ -65,7 +68,9 @@ class Encoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         kind = type(self.tokenizer.pre_tokenizer).__name__ if self.tokenizer.pre_tokenizer else ""
         self.by_piece = kind == "ByteLevel" and self.tokenizer.normalizer is None
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.encode_special_tokens = plain
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content for t in added if not (plain and t.special)]
         self.widths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the generation before; what is still used moves to known
@@ -99,18 +104,18 @@ class Encoder:
             self.known[n] = raw[at:cut]
             at = cut
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, None counting as empty."""
+    def encode(self, texts: list[str | None], lead: str = "") -> list[bytes]:
+        """The ids of ``lead`` (nothing or a space) and each text, None counting as empty."""
         plain = [t or "" for t in texts]
         if not self.by_piece:
-            return self._whole(plain)
+            return self._whole([lead + t for t in plain])
         whole = [i for i, t in enumerate(plain) if _unusual(t) or any(s in t for s in self.special)]
         odd = set(whole)
         get, out = self.known.get, [b""] * len(plain)
         missed = {}
         for i, t in enumerate(plain):
             if i not in odd:
-                parts = _pieces(t)
+                parts = _pieces(t, lead)
                 ids = list(map(get, parts))
                 if None in ids:
                     missed[i] = (parts, ids, _positions(ids))
@@ -126,20 +131,21 @@ class Encoder:
                 out[i] = b"".join(ids)
             if len(self.known) > self.kept:
                 self.older, self.known = self.known, {}
-        for i, ids in zip(whole, self._whole([plain[i] for i in whole]) if whole else []):
+        for i, ids in zip(whole, self._whole([lead + plain[i] for i in whole]) if whole else []):
             out[i] = ids
         return out
 
 
-_MADE: dict[str, Encoder] = {}
+_MADE: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
+def encoder(path: str, kept: int = KEPT_PIECES, plain: bool = False) -> Encoder:
     """The worker's encoder for a file that every machine has at ``path``; fewer kept pieces take less memory and more time."""
-    if path not in _MADE:
-        _MADE[path] = Encoder(path)
-    _MADE[path].kept = kept
-    return _MADE[path]
+    key = path, plain
+    if key not in _MADE:
+        _MADE[key] = Encoder(path, plain=plain)
+    _MADE[key].kept = kept
+    return _MADE[key]
 
 
 def _forget() -> None:
