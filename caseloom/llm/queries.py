@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import alignment, language, merges, packing, perspectives, simhash, spotsigs, substring, token_shards, topk, toxicity
+from caseloom.llm import alignment, extraction, language, merges, packing, perspectives, simhash, spotsigs, substring, token_shards, topk, toxicity
 from caseloom.llm.batches import small_batches
 from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
@@ -160,3 +160,10 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers over every document, with corpus-wide counts of linked ids."""
     docs = table(spark, sf, "documents")
     return alignment.alignment(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_html_extraction")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return extraction.extract(pages, keep_html=False)
