@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import alignment, extraction, language, merges, packing, perspectives, simhash, spotsigs, substring, token_shards, topk, toxicity
+from caseloom.llm import alignment, collocations, extraction, language, merges, packing, perspectives, simhash, spotsigs, substring, token_shards, topk, toxicity
 from caseloom.llm.batches import small_batches
 from caseloom.llm.grams import crc_of_id
 from caseloom.session import shared_folder
@@ -167,3 +167,42 @@ def op13(spark: SparkSession, sf: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     return extraction.extract(pages, keep_html=False)
+
+
+@query(
+    "op11_collocations",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+      FROM documents
+    ), pieces AS (
+      SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS p FROM d) x
+    ), w1 AS (
+      SELECT lang, w[i] AS phrase, count(*) AS f FROM (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM pieces) x GROUP BY ALL
+    ), w2 AS (
+      SELECT lang, w[i] AS a, w[i + 1] AS b, count(*) AS f FROM (SELECT lang, w, unnest(generate_series(1, len(w) - 1)) AS i FROM pieces) x GROUP BY ALL HAVING count(*) >= 10
+    ), w3 AS (
+      SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, count(*) AS f FROM (SELECT lang, w, unnest(generate_series(1, len(w) - 2)) AS i FROM pieces) x GROUP BY ALL HAVING count(*) >= 10
+    ), cuts AS (
+      SELECT w2.lang AS lang, w2.a || ' ' || w2.b AS phrase, 1 AS k, w2.f AS a, x.f AS l, y.f AS r
+      FROM w2 JOIN w1 x ON x.lang = w2.lang AND x.phrase = w2.a JOIN w1 y ON y.lang = w2.lang AND y.phrase = w2.b
+      WHERE NOT EXISTS (FROM w3 t WHERE t.lang = w2.lang AND (t.a = w2.a AND t.b = w2.b OR t.b = w2.a AND t.c = w2.b) AND 100 * t.f >= 50 * w2.f)
+      UNION ALL
+      SELECT w3.lang, w3.a || ' ' || w3.b || ' ' || w3.c, 1, w3.f, x.f, y.f
+      FROM w3 JOIN w1 x ON x.lang = w3.lang AND x.phrase = w3.a JOIN w2 y ON y.lang = w3.lang AND y.a = w3.b AND y.b = w3.c
+      UNION ALL
+      SELECT w3.lang, w3.a || ' ' || w3.b || ' ' || w3.c, 2, w3.f, x.f, y.f
+      FROM w3 JOIN w2 x ON x.lang = w3.lang AND x.a = w3.a AND x.b = w3.b JOIN w1 y ON y.lang = w3.lang AND y.phrase = w3.c
+    ), scored AS (
+      SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+      QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), best AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored QUALIFY rank <= 2000
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM best JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM w1 GROUP BY lang) t USING (lang)
+    """,
+)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """The best 2,000 phrases of two or three words of each language."""
+    return collocations.collocations(table(spark, sf, "documents"))
