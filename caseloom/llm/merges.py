@@ -80,8 +80,8 @@ class Merges:
                     made.append(i)
         at = np.argsort(np.array(keys, np.int64))
         self.keys, self.ranks, self.made = np.array(keys, np.int64)[at], np.array(ranks, np.int64)[at], np.array(made, np.int64)[at]
-        self.longest = max(map(len, self.ids), default=0)
-        self.chars = np.arange(0x110000, dtype=np.int64) + n
+        self._spread()
+        self.chars = np.arange(0x110000, dtype=np.int32) + n
         for p, i in self.ids.items():
             if len(p) == 1:
                 self.chars[ord(p)] = i
@@ -89,24 +89,54 @@ class Merges:
     def _symbol(self, part: str) -> int | None:
         return self.ids.get(part, self.size + ord(part) if len(part) == 1 else None)
 
-    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and piece of each pair of neighbours; rank NONE where they form no piece."""
-        key = left << SHIFT | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = self.keys[at] == key
-        return np.where(hit, self.ranks[at], NONE), self.made[at]
+    def _spread(self) -> None:
+        """Places the pairs in a table by a hash of theirs, the next free place if it is taken."""
+        self.shift = 64 - max(4, (4 * len(self.keys)).bit_length())
+        self.slots = np.full(1 << 64 - self.shift, -1, np.int64)  # which pair, -1 where none is
+        free = np.arange(len(self.keys))
+        at = self._slot(self.keys)
+        while len(free):
+            at[free] %= len(self.slots)
+            some = free[self.slots[at[free]] < 0]
+            self.slots[at[some]] = some  # of several for one place, one gets it
+            free = free[self.slots[at[free]] != free]
+            at[free] += 1
+        held = self.slots >= 0
+        self.slot_keys = np.where(held, self.keys[self.slots], -1) if len(self.keys) else np.full(len(self.slots), -1, np.int64)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (key.astype(np.uint64) * _C[0] >> np.uint64(self.shift)).astype(np.int64)
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The number of the merge of each pair of neighbours, -1 where they form no piece."""
+        key = left.astype(np.int64) << SHIFT | right
+        at = self._slot(key)
+        found = self.slot_keys[at]
+        out = np.where(found == key, self.slots[at], -1)
+        open_ = np.flatnonzero((found != key) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) % len(self.slots)
+            found = self.slot_keys[at[open_]]
+            hit = found == key[open_]
+            out[open_[hit]] = self.slots[at[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
 
     def to_ids(self, symbols: np.ndarray) -> np.ndarray:
-        """Ids of symbols; characters without a piece become their bytes."""
-        odd = np.flatnonzero(symbols >= self.size)
-        if not len(odd):
-            return symbols.astype(np.int32)
-        out, last = [], 0
-        for i in odd.tolist():
-            raw = chr(int(symbols[i]) - self.size).encode()
-            out += [symbols[last:i].astype(np.int32), self.bytes_at[list(raw)]]
-            last = i + 1
-        return np.concatenate([*out, symbols[last:].astype(np.int32)])
+        return self.ids_of(symbols, np.array([0, len(symbols)]))[0]
+
+    def ids_of(self, symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of symbols, and the bounds among them; characters without a piece become their bytes."""
+        odd = symbols >= self.size
+        if not odd.any():
+            return symbols.astype("<i4"), bounds
+        chars = "".join(map(chr, (symbols[odd] - self.size).tolist()))
+        each = np.ones(len(symbols), np.int64)
+        each[odd] = [len(c.encode()) for c in chars]
+        out = np.repeat(symbols, each).astype("<i4")
+        out[np.repeat(odd, each)] = self.bytes_at[np.frombuffer(chars.encode(), np.uint8)]
+        return out, np.concatenate([[0], np.cumsum(each)])[bounds]
 
     def agenda(self, word: str, key: int, rate: float) -> np.ndarray:
         """One word by a priority queue of candidates."""
@@ -122,7 +152,8 @@ class Merges:
                 return
             rights = [after[i] for i in lefts]
             a, b = np.array([sym[i] for i in lefts], np.int64), np.array([sym[j] for j in rights], np.int64)
-            rank, made = self.look_up(a, b)
+            merge = self.look_up(a, b)
+            rank, made = np.where(merge >= 0, self.ranks[merge], NONE), self.made[merge]
             places = [np.array(x) for x in ([start[i] for i in lefts], [start[j] for j in rights], [end[j] for j in rights])]
             skipped = _draw(np.full(len(lefts), key, np.uint64), *places) < rate
             for i, j, r, m, s in zip(lefts, rights, rank.tolist(), made.tolist(), skipped.tolist()):
@@ -146,53 +177,51 @@ class Merges:
 
         All symbols, and where those of each word begin and end.
         """
-        sizes = np.array([len(w) for w in words], np.int64)
-        sym = self.chars[np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)]
-        of = np.repeat(np.arange(len(words)), sizes)
-        start = np.arange(len(sym)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        end = start + 1
-        kept_of, kept_start, kept_sym = [], [], []
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        sym = self.chars[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
+        of = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        end = (np.arange(1, len(sym) + 1) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+        left, done = np.zeros(len(words), np.int64), []
 
         def candidates(i: np.ndarray) -> np.ndarray:
-            """Rank of each symbol with its right neighbour."""
-            out = np.full(len(i), NONE, np.int64)
-            pair = np.flatnonzero((i + 1 < len(sym)) & (of[np.minimum(i + 1, len(of) - 1)] == of[i]))
-            a, b = i[pair], i[pair] + 1
-            rank, _ = self.look_up(sym[a], sym[b])
-            if rate > 0:
-                some = np.flatnonzero(rank < NONE)
-                x, y = a[some], b[some]
-                rank[some[_draw(keys[of[x]], start[x], start[y], end[y]) < rate]] = NONE
-            out[pair] = rank
+            """Rank of each symbol with its right neighbour, which is of the same word."""
+            merge = self.look_up(sym[i], sym[i + 1])
+            out = np.full(len(i), NONE, np.int32)
+            some = np.flatnonzero(merge >= 0)
+            rank = self.ranks[merge[some]]
+            if rate > 0 and len(some):
+                x = i[some]
+                start = np.where((x > 0) & (of[x - 1] == of[x]), end[x - 1], 0)
+                rank[_draw(keys[of[x]], start, end[x], end[x + 1]) < rate] = NONE
+            out[some] = rank
             return out
 
-        rank = candidates(np.arange(len(sym)))
+        rank = np.full(len(sym), NONE, np.int32)
+        pairs = np.flatnonzero(of[1:] == of[:-1])
+        rank[pairs] = candidates(pairs)
         while len(sym):
             first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            best = np.minimum.reduceat(rank << 32 | np.arange(len(sym)), first)
-            going = (best >> 32) < NONE
+            best = np.minimum.reduceat(rank.astype(np.int64) << 32 | np.arange(len(sym)), first)
+            going = best < NONE << 32
             each = np.diff(np.append(first, len(sym)))
+            keep = np.repeat(going, each)
             if not going.all():
-                over = np.repeat(~going, each)
-                kept_of.append(of[over])
-                kept_start.append(start[over])
-                kept_sym.append(sym[over])
+                done.append((sym[~keep], of[~keep], (np.arange(len(sym)) - np.repeat(first, each))[~keep]))
+                left[of[first[~going]]] = each[~going]
             at = (best & 0xFFFFFFFF)[going]
-            _, made = self.look_up(sym[at], sym[at + 1])
-            sym[at], end[at] = made, end[at + 1]
-            keep = np.repeat(going, each)
+            sym[at], end[at] = self.made[self.look_up(sym[at], sym[at + 1])], end[at + 1]
             keep[at + 1] = False
-            place = np.cumsum(keep) - 1
-            fresh = place[at]
-            sym, of, start, end, rank = sym[keep], of[keep], start[keep], end[keep], rank[keep]
-            if len(sym):
-                again = np.union1d(fresh, fresh[(fresh > 0) & (of[fresh - 1] == of[fresh])] - 1)
-                rank[again] = candidates(again)
-        if not kept_of:
-            return np.zeros(0, np.int64), np.zeros(1, np.int64)
-        of, start, sym = np.concatenate(kept_of), np.concatenate(kept_start), np.concatenate(kept_sym)
-        order = np.lexsort((start, of))
-        return sym[order], np.searchsorted(of[order], np.arange(len(words) + 1))
+            fresh = (np.cumsum(keep) - 1)[at]
+            sym, of, end, rank = sym[keep], of[keep], end[keep], rank[keep]
+            rank[fresh] = NONE
+            again = np.concatenate([fresh[fresh > 0] - 1, fresh[fresh + 1 < len(sym)]])  # one merge a word, so none is named twice
+            again = again[of[again] == of[again + 1]]
+            rank[again] = candidates(again)
+        bounds = np.concatenate([[0], np.cumsum(left)])
+        out = np.zeros(bounds[-1], np.int32)
+        for part, word, place in done:
+            out[bounds[word] + place] = part
+        return out, bounds
 
 
 def word_keys(docs: np.ndarray, position: np.ndarray) -> np.ndarray:
@@ -218,34 +247,38 @@ class Segmenter:
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         every = word_keys(np.repeat(docs, sizes), place)
         words = [w for part in split for w in part]
-        made: list[bytes] = []
+        made, ends, total = [], [np.zeros(1, np.int64)], 0
         for lo in range(0, len(words), self.step):
-            made += self._occurrences(words[lo : lo + self.step], every[lo : lo + self.step])
-        cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-        return [b"".join(made[a:b]) for a, b in zip(cuts, cuts[1:])]
+            ids, bounds = self._flat(words[lo : lo + self.step], every[lo : lo + self.step])
+            made.append(ids)
+            ends.append(bounds[1:] + total)
+            total += len(ids)
+        raw = b"".join(x.tobytes() for x in made)
+        cuts = (4 * np.concatenate(ends)[np.concatenate([[0], np.cumsum(sizes)])]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _occurrences(self, words: list[str], keys: np.ndarray) -> list[bytes]:
-        """Ids of each occurrence of a word, drawn by its own key; without draws equal words are merged once."""
-        if self.rate > 0:
-            return self._segment(words, keys)
-        own = list(dict.fromkeys(words))
-        made = dict(zip(own, self._segment(own, np.zeros(len(own), np.uint64))))
-        return [made[w] for w in words]
-
-    def _segment(self, words: list[str], keys: np.ndarray) -> list[bytes]:
-        """Each word by its key, none of them kept."""
-        out = [b""] * len(words)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
-        if short:
-            sym, bounds = self.merges.in_step([words[i] for i in short], keys[short], self.rate)
-            raw, odd = sym.astype("<i4").tobytes(), np.concatenate([[0], np.cumsum(sym >= self.merges.size)])[bounds]
-            cuts = bounds.tolist()
-            for i, a, b, apart in zip(short, cuts, cuts[1:], (odd[1:] > odd[:-1]).tolist()):
-                out[i] = self.merges.to_ids(sym[a:b]).tobytes() if apart else raw[4 * a : 4 * b]
-        for i, w in enumerate(words):
-            if len(w) > LONG:
-                out[i] = self.merges.to_ids(self.merges.agenda(w, int(keys[i]), self.rate)).tobytes()
-        return out
+        """Ids of each occurrence of a word, drawn by its own key."""
+        ids, bounds = self._flat(words, keys)
+        cuts = bounds.tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def _flat(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, each by its key, and the bounds of each word's."""
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        if not long:
+            return self.merges.ids_of(*self.merges.in_step(words, keys, self.rate))
+        made, sizes, last = [], [], 0
+        for i in [*long, len(words)]:
+            ids, bounds = self.merges.ids_of(*self.merges.in_step(words[last:i], keys[last:i], self.rate))
+            made.append(ids)
+            sizes.append(np.diff(bounds))
+            if i < len(words):
+                ids = self.merges.to_ids(self.merges.agenda(words[i], int(keys[i]), self.rate))
+                made.append(ids)
+                sizes.append(np.array([len(ids)]))
+            last = i + 1
+        return np.concatenate(made), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
     def decode(self, raw: bytes) -> str:
         text = b"".join(map(self.merges.plain.__getitem__, np.frombuffer(raw, "<i4").tolist())).decode()
