@@ -36,6 +36,7 @@ CHUNK_BYTES = 8 << 20  # texts counted together, in a worker
 LEAST_BITS, MOST_BITS = 1 << 15, 1 << 28
 SPREAD = 16  # bits for each entry, up to MOST_BITS
 SLACK, GROWTH, LAST_RANK = 1.5, 4, 100_000  # ranks of the thresholds; beyond the last everything is expanded
+SHARES = 16  # of a language's phrases when they are ranked
 SCALE = 1_000_000
 UNKNOWN = "und"
 #: A-Z in lower case, tabs as spaces, and all that ends a piece as line ends.
@@ -185,8 +186,11 @@ def _score(a: str, left: str, right: str):
 
 
 def _ranked(phrases: DataFrame, most: int) -> DataFrame:
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return phrases.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= most)
+    """The best of each language with their ranks; first the best of each share of its phrases, so that no task ranks them all."""
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SHARES))).orderBy(*order)
+    some = phrases.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= most)
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= most)
 
 
 def collocations(docs: DataFrame, top: int = 2000, least: int = 10, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -219,7 +223,7 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, lang_col: st
             least_score = store(seen.select("lang", F.when(F.col("seen") < rank, 0).otherwise(F.col("low")).alias("threshold")))
         else:
             least_score = store(open_langs.select("lang", F.lit(0).cast("long").alias("threshold")))
-        survivors = store(_survivors(texts.join(open_langs, "lang", "left_semi"), own, least_score, often, least))
+        survivors = store(_survivors(texts, own, least_score, often, least))
         enough = survivors.groupBy("lang").agg(F.count("*").alias("found"))
         settled = least_score.join(enough, "lang", "left").where((F.col("threshold") == 0) | (F.col("found") >= top)).select("lang")
         settled = store(settled)
@@ -233,7 +237,10 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, lang_col: st
 
 
 def _survivors(texts: DataFrame, pairs: DataFrame, thresholds: DataFrame, often: Bits, least: int) -> DataFrame:
-    """``lang, phrase, a, l, r, score`` of every phrase that scores its language's threshold or more and is not dropped."""
+    """``lang, phrase, a, l, r, score`` of every phrase that scores its language's threshold or more and is not dropped.
+
+    Hashes are of a language's own words, so texts of settled languages find nothing in the bitmaps.
+    """
     pairs = pairs.join(thresholds, "lang")
     frontier = bits(pairs.where("bound >= threshold"), ["w1", "w2"])
     reaching = pairs.where("score >= threshold")
