@@ -16,10 +16,13 @@ from caseloom.session import store
 
 EPS = 1e-8
 
-# A query is first answered from its rarest terms, as many as have so many postings in
-# total.  What that does not settle goes on with GROWTH times as many.
-FIRST_BUDGET = 5_000
-GROWTH = 50
+# A query first reads its most telling blocks of postings, as many as have so many postings
+# in total.  What that does not settle goes on with GROWTH times as many.
+FIRST_BUDGET = 1_000
+GROWTH = 20
+# A term of more documents than WHOLE has a block for each STEPS-th part of a halving of the weight.
+WHOLE = 32
+STEPS = 4
 
 
 @lru_cache(maxsize=8)
@@ -130,10 +133,11 @@ class CaseIndex:
     replies: DataFrame  # doc_id, reply_order, brand_reply: all replies
     vocab: DataFrame  # term, frequency, df, idf
     members: DataFrame  # doc_id, vec_id
-    postings: DataFrame  # vec_id, term, weight, df: one entry per distinct vector
+    postings: DataFrame  # vec_id, term, weight, df, level: one entry per distinct vector
+    blocks: DataFrame  # term, level, top, n: the largest weight and the length of each block of postings
     stop_words: tuple = ()
 
-    TABLES = ("cases", "replies", "vocab", "members", "postings")
+    TABLES = ("cases", "replies", "vocab", "members", "postings", "blocks")
 
 
 def build_index(
@@ -157,8 +161,23 @@ def build_index(
     vecs = keep(vectors(counts, vocab))
     distinct = keep(vecs.groupBy("vec_key").agg(F.min("doc_id").alias("vec_id"), F.any_value("v").alias("v")))
     members = keep(vecs.select("doc_id", "vec_key").join(distinct.select("vec_key", "vec_id"), "vec_key").select("doc_id", "vec_id"))
-    postings = keep(distinct.select("vec_id", F.inline("v")))
-    return CaseIndex(grouped, replies, vocab, members, postings, stop_words)
+    postings = keep(with_levels(distinct.select("vec_id", F.inline("v"))))
+    return CaseIndex(grouped, replies, vocab, members, postings, keep(block_maxima(postings)), stop_words)
+
+
+def with_levels(postings: DataFrame) -> DataFrame:
+    """Postings with the ``level`` that places them in a block of their term.
+
+    Level 1 has the largest weights of a term, so blocks are in the order of impact; which
+    one a posting is in follows from its weight alone, so none of them is ever sorted.
+    """
+    level = F.least(F.lit(64), 1 + F.floor(-F.log2("weight") * STEPS)).cast("int")
+    return postings.withColumn("level", F.when(F.col("df") <= WHOLE, 0).otherwise(level))
+
+
+def block_maxima(postings: DataFrame) -> DataFrame:
+    """What a block can add to a score at most, and what it costs to read."""
+    return postings.groupBy("term", "level").agg(F.max("weight").alias("top"), F.count(F.lit(1)).alias("n"))
 
 
 # --- retrieval --------------------------------------------------------------
@@ -183,7 +202,7 @@ def retrieve(
     q_vecs = keep(vectors(counts, index.vocab).withColumnRenamed("doc_id", query_id))
     distinct = q_vecs.groupBy("vec_key").agg(F.min(query_id).alias("q_key"), F.any_value("v").alias("v"))
     q_terms = distinct.select("q_key", F.inline("v")).withColumnRenamed("weight", "q_weight")
-    hits = search(q_terms, index.postings, top_k, budget, keep)
+    hits = search(q_terms, index, top_k, budget, keep)
     answers = distinct.select("vec_key", "q_key").join(_answers(hits, index, top_k, min_similarity), "q_key").drop("q_key")
     keyed = q_vecs.select(query_id, "vec_key").join(answers, "vec_key")
     out = queries.join(keyed.drop("vec_key"), query_id, "left")
@@ -244,26 +263,26 @@ def _answers(hits: DataFrame, index: CaseIndex, top_k: int, min_similarity: floa
 
 def search(
     q_terms: DataFrame,
-    postings: DataFrame,
+    index: CaseIndex,
     top_k: int,
     budget: int = FIRST_BUDGET,
     keep: Callable[[DataFrame], DataFrame] = store,
 ) -> DataFrame:
-    """Exact top ``top_k`` vectors per query: ``(q_key, vec_id, score, rank_score)``.
+    """Exact top ``top_k`` vectors per query ``(q_key, term, q_weight)``: ``(q_key, vec_id, score, rank_score)``.
 
-    Queries ``(q_key, term, q_weight, df)`` are answered from their rare terms first.  All
-    vectors have length 1, so a bound on what the other terms can add tells which queries
-    are settled; the others go on with a larger budget, until none is open.  A budget that
-    takes in all terms of a query always settles it.
+    A query reads whole blocks, those of largest impact first.  What the blocks that it skips
+    can add at most tells which queries are settled; the others go on with a larger budget,
+    until none is open.  A budget that takes in all blocks of a query always settles it.
     """
-    open_terms, done = keep(q_terms), []
+    open_terms, done = q_terms, []
     while True:
-        found = keep(_search_rare(open_terms, postings, top_k, budget))
+        plan = keep(_reading_plan(open_terms, index.blocks, budget))
+        found = keep(_search_blocks(plan, index.postings, top_k))
         done.append(found.where("settled").select("q_key", F.inline("top")))
         unsettled = found.where("NOT settled").select("q_key")
         if unsettled.isEmpty():
             break
-        open_terms = keep(open_terms.join(unsettled, "q_key", "left_semi"))
+        open_terms = plan.select("q_key", F.inline("terms")).select("q_key", "term", "q_weight").join(unsettled, "q_key", "left_semi")
         budget *= GROWTH
     out = done[0]
     for d in done[1:]:
@@ -277,46 +296,68 @@ def _top(scores: DataFrame, top_k: int) -> DataFrame:
     return skew.top_n_per_group(ranked, ["q_key"], [F.desc("rank_score"), F.col("vec_id")], top_k)
 
 
-def _search_rare(open_terms: DataFrame, postings: DataFrame, top_k: int, budget: int) -> DataFrame:
-    """Best vectors per query among those sharing one of its rare terms, and whether they are ``settled``.
+def _reading_plan(q_terms: DataFrame, blocks: DataFrame, budget: int) -> DataFrame:
+    """One row per query: ``q_key``, its ``terms``, and the bounds ``sums`` and ``length`` of what is skipped.
 
-    A query's terms are taken from the rarest on, while the documents having them are at
-    most ``budget`` in total; the rarest is always taken.  A vector with none of these terms
-    scores at most the length of the query without them, ``rest``.  The result is final when
-    its last score is above that.  Every query has a row, if only an empty one.
+    A term has the ``levels`` to read and ``more``, the most that its other blocks can add.
+    Blocks are read from the largest impact on, while they have at most ``budget`` postings in
+    total; the first is always read.  A vector without any posting read scores at most
+    ``sums``, and as vectors have length 1, at most ``length``.
     """
-    by_df = Window.partitionBy("q_key").orderBy("df", "term")
-    whole = Window.partitionBy("q_key")
-    before = F.coalesce(F.sum("df").over(by_df.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    split = open_terms.withColumn("rare", (before == 0) | (before + F.col("df") <= budget))
-    rest = F.sqrt(F.sum(F.when(F.col("rare"), 0.0).otherwise(F.col("q_weight") * F.col("q_weight"))).over(whole))
-    split = split.withColumn("rest", rest)
+    impact = F.col("q_weight") * F.col("top")
+    order = Window.partitionBy("q_key").orderBy(F.desc("impact"), "term", "level")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = q_terms.select("q_key", "term", "q_weight").join(blocks, "term").withColumn("impact", impact)
+    chosen = chosen.withColumn("read", (before == 0) | (before + F.col("n") <= budget))
+    terms = chosen.groupBy("q_key", "term").agg(
+        F.max("q_weight").alias("q_weight"),
+        F.coalesce(F.max(F.when(~F.col("read"), F.col("impact"))), F.lit(0.0)).alias("more"),
+        F.collect_list(F.when(F.col("read"), F.col("level"))).alias("levels"),
+    )
+    skipped = F.when(F.col("more") > 0, F.col("q_weight") * F.col("q_weight")).otherwise(0.0)
+    return terms.groupBy("q_key").agg(
+        F.collect_list(F.struct("term", "q_weight", "more", "levels")).alias("terms"),
+        F.sum("more").alias("sums"),
+        F.sqrt(F.sum(skipped)).alias("length"),
+    )
+
+
+def _search_blocks(plan: DataFrame, postings: DataFrame, top_k: int) -> DataFrame:
+    """Best vectors per query among those in a block it reads, and whether they are ``settled``.
 
-    rare = split.where("rare")
-    partial = rare.drop("df").join(postings, "term").groupBy("q_key", "vec_id").agg(
+    Of a vector that was met, only terms it was not met by can add more, each at most its
+    ``more`` and all together at most what its own length leaves.  Vectors that can still
+    reach the ``top_k``-th get their other postings; the result is final when its last score
+    is above all that an unmet vector can have.  Every query has a row, if only an empty one.
+    """
+    terms = plan.select("q_key", "sums", "length", F.inline("terms"))
+    reads = terms.select("q_key", "sums", "length", "term", "q_weight", "more", F.explode("levels").alias("level"))
+    met = reads.join(postings.drop("df"), ["term", "level"]).groupBy("q_key", "vec_id").agg(
         F.sum(F.col("q_weight") * F.col("weight")).alias("part"),
         F.sum(F.col("weight") * F.col("weight")).alias("seen"),
-        F.max("rest").alias("rest"),
+        F.sum("more").alias("met_more"),
+        F.max("sums").alias("sums"),
+        F.max("length").alias("length"),
     )
-    nth = F.row_number().over(Window.partitionBy("q_key").orderBy(F.desc("part"), "vec_id"))
+    whole = Window.partitionBy("q_key")
+    nth = F.row_number().over(whole.orderBy(F.desc("part"), "vec_id"))
     kth = F.coalesce(F.max(F.when(F.col("nth") == top_k, F.col("part"))).over(whole), F.lit(0.0))
-    best = F.col("part") + F.col("rest") * F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("seen")))
-    able = partial.withColumn("nth", nth).withColumn("kth", kth).where(best >= F.col("kth") - EPS)
-
-    # Complete the scores of those that can still win with the query's other terms.
-    pairs = able.where("rest > 0").select("q_key", "vec_id")
-    others = split.where(~F.col("rare")).select("q_key", "term", "q_weight")
-    extra = pairs.join(others, "q_key").join(postings, ["vec_id", "term"]).select(
-        "q_key", "vec_id", (F.col("q_weight") * F.col("weight")).alias("part")
-    )
+    by_length = F.col("length") * F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("seen")))
+    best = F.col("part") + F.greatest(F.lit(0.0), F.least(F.col("sums") - F.col("met_more"), by_length))
+    able = met.withColumn("nth", nth).withColumn("kth", kth).where(best >= F.col("kth") - EPS)
+
+    pairs = able.where("sums > 0").select("q_key", "vec_id")
+    others = terms.where("more > 0").select("q_key", "term", "q_weight", "levels")
+    extra = pairs.join(others, "q_key").join(postings, ["vec_id", "term"])
+    extra = extra.where(~F.array_contains("levels", F.col("level"))).select("q_key", "vec_id", (F.col("q_weight") * F.col("weight")).alias("part"))
     scores = able.select("q_key", "vec_id", "part").unionByName(extra).groupBy("q_key", "vec_id").agg(F.sum("part").alias("score"))
     top = _top(scores, top_k).groupBy("q_key").agg(
         F.collect_list(F.struct("vec_id", "score", "rank_score")).alias("top"),
         F.min("rank_score").alias("last"),
         F.count(F.lit(1)).alias("n"),
     )
-    every = split.groupBy("q_key").agg(F.max("rest").alias("rest")).join(top, "q_key", "left")
-    full = (F.col("n") == top_k) & (F.col("last") > F.col("rest") + EPS)
-    settled = (F.col("rest") == 0) | F.coalesce(full, F.lit(False))
+    every = plan.select("q_key", F.least("sums", "length").alias("unmet")).join(top, "q_key", "left")
+    full = (F.col("n") == top_k) & (F.col("last") > F.col("unmet") + EPS)
+    settled = (F.col("unmet") == 0) | F.coalesce(full, F.lit(False))
     none = F.array().cast(top.schema["top"].dataType)
     return every.select("q_key", settled.alias("settled"), F.coalesce("top", none).alias("top"))

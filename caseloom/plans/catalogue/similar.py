@@ -86,7 +86,7 @@ CORPUS = DOCS | B.tfidf_ctes("c", "docs")
     ),
 )
 def postings(spark, sf):
-    return _index(spark, sf).postings.drop("df").withColumn("weight", F.round("weight", 6))
+    return _index(spark, sf).postings.drop("df", "level").withColumn("weight", F.round("weight", 6))
 
 
 @query(
@@ -169,7 +169,7 @@ def top_cases(spark, sf):
     ),
 )
 def rare_term_search(spark, sf):
-    """The same result from so small a first budget that most queries need several rounds."""
+    """The same result from so small a first budget that most queries need several rounds of blocks."""
     r = _retrieved(spark, sf, budget=60)
     r = r.select("message_id", F.posexplode("retrieval.top_cases").alias("p", "c"))
     return r.select("message_id", (F.col("p") + 1).cast("long").alias("place"), "c.case_id", "c.similarity_score")

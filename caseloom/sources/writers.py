@@ -64,7 +64,8 @@ def load_index(spark: SparkSession, path: str) -> similarity.CaseIndex | None:
         "replies": ["doc_id", "reply_order", "brand_reply"],
         "vocab": ["term", "idf"],
         "members": ["doc_id", "vec_id"],
-        "postings": ["vec_id", "term", "weight", "df"],
+        "postings": ["vec_id", "term", "weight", "df", "level"],
+        "blocks": ["term", "level", "top", "n"],
     }
     tables = {name: read_table(spark, f"{path}/{name}", columns) for name, columns in wanted.items()}
     words = read_table(spark, f"{path}/stop_words", ["word"])
