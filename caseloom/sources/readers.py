@@ -5,14 +5,50 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseloom import schemas
 from caseloom.functions.jsonparse import is_object
 
-FILE_BYTES = 1 << 30
+CSV = {"quote": '"', "escape": '"', "multiLine": "true"}
+
+
+def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, block, number, record``: the records of CSV files as texts, line ends in quotes included.
+
+    Files are read in byte ranges (blocks), however large they are.  A line begins a record if
+    the quotes before it are even in number: those of the blocks before, counted first, and
+    those of the lines before it in its own block.  A record that goes on over the end of a
+    block is put together from the last lines of one and the first lines of the next.
+    ``block, number`` are where a record begins.  Quotes within a field have to be doubled and
+    the field quoted, as all writers of CSV do.
+    """
+    at = F.col("_metadata")
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        at["file_path"].alias("file"), at["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("line"), "value"
+    )
+    lines = lines.withColumn("quotes", F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit(""))))
+    blocks = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("earlier"))
+
+    block = Window.partitionBy("file", "block")
+    so_far = block.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    placed = lines.join(blocks, ["file", "block"]).withColumn("open", (F.col("earlier") + F.coalesce(F.sum("quotes").over(so_far), F.lit(0))) % 2)
+    up_to = block.orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("number", F.sum(1 - F.col("open")).over(up_to)).withColumn("last", F.sum(1 - F.col("open")).over(block))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: x["value"])
+    parts = placed.groupBy("file", "block", "number", "last").agg(F.array_join(texts, "\n").alias("record"))
+
+    whole = parts.where("number > 0 AND number < last").select("file", "block", "number", "record")
+    order = Window.partitionBy("file").orderBy("block", "number").rowsBetween(Window.unboundedPreceding, 0)
+    edges = parts.where("number = 0 OR number = last").withColumn("chain", F.sum(F.when(F.col("number") > 0, 1).otherwise(0)).over(order))
+    piece = F.array_sort(F.collect_list(F.struct("block", "number", "record")))
+    joined = edges.groupBy("file", "chain").agg(piece.alias("p"))
+    joined = joined.select("file", F.col("p")[0]["block"].alias("block"), F.col("p")[0]["number"].alias("number"), F.array_join(F.col("p.record"), "\n").alias("record"))
+    return whole.unionByName(joined)
 
 
 def read_csv(
@@ -21,26 +57,16 @@ def read_csv(
     schema: T.StructType = schemas.TWEETS,
     encoding: str = "UTF-8",
     keep_empty: bool = False,
-    most_bytes: int = FILE_BYTES,
 ) -> DataFrame:
-    """CSV with a header and quoted texts over several lines.
+    """CSV with a header and quoted texts over several lines; a file of any size is read by many tasks.
 
-    ``keep_empty`` leaves no NULL in string columns.  A text over several lines keeps a file
-    in one task, so files over ``most_bytes`` are refused: split them first, as
-    :func:`caseloom.sources.writers.write_csv` does by writing many.
+    ``keep_empty`` leaves no NULL in string columns.  ``encoding`` is one in which quotes, commas
+    and line ends are the bytes of ASCII.
     """
-    names = spark.read.format("binaryFile").load(path).where(F.col("length") > most_bytes).select("path", "length")
-    if large := names.first():
-        raise ValueError(f"{large['path']} has {large['length']} bytes in one file; split it into files of at most {most_bytes}")
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .csv(path)
-    )
+    records = csv_records(spark, path).where("block > 0 OR number > 1")  # a file's first record is its header
+    text = F.col("record") if encoding == "UTF-8" else F.decode(F.col("record").cast("binary"), encoding)
+    parsed = records.select(F.regexp_replace(text, "\r\\z", "").alias("text")).where("text <> ''").select(F.from_csv("text", schema.toDDL(), CSV).alias("r"))
+    df = parsed.select("r.*")
     if keep_empty:
         return df.na.fill("", subset=[f.name for f in schema.fields if isinstance(f.dataType, T.StringType)])
     return df

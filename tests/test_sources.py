@@ -41,10 +41,42 @@ def test_spaces_survive_csv(spark, tmp_path):
     assert sorted(map(tuple, readers.read_csv(spark, writers.write_csv(df, str(tmp_path / "s")), df.schema).collect())) == [(1, " \t "), (2, " x ")]
 
 
-def test_large_files_are_refused(spark, tmp_path):
-    (tmp_path / "t.csv").write_text(HEADER + "1,a,True,,text,,\n" * 20)
-    with pytest.raises(ValueError, match="split it"):
-        readers.read_csv(spark, str(tmp_path / "t.csv"), most_bytes=100)
+def _whole(spark, path, schema):
+    """Spark's own reader, one task a file."""
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
+
+
+@pytest.mark.parametrize("size", [500, 1000, 1 << 20])
+def test_ranges_of_any_size_give_the_same_rows(spark, tmp_path, size):
+    """Texts with quotes and line ends, one longer than many ranges, cut everywhere."""
+    texts = ["plain", 'say "hi"', "two\nlines", '"\n"', "", None, "a,b\n,c", "\n\n\n", '""', "x" * 300 + '\n"' + "y\n" * 100, " s ", "caf\u00e9 \u6f22"]
+    rows = [(i, texts[i % len(texts)], texts[(5 * i + 3) % len(texts)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "n long, s string, t string")
+    path = writers.write_csv(df.coalesce(2), str(tmp_path / "s"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes") if spark.conf.get(k, None)}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = readers.read_csv(spark, path, df.schema)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, _whole(spark, path, df.schema).collect()), key=str)
+        assert got.count() == 400
+        blocks = readers.csv_records(spark, path).select("file", "block").distinct().count()
+        assert blocks > (10 if size <= 1000 else 1)
+    finally:
+        for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+
+
+def test_line_ends_of_two_characters(spark, tmp_path):
+    (tmp_path / "w.csv").write_bytes(b'n,s\r\n1,"a\r\nb"\r\n2,c\r\n\r\n3,')
+    got = readers.read_csv(spark, str(tmp_path / "w.csv"), T.StructType().add("n", "long").add("s", "string"))
+    assert sorted(map(tuple, got.collect())) == [(1, "a\r\nb"), (2, "c"), (3, None)]
+
+
+def test_header_only_and_empty_files(spark, tmp_path):
+    (tmp_path / "h.csv").write_text(HEADER)
+    (tmp_path / "e.csv").write_text("")
+    assert readers.read_csv(spark, str(tmp_path)).collect() == []
 
 
 def test_largest_file(spark, tmp_path):
