@@ -26,20 +26,22 @@ from caseloom.session import store
 QUERY_BLOCK = 4096
 LIST_BLOCK = 2048
 QUERY_STEP = 256
-LIMIT = float(1 << 26)  # so that scores of up to 2,048 dimensions fit 64 bits
+LIMIT = float(1 << 63)  # what a 64-bit component holds
+UNDER = -(1 << 63)
+LARGE = 1 << 26  # vectors with such components are scored apart
 
 
 def whole_components(vectors: DataFrame, id_col: str, vector_col: str, scale: float = 64.0) -> DataFrame:
     """``vec_id, dim, x``: components as floor(scale * value), for vectors that take part.
 
-    Vectors that are null or hold a null, non-finite or (after scaling) too large (2^26 after
-    scaling) component, and rows without an id, take no part.
+    Vectors that are null or hold a null or non-finite component, or one of 2^63 or more after
+    scaling, which no 64-bit number holds, and rows without an id, take no part.
     """
     value = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * F.lit(scale)))
     fine = F.forall(F.col(vector_col), lambda x: x.isNotNull() & (F.abs(x.cast("double") * F.lit(scale)) < F.lit(LIMIT)))
     ok = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & F.coalesce(fine, F.lit(False))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col)).where(ok)
-    return rows.select("vec_id", F.size(vector_col).alias("dim"), value.cast("array<int>").alias("x"))
+    return rows.select("vec_id", F.size(vector_col).alias("dim"), value.cast("array<long>").alias("x"))
 
 
 class _Best:
@@ -71,18 +73,30 @@ class _Best:
         self.score, self.vec, self.real = (np.take_along_axis(a, rank, 1) for a in (s, v, r))
 
 
+def _whole(best: _Best, rows: slice, ids: np.ndarray, x: np.ndarray, kind: type) -> None:
+    """Scores all pairs in whole numbers of any size.  Scores over 64 bits are an error; those under are
+    ``UNDER`` here, and an error only if they are among the best of all."""
+    score = best.q[rows].astype(kind) @ x.astype(kind).T
+    for i, own in enumerate(score):
+        others = np.flatnonzero(ids != best.ids[rows.start + i])
+        found = sorted(others.tolist(), key=lambda j: (-own[j], ids[j]))[: best.k]
+        if found:
+            best.add(np.full(len(found), rows.start + i), ids[found], np.array([max(UNDER, int(own[j])) for j in found], np.int64))
+
+
 def _search(best: _Best, ids: np.ndarray, x: np.ndarray) -> None:
     """Reads the sorted lists of one block of vectors for all queries of a block."""
     n, dim = x.shape
-    largest = float(np.abs(best.q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, dim)
-    if largest >= 2**53:  # sums of doubles would not be exact: no bounds, whole-number scores
-        for lo in range(0, len(best.ids), QUERY_STEP):
-            rows = slice(lo, min(lo + QUERY_STEP, len(best.ids)))
-            score = best.q[rows].astype(np.int64) @ x.astype(np.int64).T
-            query, vec = np.nonzero(ids[None, :] != best.ids[rows][:, None])
-            best.add(query + lo, ids[vec], score[query, vec])
+    most = float(np.abs(x).max(initial=0)) * max(1, dim)
+    steps = [slice(lo, min(lo + QUERY_STEP, len(best.ids))) for lo in range(0, len(best.ids), QUERY_STEP)]
+    largest = [most * float(np.abs(best.q[rows]).max(initial=0)) for rows in steps]
+    for rows, top in zip(steps, largest):
+        if top >= 2**53:  # sums of doubles would not be exact
+            _whole(best, rows, ids, x, np.int64 if top < 2**62 else object)
+    steps = [rows for rows, top in zip(steps, largest) if top < 2**53]
+    if not steps:
         return
-    number = np.float32 if largest < 2**24 else np.float64
+    number = np.float32 if max(top for top in largest if top < 2**53) < 2**24 else np.float64
     by = np.argsort(x, axis=0, kind="stable")
     rank = np.empty_like(by)
     np.put_along_axis(rank, by, np.arange(n)[:, None], axis=0)
@@ -95,8 +109,8 @@ def _search(best: _Best, ids: np.ndarray, x: np.ndarray) -> None:
         worst = np.hstack([np.where(top, plain, lists[0]), np.where(low, plain, lists[-1])]).T
         hoped = np.hstack([np.where(top, plain, lists[n - d]), np.where(low, plain, lists[d - 1])]).T
         seen[d] = np.ascontiguousarray(worst), np.ascontiguousarray(hoped)
-    for lo in range(0, len(best.ids), QUERY_STEP):
-        rows = slice(lo, min(lo + QUERY_STEP, len(best.ids)))
+    for rows in steps:
+        lo = rows.start
         q = best.q[rows].astype(number)
         signed = np.hstack([np.maximum(q, 0), np.minimum(q, 0)])
         floor = best.floor(rows)
@@ -156,8 +170,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 best = _Best(np.concatenate(qi), np.concatenate(qx), k)
             if best is not None and ci:
                 ids, x = np.concatenate(ci), np.concatenate(cx)
-                for lo in range(0, len(ids), LIST_BLOCK):
-                    _search(best, ids[lo : lo + LIST_BLOCK], x[lo : lo + LIST_BLOCK])
+                large = np.abs(x).max(axis=1, initial=0) >= LARGE
+                for some in (large, ~large):
+                    own, values = ids[some], x[some]
+                    for lo in range(0, len(own), LIST_BLOCK):
+                        _search(best, own[lo : lo + LIST_BLOCK], values[lo : lo + LIST_BLOCK])
             ci, cx = [], []
 
         def result() -> pa.RecordBatch:
@@ -190,7 +207,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     found = both.select("qblock", "share", "dim", "is_query", "vec_id", "x").mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    score = F.when(F.col("score") > F.lit(UNDER), F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit 64 bits")).cast("long"))
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -36,3 +38,15 @@ def test_repeated_rows_and_ties(spark):
     got = topk.nearest(df, 20, 5).where("query_id = 0").orderBy("rank").collect()
     assert [r.vec_id for r in got] == [1, 2, 3, 3, 4]
     assert topk.nearest(df.limit(0), 20, 5).count() == 0
+
+
+def test_large_components_take_part(spark):
+    """Finite components of any size that 64 bits hold, beside small ones, by whole numbers."""
+    rows = [(20, [1.0, 2.0]), (40, [3e6, -1.0]), (1, [3e6, 1.0]), (2, [2.0**25, 2.0**-8]), (3, [-(2.0**50), 1e9]), (4, [0.5, 0.25]), (5, [float("inf"), 1.0]), (6, [1e300, 1.0]), (60, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows if i not in (5, 6)}
+    want = set()
+    for q in (20, 40, 60):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:3])}
+    assert set(map(tuple, topk.nearest(df, every=20, k=3).collect())) == want
