@@ -202,9 +202,10 @@ def agreement(judge_scores: DataFrame, human_scores: DataFrame, key: str = "case
     )
     by_judge = cells.groupBy("dimension", F.col("judge").alias("score")).agg(F.sum("n").alias("j"))
     by_human = cells.groupBy("dimension", F.col("human").alias("score")).agg(F.sum("n").alias("h"))
-    chance = by_judge.join(by_human, ["dimension", "score"]).groupBy("dimension").agg(F.sum(F.col("j") * F.col("h")).alias("c"))
+    chance = by_judge.join(by_human, ["dimension", "score"]).groupBy("dimension").agg(F.sum(F.col("j").cast("decimal(19,0)") * F.col("h").cast("decimal(19,0)")).alias("c"))
     agree = F.col("same") / F.col("n")
-    expected = F.coalesce("c", F.lit(0)) / (F.col("n") * F.col("n"))
+    n = F.col("n").cast("double")  # the square of a count may pass 64 bits
+    expected = F.coalesce(F.col("c").cast("double"), F.lit(0.0)) / (n * n)
     return observed.join(chance, "dimension", "left").select(
         "dimension",
         "n",

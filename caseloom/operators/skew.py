@@ -70,24 +70,30 @@ def smallest_share(df: DataFrame, group: str, order_hex: Column, ids: list[str],
     """Flag, per group, the exact ``ceil(share * n)`` smallest rows by ``(order_hex, ids)`` as ``picked``.
 
     ``order_hex`` is an evenly spread hex digest, whose first four digits put the rows of
-    each group into 65,536 buckets.  A row's place is its rank in its bucket after all rows
-    of the buckets before, so no task sees a whole group.  ``df`` is read once, to be stored.
+    each group into 65,536 buckets.  How many rows the buckets have tells the one in which a
+    group's share ends: rows of buckets before and after it are flagged where they are read,
+    and only the rows of that bucket are ranked.  ``df`` is read once, to be stored.
     """
     bucket = F.conv(F.substring("_hex", 1, 4), 16, 10).cast("int")
     hashed = store(df.withColumn("_hex", order_hex).withColumn("_bucket", bucket))
     counts = hashed.groupBy(F.col(group).alias("_g"), F.col("_bucket").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy("_g")
-    running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(
+    up_to = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.select(
         "_g",
         "_b",
-        F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
+        F.sum("_n").over(up_to).alias("_up_to"),
+        (F.sum("_n").over(up_to) - F.col("_n")).alias("_before"),
         F.ceil(F.round(F.sum("_n").over(whole) * F.lit(share), 9)).alias("_want"),
     )
-    in_bucket = Window.partitionBy(group, "_bucket").orderBy("_hex", *ids)
-    ranked = hashed.withColumn("_rank", F.row_number().over(in_bucket))
-    placed = ranked.join(before, same([(F.col(group), F.col("_g")), (F.col("_bucket"), F.col("_b"))]))
-    return placed.select(*df.columns, (F.col("_before") + F.col("_rank") <= F.col("_want")).alias("picked"))
+    # the first bucket that reaches the share; a share of nothing ends before the first
+    ends = running.where("_up_to >= _want").groupBy("_g").agg(F.min(F.struct("_b", "_before", "_want")).alias("_e"))
+    ends = ends.select("_g", "_e._b", "_e._before", "_e._want")
+    placed = hashed.join(ends, same([(F.col(group), F.col("_g"))]))
+    clear = placed.where("_bucket <> _b").select(*df.columns, (F.col("_bucket") < F.col("_b")).alias("picked"))
+    in_bucket = Window.partitionBy(group).orderBy("_hex", *ids)
+    edge = placed.where("_bucket = _b").withColumn("_rank", F.row_number().over(in_bucket))
+    return clear.unionByName(edge.select(*df.columns, (F.col("_before") + F.col("_rank") <= F.col("_want")).alias("picked")))
 
 
 def count_copies(df: DataFrame) -> DataFrame:

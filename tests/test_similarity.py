@@ -171,3 +171,25 @@ def test_vocabulary_tie_break_and_idf(spark):
     assert got[0]["idf"] == pytest.approx(np.log(3 / 2) + 1) and got[1]["idf"] == pytest.approx(1)
     norms = S.tfidf(counts, S.vocabulary(counts, S.n_rows(docs))).groupBy("doc_id").agg(F.sum(F.col("weight") ** 2).alias("n"))
     assert [r["n"] for r in norms.collect()] == pytest.approx([1, 1])
+
+
+def test_blocks_are_skipped(spark):
+    """Of a term that all documents have, only the blocks of large weights are read, and the answers are those of reading all."""
+    cases = spark.range(4000).selectExpr(
+        "id AS customer_tweet_id", "id AS brand_tweet_id",
+        "concat('common ', repeat(concat('w', id % 50, ' '), cast(id % 40 as int)), 'u', id) AS customer_message",
+        "'r' AS brand_reply", "'x' AS intent", "'1' AS conversation_id", "'CASE' AS case_id",
+    )
+    index = S.build_index(cases, (), 5000, keep=store)
+    q = store(spark.createDataFrame([(1, "common", 1.0)], "q_key long, term string, q_weight double"))
+    whole = index.blocks.where("term = 'common'")
+    assert whole.count() > 5 and whole.agg(F.sum("n")).first()[0] == 4000
+    plan = store(S._reading_plan(q, index.blocks, 300))
+    read = plan.select(F.inline("terms")).select("term", F.explode("levels").alias("level")).join(index.blocks, ["term", "level"])
+    assert read.agg(F.sum("n")).first()[0] <= 300 and plan.first()["sums"] > 0
+    found = S._search_blocks(plan, index.postings, 3).first()
+    assert found["settled"]
+    every = S.search(q, index, 3, 10**9).orderBy(F.desc("rank_score"), "vec_id").collect()
+    assert [t["vec_id"] for t in found["top"]] == [r["vec_id"] for r in every]
+    maxima = index.postings.groupBy("term", "level").agg(F.max("weight").alias("w")).join(index.blocks, ["term", "level"])
+    assert maxima.where("w <> top").isEmpty()
