@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import config
 from caseloom.functions import text as X
 from caseloom.operators import skew
 
+PIECE = 1 << 16
+DIGEST = ["_h0", "_h1"]
+
 
 def label_messages(
     df: DataFrame,
@@ -26,19 +29,49 @@ def label_messages(
     return low.withColumn("intent", X.first_label_of(F.col("_low"), rules, default, null_label)).drop("_low")
 
 
-def rules_from_table(rules: DataFrame) -> DataFrame:
-    """One row with the ordered ``rules`` of ``(priority, label, keyword)`` rows as an array."""
-    rule = F.struct("priority", "keyword", "label")
-    return rules.where(F.col("keyword").isNotNull()).agg(F.array_sort(F.collect_list(rule)).alias("rules"))
+def rule_matches(df: DataFrame, rules: DataFrame, column: str) -> DataFrame:
+    """Rules ``(priority, label, keyword)`` with their keyword inside a message, beside the 128-bit digest of the message.
+
+    A keyword of n characters is inside a text if it is one of the text's substrings of n
+    characters, so the substrings of the lengths that keywords have are joined with the
+    keywords by equality.  The work grows with the texts and the number of different lengths,
+    not with the number of rules.  A hot keyword is a hot join key, which adaptive execution
+    splits, and a long text is cut into pieces that overlap.  A NULL text or keyword matches
+    nothing, an empty keyword matches every text; a text that is there twice may match twice.
+    """
+    words = rules.where(F.col("keyword").isNotNull()).select("priority", "keyword", "label")
+    lengths = words.agg(F.collect_set(F.length("keyword"))).scalar()
+    texts = df.select(F.lower(F.col(column)).alias("_low")).withColumns(_digest("_low")).withColumn("_lengths", lengths)
+    pieces = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("_low") / PIECE) - 1, F.lit(0)).cast("int"))
+    cut = texts.withColumn("_n", F.explode("_lengths")).withColumn("_i", F.explode(pieces))
+    cut = cut.withColumn("_piece", F.substring("_low", F.col("_i") * PIECE + 1, F.col("_n") + (PIECE - 1)))
+    # the look-ahead takes nothing, so the search goes on at the next character; never inside of one
+    each = F.concat(F.lit(r"(?s)(?!\p{Cs})(?=(.{"), F.col("_n").cast("string"), F.lit("}))"))
+    found = F.explode(F.array_distinct(F.regexp_extract_all("_piece", each, F.lit(1))))
+    return cut.select(*DIGEST, found.alias("keyword")).join(words, "keyword")
+
+
+def _digest(text: str) -> dict[str, Column]:
+    return {name: F.xxhash64(F.lit(i), F.col(text)) for i, name in enumerate(DIGEST)}
 
 
 def label_by_table(
     df: DataFrame, rules: DataFrame, column: str = "customer_message", default: str = config.DEFAULT_INTENT
 ) -> DataFrame:
-    """Add ``intent`` by rules from a table, however many: that of the first rule with a keyword inside the message."""
-    scratch = df.withColumn("_low", F.lower(F.col(column))).withColumn("_rules", rules_from_table(rules).scalar())
-    first = F.filter("_rules", lambda r: F.coalesce(F.contains(F.col("_low"), r["keyword"]), F.lit(False)))
-    return scratch.withColumn("intent", F.coalesce(F.get(first, F.lit(0))["label"], F.lit(default))).drop("_low", "_rules")
+    """Add ``intent`` by rules from a table, however many: that of the first rule, by priority and keyword, inside the message.
+
+    ``df`` is read twice: for its texts, and to get its labels.
+    """
+    first = rule_matches(df, rules, column).groupBy(*DIGEST).agg(F.min(F.struct("priority", "keyword", "label")).alias("_rule"))
+    told = df.withColumn("_low", F.lower(F.col(column))).withColumns(_digest("_low")).join(first, DIGEST, "left")
+    return told.select(*df.columns, F.coalesce("_rule.label", F.lit(default)).alias("intent"))
+
+
+def keyword_hits_by_table(df: DataFrame, rules: DataFrame, column: str = "customer_message") -> DataFrame:
+    """One row per message and different ``(intent, keyword)`` of a table of rules whose keyword is inside the message."""
+    hits = rule_matches(df, rules, column).select(*DIGEST, F.col("label").alias("intent"), "keyword").distinct()
+    keyed = df.withColumn("_low", F.lower(F.col(column))).withColumns(_digest("_low")).drop("_low")
+    return keyed.join(hits, DIGEST).select(*df.columns, "intent", "keyword")
 
 
 def keyword_hits(df: DataFrame, rules, column: str = "customer_message") -> DataFrame:

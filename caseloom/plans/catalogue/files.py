@@ -203,3 +203,36 @@ def rules_from_table(spark, sf):
     given = [(i, label, word) for i, (label, words) in enumerate(B.RULES) for word in words]
     rules = spark.createDataFrame(given, "priority int, label string, keyword string")
     return labels.label_by_table(B.paired(spark, sf), rules).select("case_id", "intent")
+
+
+WORD = "[a-z]{4,}"
+WORDS_SQL = f"""words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD}')) AS keyword FROM documents)"""
+
+
+def _word_rules(spark, sf):
+    """Every word of the documents as a rule that gives itself; longer ones go first."""
+    words = B.table(spark, sf, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("keyword"))
+    return words.distinct().select((-F.length("keyword")).alias("priority"), F.col("keyword").alias("label"), "keyword")
+
+
+@query(
+    "M1_vocabulary_rules",
+    f"""WITH {WORDS_SQL} SELECT conv_id, turn, coalesce(arg_min(keyword, row(-length(keyword), keyword)), 'other') AS intent
+    FROM conversations LEFT JOIN words ON contains(lower(text), keyword) GROUP BY conv_id, turn""",
+)
+def vocabulary_rules(spark, sf):
+    """Messages labelled by as many rules as the documents have words (53,769 on sf0.01)."""
+    messages = B.table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return labels.label_by_table(messages, _word_rules(spark, sf), "text").select("conv_id", "turn", "intent")
+
+
+@query(
+    "J9_vocabulary_hits",
+    f"""WITH {WORDS_SQL} SELECT keyword, count(*) AS messages FROM conversations JOIN words ON contains(lower(text), keyword)
+    GROUP BY keyword""",
+)
+def vocabulary_hits(spark, sf):
+    """How many messages hold each word of the documents, alone or inside another word."""
+    messages = B.table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    hits = labels.keyword_hits_by_table(messages, _word_rules(spark, sf), "text")
+    return hits.groupBy("keyword").agg(F.count(F.lit(1)).alias("messages"))

@@ -154,6 +154,26 @@ def test_twenty_thousand_rules(spark, rows):
     assert dict(by(labels.label_by_table(texts, rules), "n", "intent")) == {1: "l7", 2: "l19999"}
 
 
+def test_rules_inside_characters_pieces_and_copies(rows, monkeypatch):
+    """Against a search one by one: keywords over the cuts of a long text, beside emoji, empty ones, repeated texts."""
+    monkeypatch.setattr(labels, "PIECE", 5)
+    words = ["?ab", "abab", "b\U0001f600a", "\U0001f600", "line\nend", "zz", "ba", "a.c", "longer than a piece"]
+    texts = ["\U0001f600ab", "xababab", "ab\U0001f600ab", "Line\nEND", "", None, "abc", "a.c", "it is LONGER than a piece, ba", "abc"]
+    rules = rows([(i % 3, f"l{i}", w) for i, w in enumerate(words)] + [(9, "none", None)], "priority int, label string, keyword string")
+    df = rows(list(enumerate(texts)), "n int, customer_message string")
+    ordered = sorted((i % 3, w, f"l{i}") for i, w in enumerate(words))
+    inside = {n: [r for r in ordered if t is not None and r[1] in t.lower()] for n, t in enumerate(texts)}
+    got = dict(by(labels.label_by_table(df, rules), "n", "intent"))
+    assert got == {n: (found[0][2] if found else "other") for n, found in inside.items()}
+    hits = labels.keyword_hits_by_table(df, rules)
+    assert sorted((r["n"], r["keyword"]) for r in hits.collect()) == sorted((n, r[1]) for n, found in inside.items() for r in found)
+    with_empty = rules.unionByName(rows([(50, "all", "")], "priority int, label string, keyword string"))
+    got = dict(by(labels.label_by_table(df, with_empty), "n", "intent"))
+    assert got[4] == "all" and got[5] == "other" and got[7] == "l7"
+    none = rules.where("false")
+    assert set(dict(by(labels.label_by_table(df, none), "n", "intent")).values()) == {"other"}
+
+
 def test_distribution_sums_to_hundred(tweets):
     df = profile.distribution(tweets, "author_id")
     assert sum(r["percentage"] for r in df.collect()) == pytest.approx(100)
