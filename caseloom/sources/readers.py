@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -97,13 +98,103 @@ def largest_file(spark: SparkSession, folder: str, pattern: str = "*.csv") -> st
     return row["path"] if row else None
 
 
+def _json_steps(value: Column) -> dict[str, Column]:
+    """What a piece of JSON does: its quotes, and how much deeper it leads if it begins outside of a string or inside."""
+    runs = F.split(F.regexp_replace(value, r"(?s)\\.", ""), '"')
+
+    def deeper(first: int) -> Column:
+        outside = F.array_join(F.filter(runs, lambda _, i: i % 2 == first), "")
+        opened = F.length(F.regexp_replace(outside, r"[^\[{]", ""))
+        return opened - F.length(F.regexp_replace(outside, r"[^\]}]", ""))
+
+    return {"quotes": F.size(runs) - 1, "deep0": deeper(0), "deep1": deeper(1)}
+
+
+def json_elements(spark: SparkSession, path: str | list[str], member: str = "samples") -> DataFrame:
+    """``file, position, item``: the elements of JSON documents that are an array, or an object whose ``member`` is one.
+
+    A document of any size, on one line or many, is read in byte ranges (blocks) and cut at
+    its commas into pieces.  The quotes before a piece tell whether it begins inside a string,
+    the brackets outside of strings how deep it lies; both are summed over blocks first and
+    then over the pieces of a block.  An element ends at a comma as deep as the array itself,
+    and its pieces are put together by its number.  ``item`` is a variant.
+
+    A document gives no row if it is of neither kind, if a bracket or string is left open, or
+    if one of its elements is no JSON.  Other members of an object are not looked into.
+    """
+    at = F.col("_metadata")
+    pieces = spark.read.option("lineSep", ",").text(path).select(
+        at["file_path"].alias("file"), at["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("line"), "value"
+    )
+    in_block = Window.partitionBy("file", "block").orderBy("line")
+    so_far, up_to = (in_block.rowsBetween(Window.unboundedPreceding, end) for end in (-1, 0))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("file")
+
+    def before(column: str) -> Column:
+        return F.coalesce(F.sum(column).over(earlier), F.lit(0))
+
+    pieces = pieces.withColumns(_json_steps(F.col("value")))
+    pieces = pieces.withColumn("odd", F.coalesce(F.sum("quotes").over(so_far), F.lit(0)) % 2)
+    by_start = [F.sum(F.when(F.col("odd") == begun, F.col("deep0")).otherwise(F.col("deep1"))).alias(f"d{begun}") for begun in (0, 1)]
+    root = F.min_by(F.regexp_extract("value", r"^\s*(\S)", 1), "line").alias("root")
+    blocks = pieces.groupBy("file", "block").agg(F.sum("quotes").alias("q"), *by_start, root)
+    blocks = blocks.withColumn("begun", before("q") % 2)
+    blocks = blocks.withColumn("d", F.when(F.col("begun") == 0, F.col("d0")).otherwise(F.col("d1")))
+    blocks = blocks.select(
+        "file",
+        "block",
+        "begun",
+        before("d").alias("depth"),
+        F.min_by("root", "block").over(whole).alias("root"),
+        (F.sum("d").over(whole) == 0).alias("closed"),
+        (F.sum("q").over(whole) % 2 == 0).alias("ended"),
+    )
+    placed = pieces.join(blocks.where("closed AND ended AND root IN ('[', '{')"), ["file", "block"])
+
+    odd = (F.col("odd") + F.col("begun")) % 2
+    placed = placed.withColumn("deep", F.when(odd == 0, F.col("deep0")).otherwise(F.col("deep1")))
+    placed = placed.withColumn("level", F.col("depth") + F.sum("deep").over(up_to))
+    outside = (odd + F.col("quotes")) % 2 == 0
+    is_object = F.col("root") == "{"
+    placed = placed.select(
+        "file",
+        "block",
+        "line",
+        "value",
+        "root",
+        "level",
+        (outside & (F.col("level") <= F.when(is_object, 2).otherwise(1))).cast("int").alias("ends"),
+        (outside & is_object & (F.col("level") <= 1)).cast("int").alias("ends_member"),
+    )
+    counts = placed.groupBy("file", "block").agg(F.sum("ends").alias("e"), F.sum("ends_member").alias("m"))
+    counts = counts.select("file", "block", before("e").alias("e"), before("m").alias("m"))
+    numbered = placed.join(counts, ["file", "block"])
+    numbered = numbered.withColumn("number", F.col("e") + F.sum("ends").over(up_to) - F.col("ends"))
+    numbered = numbered.withColumn("member", F.col("m") + F.sum("ends_member").over(up_to) - F.col("ends_member"))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("block", "line", "value"))), lambda x: x["value"])
+    level = F.max_by("level", F.struct("block", "line")).alias("level")
+    elements = numbered.groupBy("file", "root", "member", "number").agg(F.array_join(texts, ",").alias("text"), level)
+
+    # the first member of that name that holds an array; a document that is an array has one member
+    opening = F.when(F.col("root") == "[", F.lit(r"^\s*\[")).otherwise(F.lit(rf'^\s*\{{?\s*"{re.escape(member)}"\s*:\s*\['))
+    heads = elements.groupBy("file", "member").agg(F.min(F.struct("number", F.rlike("text", opening).alias("opens"))).alias("h"))
+    heads = heads.where("h.opens").groupBy("file").agg(F.min(F.struct("member", "h.number")).alias("h")).select("file", "h.member", F.col("h.number").alias("head"))
+    held = elements.join(heads, ["file", "member"]).withColumn("position", (F.col("number") - F.col("head")).cast("int"))
+    body = F.when(F.col("position") == 0, F.regexp_replace("text", opening, F.lit(""))).otherwise(F.col("text"))
+    array_level = F.when(F.col("root") == "{", 2).otherwise(1)
+    closing = F.when(F.col("level") == 0, F.when(F.col("root") == "{", F.lit(r"\]\s*\}\s*\z")).otherwise(F.lit(r"\]\s*\z"))).otherwise(F.lit(r"\]\s*\z"))
+    last = F.col("level") < array_level
+    held = held.withColumn("body", F.when(last, F.regexp_replace(body, closing, F.lit(""))).otherwise(body))
+    held = held.where(~(last & (F.col("position") == 0) & F.rlike("body", F.lit(r"^\s*\z"))))  # an empty array
+    items = held.select("file", "position", F.try_parse_json("body").alias("item"))
+    broken = items.where("item IS NULL").select("file").distinct()
+    return items.join(broken, "file", "left_anti")
+
+
 def read_sample_messages(spark: SparkSession, path: str) -> DataFrame:
     """Messages of JSON documents: a list, or an object with ``samples``; items are texts or objects."""
-    docs = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("d"), F.input_file_name().alias("file"))
-    items = F.coalesce(
-        F.try_variant_get("d", "$.samples", "array<variant>"), F.try_variant_get("d", "$", "array<variant>")
-    )
-    rows = docs.select("file", F.posexplode(items).alias("position", "item"))
+    rows = json_elements(spark, path)
     fields = F.when(is_object(F.col("item")), F.col("item"))
     text = F.coalesce(
         F.nullif(F.try_variant_get(fields, "$.message", "string"), F.lit("")),

@@ -101,6 +101,43 @@ def test_sample_messages(spark, tmp_path, doc, want):
     assert [r["message"] for r in got] == want
 
 
+def test_json_elements_of_cut_documents(spark, tmp_path):
+    """Documents with every awkward string, compact and indented, read in ranges of a few bytes."""
+    hard = ['a, "b"', "[", "]}", "\\", '\\"', "line\nend", "", ",", '{"samples": [1]}', "é\U0001f600,"]
+    lists = [
+        hard,
+        [],
+        [[]],
+        [[1, [2, 3]], {"a": [1, 2], "b": "],"}, None, 1.5, True],
+        [{"message": m, "n": [i, {"k": hard}]} for i, m in enumerate(hard)],
+    ]
+    docs = {}
+    for i, items in enumerate(lists):
+        docs[f"list{i}"] = (items, items)
+        docs[f"object{i}"] = ({"about": {"x": [1, 2], "samples": [9]}, "notes": [{"samples": [8, 8]}, "a,b"], "samples": items, "z": [1, {}]}, items)
+        docs[f"first{i}"] = ({"samples": items}, items)
+    docs |= {"none": ({"other": [1, 2]}, []), "single": ({"samples": {"a": [1, 2]}}, []), "text": ("a, b", []), "number": (7, [])}
+    folder = tmp_path / "docs"
+    folder.mkdir()
+    for name, (doc, _) in docs.items():
+        (folder / f"{name}-c.json").write_text(json.dumps(doc, ensure_ascii=False, separators=(",", ":")), "utf-8")
+        (folder / f"{name}-i.json").write_text("\n " + json.dumps(doc, indent=2) + "\n", "utf-8")
+    for name, bad in {"open": "[1, 2", "string": '["a, 2]', "gap": "[1,,2]", "after": "[1, 2] 3", "word": "[1, x]", "two": "[1], [2]"}.items():
+        (folder / f"bad-{name}.json").write_text(bad)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("149", "1000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = readers.json_elements(spark, str(folder)).select("file", "position", F.to_json("item").alias("item")).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        got = {}
+        for r in sorted(rows, key=lambda r: (r["file"], r["position"])):
+            got.setdefault(r["file"].rsplit("/", 1)[1][:-5], []).append((r["position"], json.loads(r["item"])))
+        want = {f"{name}-{form}": list(enumerate(items)) for name, (_, items) in docs.items() for form in "ci" if items}
+        assert got == want
+
+
 def test_fields(spark, tmp_path):
     f = tmp_path / "s.txt"
     f.write_text("Selected brand: acme\nReason: a: b\n")
