@@ -120,7 +120,7 @@ def call_provider(df: DataFrame, prompt: str, provider: ReplyBatch, out: str = "
 
     def run(batches):
         for batch in batches:
-            raw, errors = _answer(provider, batch.column(prompt).to_pylist())
+            raw, errors = answer(provider, batch.column(prompt).to_pylist())
             columns = [*batch.columns, pa.array(raw, pa.string()), pa.array(errors, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_raw", "_error"])
 
@@ -128,7 +128,7 @@ def call_provider(df: DataFrame, prompt: str, provider: ReplyBatch, out: str = "
     return mapped.withColumn(out, F.struct(F.col("_raw").alias("raw"), F.col("_error").alias("error"))).drop("_raw", "_error")
 
 
-def _answer(provider: ReplyBatch, prompts: list[str | None]) -> tuple[list, list]:
+def answer(provider: ReplyBatch, prompts: list[str | None]) -> tuple[list, list]:
     """Raw replies and errors, one each per prompt; a prompt is sent once at most and null ones never."""
     at = [i for i, p in enumerate(prompts) if p is not None]
     raw, errors = [None] * len(prompts), [None] * len(prompts)

@@ -1,13 +1,16 @@
 """Validation, escalation, grounding, replies and whole-batch triage."""
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from caseloom import config
-from caseloom.operators import escalation, grounding, replies, similarity
+from caseloom.operators import escalation, grounding, ledger, replies, similarity
 from caseloom.plans import triage as T
 from caseloom.plans.catalogue import bindings as B
 from caseloom.plans.catalogue import query
 from caseloom.plans.catalogue.similar import QUERIES, looked_up
+from caseloom.session import shared_folder, store
 
 q = B.quote
 CFG = config.DEFAULT
@@ -348,3 +351,43 @@ def flat(done):
         F.array_join("evidence.case_id", "; ").alias("evidence"),
         "generation_status",
     )
+
+
+def first_answers(prompts):
+    return [RuntimeError("no answer") if "hacked" in p else "first: " + p for p in prompts]
+
+
+def second_answers(prompts):
+    return ["second: " + p for p in prompts]
+
+
+@query(
+    "G3_asked_once",
+    B.with_views(
+        "inbox",
+        """SELECT message_id, CASE WHEN contains(message, 'hacked') THEN 'second: ' ELSE 'first: ' END || message AS answer
+        FROM inbox""",
+    ),
+)
+def asked_once(spark, sf):
+    """A second run with the same ledger asks only for what failed in the first."""
+    rows, place = B.inbox(spark, sf), f"{shared_folder(spark)}/caseloom/ledger-{uuid4().hex}"
+    ledger.ask_once(rows, "message", first_answers, place)
+    again = ledger.ask_once(rows, "message", second_answers, place)
+    return again.select("message_id", F.col("generated.raw").alias("answer"))
+
+
+@query(
+    "G1_evidence_replies",
+    B.with_views(
+        "corpus asked",
+        """SELECT message_id, 'CASE_' || CAST(top.doc_id AS VARCHAR) AS case_id, c.brand_tweet_id AS reply_order, c.brand_reply AS brand_reply
+        FROM top JOIN corpus c ON c.customer_tweet_id = top.doc_id""",
+        QUERIES,
+    ),
+)
+def evidence_replies(spark, sf):
+    """Every reply that the found cases got."""
+    index, asked = looked_up(spark, sf)
+    found = store(similarity.retrieve(asked, index))
+    return similarity.evidence_replies(found, index)

@@ -149,6 +149,25 @@ def brand_summary(spark, sf):
     return spark.read.schema(summary.schema).json(writers.write_summary(summary, _path(spark, "summary")))
 
 
+@query(
+    "U1_summarised_brand",
+    B.with_views(
+        "tweets",
+        f""", chosen AS (SELECT author_id AS brand FROM tweets WHERE NOT inbound GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+        SELECT {TWEET_COLS} FROM tweets WHERE author_id = (SELECT brand FROM chosen)
+        OR in_response_to_tweet_id IN (SELECT tweet_id FROM tweets WHERE author_id = (SELECT brand FROM chosen))
+        OR tweet_id IN (SELECT in_response_to_tweet_id FROM tweets WHERE author_id = (SELECT brand FROM chosen)
+                        AND in_response_to_tweet_id IS NOT NULL)""",
+    ),
+)
+def summarised_brand(spark, sf):
+    """The messages of the brand that a written summary names: the summary is all that the step reads of the selection."""
+    rows = B.tweets(spark, sf)
+    chosen = brands.select_brand(brands.replies_per_brand(rows), 1, 1 << 40)
+    path = writers.write_summary(writers.brand_summary(chosen), _path(spark, "summary"))
+    return brands.brand_subset(rows, readers.selected_brand(spark, path))
+
+
 @query(
     "S11_written_twice",
     B.with_views("golden", "SELECT t.copy AS copy, example_id, intent, source_case_id FROM golden, (VALUES (1), (2)) t(copy)"),

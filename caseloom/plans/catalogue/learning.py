@@ -4,15 +4,18 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
+from caseloom import config
 from caseloom.config import TriageConfig
 from caseloom.operators import classify as C
 from caseloom.operators import golden as G
-from caseloom.plans import evaluation
+from caseloom.operators import similarity
+from caseloom.plans import evaluation, triage
 from caseloom.plans.catalogue import bindings as B
 from caseloom.plans.catalogue import query
 from caseloom.plans.catalogue.answering import CHECK, NAMES, RESULT, _classes, triage_sql
 from caseloom.plans.catalogue.similar import _index, searches
 from caseloom.session import shared_folder, store
+from caseloom.sources import writers
 from caseloom.streaming import live
 
 CFG = TriageConfig()
@@ -66,6 +69,56 @@ def batch_predictions(spark, sf):
     )
 
 
+@query(
+    "S12_saved_classifier",
+    B.with_views("splits inbox", "SELECT message_id, TRUE AS as_fitted FROM inbox"),
+)
+def saved_classifier(spark, sf):
+    """For every message, whether the classifier that was saved and loaded again gives the fitted one's classes."""
+    gold = store(G.golden_set(B.pool(spark, sf), B.PER_LABEL, B.SEED))
+    train = G.make_splits(B.pool(spark, sf), gold, seed=B.SEED).where("split = 'train'")
+    path = f"{shared_folder(spark)}/caseloom/classifier-{uuid4().hex}"
+    model = C.fit_classifier(train, CFG, B.STOPS)
+    writers.save_classifier(model, path)
+    loaded = writers.load_or_fit_classifier(spark, path, None)  # fits nothing, as it is there
+    both = C.classify(B.inbox(spark, sf), model).withColumnRenamed("classification", "fitted")
+    both = C.classify(both, loaded)
+    return both.select("message_id", F.col("fitted").eqNullSafe(F.col("classification")).alias("as_fitted"))
+
+
+@query(
+    "G6_model_triage",
+    B.with_views(
+        "corpus asked",
+        f""", {triage_sql('asked')} SELECT message_id, round(top_similarity, 4) AS top_similarity, CAST(n_results AS BIGINT) AS n_results,
+        why = '' AS valid, TRUE AS as_classified, TRUE AS explained FROM grounded""",
+        searches("asked"),
+    ),
+)
+def model_triage(spark, sf):
+    """Whole-batch triage with the fitted classifier: what was found, and whether the intent is the
+    classifier's and low confidence or close classes are among the reasons just where they have to be."""
+    splits = store(B.case_splits(spark, sf))
+    train = splits.where("split = 'train'")
+    model = C.fit_classifier(train, CFG, B.STOPS)
+    index = similarity.build_index(train, B.STOPS, keep=store)
+    asked = B.asked(spark, sf, splits)
+    done = triage.triage(asked, triage.with_model(model), index)
+    told = C.classify(asked, model).select("message_id", F.col("classification").alias("own"))
+    valid = F.col("intent").isNotNull()
+    low = config.REASON_LOW_CONFIDENCE.split("%")[0]
+    unsure = F.col("own.confidence") < CFG.confidence_threshold
+    named = F.coalesce(F.contains("escalation_reason", F.lit(low)), F.lit(False))
+    return done.join(told, "message_id").select(
+        "message_id",
+        F.col("retrieval.top_similarity").alias("top_similarity"),
+        F.col("retrieval.n_results").cast("long").alias("n_results"),
+        valid.alias("valid"),
+        (~valid | (F.col("intent") == F.col("own.intent"))).alias("as_classified"),
+        (~valid | (named == unsure)).alias("explained"),
+    )
+
+
 RANKED = ", ".join(f"ranks[{i + 1}].intent || ' ' || CAST(round(-ranks[{i + 1}].k, 4) AS VARCHAR)" for i in range(len(NAMES)))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from caseloom import config, schemas
 from caseloom.operators import classify as C
-from caseloom.operators import escalation, grounding, judge, replies, similarity
+from caseloom.operators import escalation, grounding, judge, ledger, replies, similarity
 from caseloom.sources.readers import read_sample_messages
 from caseloom.session import store
 from caseloom.sources.writers import write_json
@@ -46,11 +46,13 @@ def triage(
     extra: tuple = (),
     template: str = replies.REPLY_TEMPLATE,
     keep: Callable[[DataFrame], DataFrame] = store,
+    answers: str | None = None,
 ) -> DataFrame:
     """One result row per message, keyed by ``message_id``.
 
     Without a provider the replies are column expressions and no Python runs.  Invalid
     messages have no text to classify or search, and are answered with a fixed reply.
+    ``answers`` names the folder of a ledger, which keeps what a provider was paid for.
     """
     rows = messages.select(
         message_id, *extra, F.col(message).alias("customer_message"), escalation.validate(F.col(message), cfg).alias("check")
@@ -62,7 +64,7 @@ def triage(
         rows = similarity.retrieve(rows, index, cfg.top_k, cfg.min_similarity, message_id, "text", keep=keep)
     text, cls, ret = F.col("text"), F.col("classification"), F.col("retrieval")
     rows = rows.withColumn("first", escalation.decide(text, cls, ret, cfg=cfg))
-    rows = rows.withColumn("drafted", _draft(rows)) if provider is None else _generate(rows, provider, cfg, template, keep)
+    rows = rows.withColumn("drafted", _draft(rows)) if provider is None else _generate(rows, provider, cfg, template, keep, answers)
     checked = grounding.check(F.col("drafted.reply"), F.size("retrieval.top_cases"), F.col("first.decision"), cfg)
     rows = rows.withColumn("grounding", checked)
     failed = F.col("drafted.generation_status") == "failed"
@@ -81,15 +83,21 @@ def _draft(rows: DataFrame):
     )
 
 
-def _generate(rows: DataFrame, provider, cfg, template, keep) -> DataFrame:
+def _generate(rows: DataFrame, provider, cfg, template, keep, answers) -> DataFrame:
     """Drafts by the provider.  All rows take one way, those of invalid messages with no prompt; the
     answers are kept, so that whatever is done with the results asks the provider once."""
     prompt = replies.reply_prompt(F.col("text"), F.col("classification"), F.col("retrieval"), F.col("first"), template)
-    asked = keep(replies.call_provider(rows.withColumn("prompt", F.when(F.col("check.valid"), prompt)), "prompt", provider))
+    asked = _ask(rows.withColumn("prompt", F.when(F.col("check.valid"), prompt)), "prompt", provider, "generated", keep, answers)
     answer = replies.interpret(F.col("generated"), F.col("first"), F.col("retrieval.top_cases"), cfg)
     return asked.withColumn("drafted", answer).drop("prompt", "generated")
 
 
+def _ask(rows: DataFrame, prompt: str, provider, out: str, keep, answers: str | None) -> DataFrame:
+    if answers is None:
+        return keep(replies.call_provider(rows, prompt, provider, out))
+    return ledger.ask_once(rows, prompt, provider, answers, out, keep=keep)
+
+
 def _result(rows: DataFrame, message_id: str, extra: tuple) -> DataFrame:
     ok = F.col("check.valid")
 
@@ -143,18 +151,21 @@ def judge_run(
     n: int | None = None,
     cfg: config.TriageConfig = config.DEFAULT,
     keep: Callable[[DataFrame], DataFrame] = store,
+    answers: str | None = None,
 ) -> DataFrame:
     """Triage validation cases, all or the first ``n``, and judge every reply: case, reply and ``judge_result``.
 
-    The verdicts are kept, so the judge is asked once.
+    The verdicts are kept, so the judge is asked once; with a ledger in the folder ``answers``
+    neither the judge nor the reply provider is asked again by a run that is repeated.
     """
     cases = (validation if n is None else judge.evaluation_slice(validation, n)).select(
         F.concat_ws("/", "customer_tweet_id", "brand_tweet_id").alias("message_id"),
         "case_id",
         F.col("customer_message").alias("message"),
     )
-    done = triage(cases, classifier, index, reply_provider, cfg, extra=("case_id",), keep=keep)
-    asked = keep(replies.call_provider(judge.judge_prompt(done), "judge_prompt", judge_provider, "judged"))
+    kinds = [f"{answers}/{kind}" if answers else None for kind in ("replies", "verdicts")]
+    done = triage(cases, classifier, index, reply_provider, cfg, extra=("case_id",), keep=keep, answers=kinds[0])
+    asked = _ask(judge.judge_prompt(done), "judge_prompt", judge_provider, "judged", keep, kinds[1])
     return asked.select(
         "case_id",
         "customer_message",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,6 +49,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path that tasks open without Spark, of a path as Hadoop or Spark writes it."""
+    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 class Stores:
     """``keep`` writes like :func:`store`; ``remove`` deletes what was written, when nothing reads it any more."""
 
@@ -62,9 +74,7 @@ class Stores:
 
     def remove(self) -> None:
         while self.paths:
-            spark, path = self.paths.pop()
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            remove_folder(*self.paths.pop())
 
 
 def store(df: DataFrame) -> DataFrame:

@@ -222,6 +222,12 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def selected_brand(spark: SparkSession, path: str) -> str | None:
+    """The brand that a summary names, be it a JSON report or ``Selected brand: …`` lines."""
+    row = read_report(spark, path, T.StructType().add("selected_brand", "string")).where("selected_brand IS NOT NULL").first()
+    return row["selected_brand"] if row else read_field(spark, path, "Selected brand")
+
+
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame | None:
     """Parquet table, or None if it is missing or lacks one of ``columns``."""
     try:

@@ -146,6 +146,13 @@ def test_fields(spark, tmp_path):
     assert readers.read_field(spark, str(f), "None") is None
 
 
+def test_selected_brand(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("Selected brand: acme\nTweets: 3\n")
+    assert readers.selected_brand(spark, str(tmp_path / "s.txt")) == "acme"
+    rows = spark.createDataFrame([("a: b", 3)], "selected_brand string, tweets int")
+    assert readers.selected_brand(spark, writers.write_summary(rows, str(tmp_path / "j"))) == "a: b"
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "i int, s string")
     back = readers.read_csv(spark, writers.write_csv(df, str(tmp_path / "c")), df.schema)
