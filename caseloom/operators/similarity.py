@@ -56,14 +56,20 @@ def group_cases(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
     All replies are in :func:`replies_of`, so the size of a row does not depend on how often
     a message was answered.
     """
+    return unpacked(first_cases(cases, order))
+
+
+def first_cases(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
+    """``doc_id, first, n_replies``: ``first`` has the order and the fields of a message's first case."""
     key = case_key(cases)
     order = order if order in cases.columns else "case_id"
     fields = [c for c in ("customer_message", "case_id", "conversation_id", "intent", "customer_user", "brand_reply") if c in cases.columns]
-    first = F.min(F.struct(F.col(order).alias("_o"), *fields)).alias("_first")
-    grouped = cases.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("doc_id")).agg(
-        first, F.count(F.lit(1)).alias("n_replies")
-    )
-    return grouped.select("doc_id", *[F.col(f"_first.{f}").alias(f) for f in fields], "n_replies")
+    first = F.min(F.struct(F.col(order).alias("_o"), *fields)).alias("first")
+    return cases.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("doc_id")).agg(first, F.count(F.lit(1)).alias("n_replies"))
+
+
+def unpacked(firsts: DataFrame) -> DataFrame:
+    return firsts.select("doc_id", "first.*", "n_replies").drop("_o")
 
 
 def replies_of(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
@@ -92,6 +98,11 @@ def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=()) -> DataF
 def vocabulary(counts: DataFrame, n_docs: Column, max_features: int = config.DEFAULT.max_features) -> DataFrame:
     """The ``max_features`` most frequent terms with smoothed inverse document frequency."""
     terms = counts.groupBy("term").agg(F.sum("tf").alias("frequency"), F.count(F.lit(1)).alias("df"))
+    return most_frequent(terms, n_docs, max_features)
+
+
+def most_frequent(terms: DataFrame, n_docs: Column, max_features: int = config.DEFAULT.max_features) -> DataFrame:
+    """The same from ``(term, frequency, df)``."""
     top = terms.orderBy(F.desc("frequency"), "term").limit(max_features)
     return top.withColumn("idf", F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0)
 
@@ -158,6 +169,11 @@ def build_index(
     grouped = keep(group_cases(filled, order))
     counts = keep(term_counts(grouped, "doc_id", "customer_message", stop_words))
     vocab = keep(vocabulary(counts, n_rows(grouped), max_features))
+    return lay_out(grouped, replies, counts, vocab, stop_words, keep)
+
+
+def lay_out(grouped: DataFrame, replies: DataFrame, counts: DataFrame, vocab: DataFrame, stop_words: tuple, keep) -> CaseIndex:
+    """The index of cases whose terms are counted: equal vectors once, their postings in blocks."""
     vecs = keep(vectors(counts, vocab))
     distinct = keep(vecs.groupBy("vec_key").agg(F.min("doc_id").alias("vec_id"), F.any_value("v").alias("v")))
     members = keep(vecs.select("doc_id", "vec_key").join(distinct.select("vec_key", "vec_id"), "vec_key").select("doc_id", "vec_id"))

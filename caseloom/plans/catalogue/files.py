@@ -13,8 +13,8 @@ from caseloom.plans.catalogue.answering import RESULT, triage_sql
 from caseloom.plans.catalogue.messages import TWEET_COLS
 from caseloom.plans.catalogue.scoring import SCALARS
 from caseloom.plans.catalogue.similar import QUERIES, looked_up
-from caseloom.session import shared_folder
-from caseloom.sources import readers, writers
+from caseloom.session import shared_folder, store
+from caseloom.sources import readers, segments, writers
 
 
 def _path(spark, name):
@@ -198,6 +198,26 @@ def loaded_index(spark, sf):
     return r.select("message_id", (F.col("p") + 1).cast("long").alias("place"), "c.case_id", "c.similarity_score")
 
 
+@query(
+    "S12_segmented_index",
+    B.with_views(
+        "corpus asked",
+        "SELECT message_id, place, 'CASE_' || CAST(doc_id AS VARCHAR) AS case_id, round(score, 4) AS similarity_score FROM top",
+        QUERIES,
+    ),
+)
+def segmented_index(spark, sf):
+    """What an index finds whose cases came in three appends, two of them merged later."""
+    splits = store(B.case_splits(spark, sf))
+    path, train = _path(spark, "segments"), splits.where("split = 'train'")
+    third = F.pmod(F.xxhash64("brand_tweet_id"), F.lit(3))
+    names = [segments.append(path, train.where(third == i), B.STOPS) for i in range(3)]
+    segments.merge(spark, path, names[:2])
+    r = similarity.retrieve(B.asked(spark, sf, splits), segments.open_index(spark, path))
+    r = r.select("message_id", F.posexplode("retrieval.top_cases").alias("p", "c"))
+    return r.select("message_id", (F.col("p") + 1).cast("long").alias("place"), "c.case_id", "c.similarity_score")
+
+
 ROLES = (("brand", "author_id"), ("reply", "in_response_to_tweet_id"), ("time", "created_at"))
 
 

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 #: The smallest table has no training cases beside the golden ones: all that retrieves is compared on the next one.
 LARGER = dict.fromkeys(
     "M5_corpus_postings M5_corpus_cases J8_rare_term_search W7_top_cases M4_retrieval G1_evidence_block G2_reply_prompt G3_provider_replies "
-    "G6_batch_triage G6_model_triage G1_evidence_replies G7_sample_batch H1_judge_prompt H8_judge_run S12_loaded_index X3_stream_triage".split(),
+    "G6_batch_triage G6_model_triage G1_evidence_replies G7_sample_batch H1_judge_prompt H8_judge_run S12_loaded_index S12_segmented_index X3_stream_triage".split(),
     "sf0.01",
 )
 SLOW = {"M6_classifier_report", "M7_batch_predictions", "S12_saved_classifier", "G6_model_triage"}
