@@ -147,10 +147,28 @@ class CaseIndex:
     postings: DataFrame  # vec_id, term, weight, df, level: one entry per distinct vector
     blocks: DataFrame  # term, level, top, n: the largest weight and the length of each block of postings
     stop_words: tuple = ()
+    pages: int = 0  # of a stored index: cases, members and postings lie in so many pages, by a hash of PAGED
 
+    PAGED = {"cases": "doc_id", "members": "vec_id", "postings": "term"}
     TABLES = ("cases", "replies", "vocab", "members", "postings", "blocks")
 
 
+def page_of(key: str, pages: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(pages)).cast("int")
+
+
+def in_pages(index: CaseIndex, table: str, wanted: DataFrame) -> DataFrame:
+    """A table as far as it can hold a wanted key.
+
+    Of a stored index only the pages of those keys are read, which few messages need few of;
+    the page numbers, at most ``index.pages``, come to the driver.  ``wanted`` should be cheap.
+    """
+    if not index.pages:
+        return getattr(index, table)
+    pages = wanted.select(page_of(index.PAGED[table], index.pages).alias("page")).distinct().collect()
+    return getattr(index, table).where(F.col("page").isin([r["page"] for r in pages])).drop("page")
+
+
 def build_index(
     cases: DataFrame,
     stop_words=None,
@@ -244,11 +262,11 @@ def no_result() -> Column:
 
 def _answers(hits: DataFrame, index: CaseIndex, top_k: int, min_similarity: float) -> DataFrame:
     # Copies of a vector tie, so at most top_k members of it, the smallest ids, can be in a result.
-    found = index.members.join(hits.select("vec_id").distinct(), "vec_id", "left_semi")
+    found = in_pages(index, "members", hits).join(hits.select("vec_id").distinct(), "vec_id", "left_semi")
     few = skew.top_n_per_group(found, ["vec_id"], [F.col("doc_id")], top_k)
     docs = hits.join(few, "vec_id")
     ranked = skew.top_n_per_group(docs, ["q_key"], [F.desc("rank_score"), F.col("doc_id")], top_k, rank="place")
-    named = index.cases.join(ranked.select("doc_id").distinct(), "doc_id", "left_semi")
+    named = in_pages(index, "cases", ranked).join(ranked.select("doc_id").distinct(), "doc_id", "left_semi")
     shown = ranked.join(named, "doc_id")
     case = F.struct(
         "place",
@@ -293,7 +311,8 @@ def search(
     open_terms, done = q_terms, []
     while True:
         plan = keep(_reading_plan(open_terms, index.blocks, budget))
-        found = keep(_search_blocks(plan, index.postings, top_k))
+        postings = in_pages(index, "postings", plan.select(F.explode("terms.term").alias("term")))
+        found = keep(_search_blocks(plan, postings, top_k))
         done.append(found.where("settled").select("q_key", F.inline("top")))
         unsettled = found.where("NOT settled").select("q_key")
         if unsettled.isEmpty():

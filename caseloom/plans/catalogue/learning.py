@@ -207,6 +207,7 @@ def stream_triage(spark, sf):
         (F.col("conv_id") * B.SPAN + F.col("turn")).alias("message_id"), F.col("text").alias("message")
     )
     folder = _folder(spark, "triage")
-    run = live.triage_stream(messages, B.rule_classifier, _index(spark, sf), f"{folder}/out", f"{folder}/state")
+    index = writers.load_index(spark, writers.save_index(_index(spark, sf), f"{folder}/index"))
+    run = live.triage_stream(messages, B.rule_classifier, index, f"{folder}/out", f"{folder}/state")
     run.awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("message_id", "decision", "escalation_reason", "reply")

@@ -46,13 +46,25 @@ def write_twice(df: DataFrame, first: str, second: str) -> tuple[str, str]:
         kept.unpersist()
 
 
-def save_index(index: similarity.CaseIndex, path: str) -> str:
-    """Write the tables of an index; postings are laid out by vector, cases by document."""
-    layout = {"postings": "vec_id", "cases": "doc_id", "members": "doc_id", "replies": "doc_id"}
+PAGES = 64
+TASKS_PER_PAGE = 8
+
+
+def save_index(index: similarity.CaseIndex, path: str, pages: int = PAGES) -> str:
+    """Write the tables of an index.  Those that are looked up lie in ``pages`` folders by the hash of their key.
+
+    A page is written by several tasks, so a hot term's postings are not one task's.
+    """
+    spark = index.cases.sparkSession
     for name in index.TABLES:
         df = getattr(index, name)
-        write_parquet(df.repartition(layout[name]) if name in layout else df, f"{path}/{name}")
-    spark = index.cases.sparkSession
+        if name in index.PAGED:
+            part = F.pmod(F.xxhash64(*[c for c in ("doc_id", "vec_id") if c in df.columns], F.lit(1)), F.lit(TASKS_PER_PAGE))
+            paged = df.withColumn("page", similarity.page_of(index.PAGED[name], pages))
+            write_parquet(paged.repartition("page", part), f"{path}/{name}", ["page"])
+        else:
+            write_parquet(df.repartition("doc_id") if name == "replies" else df, f"{path}/{name}")
+    write_parquet(spark.createDataFrame([(pages,)], "pages int"), f"{path}/layout")
     write_parquet(spark.createDataFrame([(w,) for w in index.stop_words], "word string"), f"{path}/stop_words")
     return path
 
@@ -66,12 +78,20 @@ def load_index(spark: SparkSession, path: str) -> similarity.CaseIndex | None:
         "members": ["doc_id", "vec_id"],
         "postings": ["vec_id", "term", "weight", "df", "level"],
         "blocks": ["term", "level", "top", "n"],
+        "layout": ["pages"],
     }
     tables = {name: read_table(spark, f"{path}/{name}", columns) for name, columns in wanted.items()}
     words = read_table(spark, f"{path}/stop_words", ["word"])
     if words is None or any(t is None for t in tables.values()):
         return None
-    return similarity.CaseIndex(**tables, stop_words=tuple(r["word"] for r in words.orderBy("word").collect()))
+    pages = tables.pop("layout").first()["pages"]
+    tables = {name: _with_pages(t) if name in similarity.CaseIndex.PAGED else t for name, t in tables.items()}
+    return similarity.CaseIndex(**tables, stop_words=tuple(r["word"] for r in words.orderBy("word").collect()), pages=pages)
+
+
+def _with_pages(table: DataFrame) -> DataFrame:
+    """An empty table has no folder of a page, and so no such column."""
+    return table if "page" in table.columns else table.withColumn("page", F.lit(None).cast("int"))
 
 
 def load_or_build_index(spark: SparkSession, path: str, cases: DataFrame, **options) -> similarity.CaseIndex:

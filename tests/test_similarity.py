@@ -193,3 +193,21 @@ def test_blocks_are_skipped(spark):
     assert [t["vec_id"] for t in found["top"]] == [r["vec_id"] for r in every]
     maxima = index.postings.groupBy("term", "level").agg(F.max("weight").alias("w")).join(index.blocks, ["term", "level"])
     assert maxima.where("w <> top").isEmpty()
+
+
+def test_few_messages_read_few_pages(spark, rows, tmp_path):
+    """A stored index finds what the built one does, and opens only the pages of the terms asked for."""
+    words = [f"word{i}" for i in range(60)]
+    data = [(i, i, f"CASE_{i}", str(i), "other", f"{words[i]} {words[(7 * i) % 60]} common", f"reply {i}") for i in range(60)]
+    schema = "customer_tweet_id long, brand_tweet_id long, case_id string, conversation_id string, intent string, customer_message string, brand_reply string"
+    built = S.build_index(rows(data, schema), (), keep=store)
+    loaded = writers.load_index(spark, writers.save_index(built, str(tmp_path / "i"), pages=16))
+    assert loaded.pages == 16
+    asked = rows([(1, "word3"), (2, "none of them")], "message_id long, message string")
+    want = sorted(map(str, S.retrieve(asked, built, keep=store).collect()))
+    assert sorted(map(str, S.retrieve(asked, loaded, keep=store).collect())) == want
+    terms = rows([("word3",)], "term string")
+    some = S.in_pages(loaded, "postings", terms)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "page#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert 0 < some.count() < loaded.postings.count() / 4
