@@ -173,6 +173,19 @@ def test_triage_with_provider(spark, index):
     assert got[4]["generation_status"] == "failed" and got[3]["generation_status"] == "fallback"
 
 
+def test_a_repeated_run_asks_for_nothing_again(spark, index, tmp_path):
+    df = spark.createDataFrame(MESSAGES, "message_id long, message string")
+
+    def first(prompts):
+        return ["We are looking into it."] * len(prompts)
+
+    def second(prompts):
+        raise RuntimeError("asked again")
+
+    got = [sorted(map(str, T.triage(df, always, index, p, answers=str(tmp_path / "l")).collect())) for p in (first, second)]
+    assert got[0] == got[1] and any("We are looking into it." in r for r in got[0])
+
+
 def test_provider_is_asked_once_per_valid_message(spark, index, tmp_path):
     folder = str(tmp_path)
 
