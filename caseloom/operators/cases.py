@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from caseloom.functions import text as X
 from caseloom.operators import skew
+from caseloom.session import store
 
 CASE_KEY = ["customer_tweet_id", "brand_tweet_id"]
 
@@ -109,24 +110,33 @@ def partition_cases(cases: DataFrame) -> DataFrame:
 
 
 def case_quality(cases: DataFrame) -> DataFrame:
-    """One-row validity report; duplicates are counted per key, without ranking rows."""
-    rest = [c for c in cases.columns if c not in CASE_KEY]
-    per_key = cases.groupBy(*CASE_KEY).agg(
+    """One-row validity report from counts per key.
+
+    Where all rows of a key are sound, or none is, the counts tell whether its first row is.
+    Only the rows of the keys that have both are ranked.
+    """
+    no_message, no_reply = X.is_blank("customer_message"), X.is_blank("brand_reply")
+    per_key = cases.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(CASE_KEY)]).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(X.is_blank("customer_message")).alias("no_message"),
-        F.count_if(X.is_blank("brand_reply")).alias("no_reply"),
-        F.min(F.struct(*rest)).alias("first"),
+        F.count_if(no_message).alias("no_message"),
+        F.count_if(no_reply).alias("no_reply"),
+        F.count_if(~no_message & ~no_reply).alias("sound"),
     )
-    first_ok = ~X.is_blank(F.col("first.customer_message")) & ~X.is_blank(F.col("first.brand_reply"))
-    zero = F.lit(0)
-    return per_key.agg(
-        F.coalesce(F.sum("n"), zero).alias("total_candidate_pairs"),
-        F.count_if(first_ok).alias("valid_pairs"),
-        (F.coalesce(F.sum("n"), zero) - F.count_if(first_ok)).alias("removed_pairs"),
-        F.coalesce(F.sum("no_message"), zero).alias("missing_customer_messages"),
-        F.coalesce(F.sum("no_reply"), zero).alias("missing_brand_replies"),
-        F.coalesce(F.sum(F.col("n") - 1), zero).alias("duplicates"),
-        F.lit(0).cast("long").alias("other_invalid_cases"),
+    mixed = store(per_key.where("0 < sound AND sound < n").select("_k0", "_k1"))
+    on = skew.same([(F.col(k), F.col(f"_k{i}")) for i, k in enumerate(CASE_KEY)])
+    firsts = skew.first_per_key(cases.join(mixed, on, "left_semi"), CASE_KEY)
+    none = F.lit(0).cast("long")
+    told = per_key.select("n", "no_message", "no_reply", (F.col("sound") == F.col("n")).cast("long").alias("valid"), (F.col("n") - 1).alias("again"))
+    ranked = firsts.select(*[none.alias(c) for c in ("n", "no_message", "no_reply")], (~no_message & ~no_reply).cast("long").alias("valid"), none.alias("again"))
+    total = {c: F.coalesce(F.sum(c), none) for c in told.columns}
+    return told.unionByName(ranked).agg(
+        total["n"].alias("total_candidate_pairs"),
+        total["valid"].alias("valid_pairs"),
+        (total["n"] - total["valid"]).alias("removed_pairs"),
+        total["no_message"].alias("missing_customer_messages"),
+        total["no_reply"].alias("missing_brand_replies"),
+        total["again"].alias("duplicates"),
+        none.alias("other_invalid_cases"),
     )
 
 

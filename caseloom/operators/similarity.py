@@ -64,8 +64,11 @@ def first_cases(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
     key = case_key(cases)
     order = order if order in cases.columns else "case_id"
     fields = [c for c in ("customer_message", "case_id", "conversation_id", "intent", "customer_user", "brand_reply") if c in cases.columns]
-    first = F.min(F.struct(F.col(order).alias("_o"), *fields)).alias("first")
-    return cases.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("doc_id")).agg(first, F.count(F.lit(1)).alias("n_replies"))
+    rows = cases.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.struct(F.col(order).alias("_o"), *fields).alias("first"))
+    counts = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_replies"))
+    alone, several = skew.by_repetition(rows, ["doc_id"])
+    firsts = skew.top_n_per_group(several, ["doc_id"], [F.col("first")], 1).join(counts, "doc_id")
+    return alone.withColumn("n_replies", F.lit(1).cast("long")).unionByName(firsts)
 
 
 def unpacked(firsts: DataFrame) -> DataFrame:

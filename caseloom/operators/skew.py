@@ -23,17 +23,30 @@ def same(pairs: list[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a & b, [a.eqNullSafe(b) for a, b in pairs])
 
 
+def by_repetition(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key has no other row, and the rows of all other keys.
+
+    Only the keys are read to count them, in buffers of fixed width.  Those that repeat are
+    written, so their real size decides whether they are sent to the rows, which then stay
+    where they are, or both sides are shuffled.  ``df`` is read three times: store it first
+    if it is dear, or if it may come out differently.
+    """
+    counts = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = store(counts.where("_n > 1").drop("_n"))
+    on = same([(F.col(k), F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return df.join(repeated, on, "left_anti"), df.join(repeated, on, "left_semi")
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """One row per key: the smallest by ``order`` and then by the other columns.
 
-    An aggregate, so the copies of a hot key collapse before the shuffle.
+    Rows alone under their key are neither sorted nor compared (see :func:`by_repetition`).
+    The others are ranked, and the cut to one row is made before the shuffle as well, so a
+    hot key sends one row from each task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranks = [o.alias(f"_o{i}") for i, o in enumerate(order or [])]
-    row = F.struct(*ranks, *rest)
-    return df.groupBy(*keys).agg(F.min(row).alias("_first")).select(
-        *[c if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
-    )
+    alone, several = by_repetition(df, keys)
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    return alone.unionByName(_cut(several, keys, [*(order or []), *rest], 1, "_rank").select(*df.columns))
 
 
 def top_n_per_group(
@@ -112,12 +125,14 @@ def repeat_copies(df: DataFrame, copies: str, chunk: int = COPIES_PER_ROW) -> Da
 def mark_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row with ``is_duplicate``: False for the first row of its key by the other columns, else True.
 
-    Exact copies are counted first, so a hot group of copies is one row by the time it is
+    Rows alone under their key pass as they are (see :func:`by_repetition`).  Of the others
+    exact copies are counted first, so a hot group of copies is one row by the time it is
     compared with the first row of its key.
     """
     rest = [c for c in df.columns if c not in keys]
-    counted = count_copies(df)
-    firsts = counted.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
+    alone, several = by_repetition(df, keys)
+    counted = count_copies(several)
+    firsts = _cut(counted.drop("copies"), keys, [F.col(c) for c in rest], 1, "_rank").select(*keys, F.struct(*rest).alias("_first"))
     same_key = same([(F.col(f"c.{k}"), F.col(f"f.{k}")) for k in keys])
     both = counted.alias("c").join(firsts.alias("f"), same_key).select("c.*", "_first")
     is_first = F.struct(*rest).eqNullSafe(F.col("_first"))
@@ -126,4 +141,4 @@ def mark_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
         F.lit(True).alias("is_duplicate"), (F.col("copies") - F.when(is_first, 1).otherwise(0)).alias("_times")
     )
     parts = both.select(*df.columns, F.inline(F.array_compact(F.array(kept, dups)))).where("_times > 0")
-    return repeat_copies(parts, "_times")
+    return alone.withColumn("is_duplicate", F.lit(False)).unionByName(repeat_copies(parts, "_times"))

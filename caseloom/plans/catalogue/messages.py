@@ -6,6 +6,7 @@ from caseloom.functions import text as X
 from caseloom.operators import brands, cases, labels, profile, skew
 from caseloom.plans.catalogue import bindings as B
 from caseloom.plans.catalogue import query
+from caseloom.session import store
 
 TWEET_COLS = "tweet_id, author_id, inbound, created_at, text, in_response_to_tweet_id"
 BRAND = "brand_2"
@@ -43,7 +44,7 @@ MARKED = f"""marked AS (
 
 
 def _messy_cases(spark, sf):
-    return cases.build_cases(B.messy(spark, sf))
+    return store(cases.build_cases(B.messy(spark, sf)))
 
 
 @query(

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caseloom import config
 from caseloom.operators import brands, cases, golden, labels, profile
+from caseloom.session import store
 from caseloom.sources import writers
 
 
 def labelled_cases(tweets: DataFrame, rules=config.INTENT_RULES) -> DataFrame:
-    """Pair, validate and label in one lazy plan."""
-    return labels.label_messages(cases.valid_cases(cases.build_cases(tweets)), rules)
+    """Pair, validate and label; the pairs are stored, since validation reads them three times."""
+    return labels.label_messages(cases.valid_cases(store(cases.build_cases(tweets))), rules)
 
 
 def prepare(

@@ -90,3 +90,35 @@ def test_partition_count_does_not_matter(spark, skewed, partitions):
     got = skew.top_n_per_group(df, ["k"], [seeded_order(7, "v"), F.col("v")], 2).agg(F.sum("v"), F.count("*")).first()
     want = skew.top_n_per_group(skewed, ["k"], [seeded_order(7, "v"), F.col("v")], 2).agg(F.sum("v"), F.count("*")).first()
     assert tuple(got) == tuple(want)
+
+
+def test_first_rows_need_no_sort_aggregate(spark, rows):
+    """Keys are counted in fixed-width buffers; wide columns are compared only where a key repeats."""
+    from caseloom.operators import brands, cases
+
+    wide = rows([("a", "x", 2), ("a", "x", 1), ("a", None, 3), (None, "y", 4), (None, "y", 4), ("b", "z", 5)], "k string, v string, w long")
+    firsts = skew.first_per_key(wide, ["k"])
+    assert {tuple(r) for r in firsts.collect()} == {("a", None, 3), (None, "y", 4), ("b", "z", 5)} and firsts.count() == 3
+    assert [r["w"] for r in skew.first_per_key(wide.where("v = 'x'"), ["k"], [F.desc("w")]).collect()] == [2]
+    assert skew.first_per_key(wide.limit(0), ["k"]).count() == 0
+    messages = spark.range(40).selectExpr(
+        "id AS tweet_id", "if(id % 2 = 0, 'u', 'brand') AS author_id", "id % 2 = 0 AS inbound", "'' AS created_at",
+        "if(id % 8 = 1, ' ', concat('t', id)) AS text", "if(id % 2 = 1, id - 1, NULL) AS in_response_to_tweet_id",
+    )
+    pairs = cases.build_cases(messages.union(messages))
+    for made in (cases.partition_cases(pairs), cases.valid_cases(pairs), cases.case_quality(pairs), brands.brand_subset(messages, "brand")):
+        assert "SortAggregate" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quality_of_keys_with_sound_and_unsound_rows(rows):
+    """Key 1 begins with a blank message, key 2 with a sound row, key 3 has none, key 4 only sound rows."""
+    from caseloom.operators import cases
+
+    data = [(1, 1, None, "r"), (1, 1, "m", "r"), (2, 2, "a", "r"), (2, 2, "b", " "), (2, 2, "a", "r"), (3, 3, "", "r"), (4, 4, "m", "r"), (4, 4, "n", "r")]
+    df = rows(data, "customer_tweet_id long, brand_tweet_id long, customer_message string, brand_reply string")
+    got = cases.case_quality(df).first().asDict()
+    assert got == {
+        "total_candidate_pairs": 8, "valid_pairs": 2, "removed_pairs": 6, "missing_customer_messages": 2,
+        "missing_brand_replies": 1, "duplicates": 4, "other_invalid_cases": 0,
+    }
+    assert cases.case_quality(df.limit(0)).first()["total_candidate_pairs"] == 0
