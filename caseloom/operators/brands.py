@@ -52,16 +52,16 @@ def select_brand(replies: DataFrame, low: int, high: int, fallback_rank: int = 6
     return brand_profile(fitting.unionByName(fallback).orderBy("_choice").limit(1))
 
 
-def replies_to_brand(tweets: DataFrame, brand: str) -> DataFrame:
-    """Messages that answer a message of the brand."""
+def replies_to_brand(tweets: DataFrame, brand: str, replies: DataFrame | None = None) -> DataFrame:
+    """Messages that answer a message of the brand; ``replies`` if they lie in a table of their own."""
     ids = tweets.where(F.col("author_id") == brand).select(F.col("tweet_id").alias("in_response_to_tweet_id")).distinct()
-    linked = tweets.where(F.col("in_response_to_tweet_id").isNotNull())
+    linked = (tweets if replies is None else replies).where(F.col("in_response_to_tweet_id").isNotNull())
     return linked.join(ids, "in_response_to_tweet_id", "left_semi").select(*tweets.columns)
 
 
-def answered_by_brand(tweets: DataFrame, brand: str) -> DataFrame:
-    """Messages that the brand answered."""
-    ids = tweets.where((F.col("author_id") == brand) & F.col("in_response_to_tweet_id").isNotNull())
+def answered_by_brand(tweets: DataFrame, brand: str, replies: DataFrame | None = None) -> DataFrame:
+    """Messages that the brand answered; ``replies`` if they lie in a table of their own."""
+    ids = (tweets if replies is None else replies).where((F.col("author_id") == brand) & F.col("in_response_to_tweet_id").isNotNull())
     ids = ids.select(F.col("in_response_to_tweet_id").alias("tweet_id")).distinct()
     return tweets.join(ids, "tweet_id", "left_semi")
 

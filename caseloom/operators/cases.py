@@ -37,15 +37,15 @@ def by_author(tweets: DataFrame, author: str) -> DataFrame:
     return tweets.where(F.col("author_id") == F.lit(author))
 
 
-def pair_messages(tweets: DataFrame) -> DataFrame:
-    """Customer message with each brand reply to it (one to many)."""
+def pair_messages(tweets: DataFrame, replies: DataFrame | None = None) -> DataFrame:
+    """Customer message with each brand reply to it (one to many); ``replies`` if they lie in a table of their own."""
     customers = customer_messages(tweets).select(
         F.col("tweet_id").alias("customer_tweet_id"),
         F.col("author_id").alias("customer_user"),
         F.col("text").alias("customer_message"),
         F.col("created_at").alias("customer_created_at"),
     )
-    brands = brand_messages(tweets).where(F.col("in_response_to_tweet_id").isNotNull()).select(
+    brands = brand_messages(tweets if replies is None else replies).where(F.col("in_response_to_tweet_id").isNotNull()).select(
         F.col("in_response_to_tweet_id").alias("customer_tweet_id"),
         F.col("tweet_id").alias("brand_tweet_id"),
         F.col("author_id").alias("brand_account"),

@@ -1,12 +1,15 @@
 """Sources, filters, pairing, brands, profiles and quality."""
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from caseloom.functions import text as X
 from caseloom.operators import brands, cases, labels, profile, skew
 from caseloom.plans.catalogue import bindings as B
 from caseloom.plans.catalogue import query
-from caseloom.session import store
+from caseloom.session import shared_folder, store
+from caseloom.sources import threads
 
 TWEET_COLS = "tweet_id, author_id, inbound, created_at, text, in_response_to_tweet_id"
 BRAND = "brand_2"
@@ -113,6 +116,17 @@ def fanout(spark, sf):
     return cases.pair_messages(B.dated(spark, sf)).drop("customer_created_at", "brand_created_at")
 
 
+def _threads(spark, df):
+    return threads.open_threads(spark, threads.save_threads(df, f"{shared_folder(spark)}/caseloom/threads-{uuid4().hex}"))
+
+
+@query("J1_bucketed_pairs", B.with_views("dated_pairs", f"SELECT {PAIR_COLS} FROM dated_pairs"))
+def bucketed_pairs(spark, sf):
+    """The pairs from the bucketed layout of messages and replies."""
+    made = _threads(spark, B.dated(spark, sf)).each(cases.pair_messages)
+    return made.drop("customer_created_at", "brand_created_at")
+
+
 @query(
     "X2_reply_latency",
     B.with_views(
@@ -268,6 +282,25 @@ def answered(spark, sf):
     return brands.answered_by_brand(B.tweets(spark, sf), BRAND).select("tweet_id", "author_id", "text")
 
 
+@query(
+    "J2_J3_bucketed_brand_links",
+    B.with_views(
+        "tweets",
+        f"""SELECT 'replies' AS part, tweet_id, author_id, text FROM tweets WHERE in_response_to_tweet_id IN
+        (SELECT tweet_id FROM tweets WHERE author_id = '{BRAND}')
+        UNION ALL SELECT 'answered', tweet_id, author_id, text FROM tweets WHERE tweet_id IN
+        (SELECT in_response_to_tweet_id FROM tweets WHERE author_id = '{BRAND}' AND in_response_to_tweet_id IS NOT NULL)""",
+    ),
+)
+def bucketed_links(spark, sf):
+    """Both semi joins around a brand from one bucketed layout."""
+    laid = _threads(spark, B.tweets(spark, sf))
+    replies = laid.each(lambda messages, replies: brands.replies_to_brand(messages, BRAND, replies))
+    found = laid.each(lambda messages, replies: brands.answered_by_brand(messages, BRAND, replies))
+    parts = replies.withColumn("part", F.lit("replies")).unionByName(found.withColumn("part", F.lit("answered")))
+    return parts.select("part", "tweet_id", "author_id", "text")
+
+
 @query(
     "U1_brand_subset",
     B.with_views(
