@@ -124,15 +124,21 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "op9_perspective_rotation",
     """
-    WITH turns AS (
-      SELECT conv_id, CAST(coalesce(floor(turn / 256), 0) AS BIGINT) AS part, turn,
-             replace(coalesce(role, 'unknown'), '<|', '<||') AS who, replace(coalesce(text, ''), '<|', '<||') AS said
-      FROM conversations WHERE conv_id IS NOT NULL
+    WITH ranked AS (
+      SELECT conv_id, turn, who, said, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, who, said) - 1 AS r
+      FROM (SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '<||') AS who, replace(coalesce(text, ''), '<|', '<||') AS said
+            FROM conversations WHERE conv_id IS NOT NULL)
+    ), turns AS (
+      SELECT conv_id, CAST(r // 256 AS BIGINT) AS part, r, who, said FROM ranked
+      UNION ALL
+      SELECT o.conv_id, p.part, -1 AS r, o.who, o.said
+      FROM ranked o JOIN (SELECT DISTINCT conv_id, CAST(r // 256 AS BIGINT) AS part FROM ranked WHERE r >= 256) p ON o.conv_id = p.conv_id
+      WHERE o.r = 0 AND o.who = 'system'
     ), pieces AS (
       SELECT t.conv_id, s.speaker, t.part, t.who = s.speaker AS own,
              '<|' || CASE WHEN t.who = s.speaker THEN 'assistant' WHEN t.who = 'system' THEN t.who ELSE 'user ' || t.who END || '|>' || chr(10) AS head,
              t.said || '<|end|>' AS body,
-             row_number() OVER (PARTITION BY t.conv_id, s.speaker, t.part ORDER BY t.turn NULLS FIRST, t.who, t.said) AS i
+             row_number() OVER (PARTITION BY t.conv_id, s.speaker, t.part ORDER BY t.r) AS i
       FROM turns t JOIN (SELECT DISTINCT conv_id, who AS speaker FROM turns WHERE who <> 'system') s ON t.conv_id = s.conv_id
     ), placed AS (
       SELECT *, CAST(coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, part ORDER BY i

@@ -12,8 +12,12 @@ def brute(rows, per=256, context=("system",)):
     for conv, turns in convs.items():
         for speaker in sorted({w for _, _, w, _ in turns} - set(context)):
             parts = {}
-            for t in sorted(turns):
-                parts.setdefault(t[1] // per, []).append(t)
+            for i, t in enumerate(sorted(turns)):
+                parts.setdefault(i // per, []).append(t)
+            opening = sorted(turns)[0]
+            for part in parts:
+                if part and opening[2] in context:
+                    parts[part].insert(0, opening)
             for part, own in parts.items():
                 text, spans = "", []
                 for _, _, who, said in own:
@@ -50,8 +54,19 @@ def test_masks_hold_what_the_speaker_says(spark):
         assert [r.text[a:b] for a, b in spans] == ["é<||end|>é<|end|>"]
 
 
+def test_parts_follow_ranks_not_turn_numbers(spark):
+    """Sparse, equal and missing turn numbers; the opening turn of the system heads every part."""
+    rows = [(8, None, "system", "be kind")] + [(8, i * 1000, "ann" if i % 2 else "bob", f"t{i}") for i in range(9)]
+    rows += [(9, 1, "ann", "same")] * 7 + [(9, None, "bob", "none")] * 4 + [(10, 5, "ann", "first"), (10, 9, "system", "late")] * 3
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = sorted(map(tuple, P.rotate(df, turns_per_part=4).collect()))
+    assert got == brute(rows, 4)
+    assert {(r[0], r[2], r[3]) for r in got if r[0] == 8} == {(8, 0, 4), (8, 1, 5), (8, 2, 3)}
+    assert all(r[4].startswith("<|system|>\nbe kind<|end|>") for r in got if r[0] == 8)
+
+
 def test_long_dialogue(spark):
-    df = spark.range(3000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text")
+    df = spark.range(3000).selectExpr("1L AS conv_id", "id * 70000 AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text")
     got = P.rotate(df).collect()
     assert len(got) == 2 * 12 and sum(r.n_turns for r in got) == 6000
     assert "Python" not in P.rotate(df)._jdf.queryExecution().toString()
