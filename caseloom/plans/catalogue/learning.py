@@ -133,8 +133,8 @@ def ranked_classes(spark, sf):
 
 
 def _stream(spark, sf, name):
-    schema = B.table(spark, sf, name).schema
-    return live.read_stream(spark, sf, schema, f"{name}.parquet")
+    """A table as a stream, whether it is one file or a folder of them: as a glob (of this one name) Spark takes either."""
+    return live.read_stream(spark, f"{sf}/{{{name}.parquet}}", B.table(spark, sf, name).schema, "*")
 
 
 def _folder(spark, name):
