@@ -41,6 +41,24 @@ def test_top_n_cuts_before_the_shuffle(skewed):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_rows_are_not_dealt_out_by_group(spark, tmp_path):
+    """A table whose size forbids a broadcast: the few groups go to its rows, so no task gets all rows of a group."""
+    text = F.sha2(F.col("id").cast("string"), 512)
+    spark.range(0, 40_000, 1, 4).select("id", (F.col("id") % 2).alias("g"), text.alias("text")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 100_000)
+    try:
+        top = skew.top_n_per_group(df, ["g"], [seeded_order(1, "id"), F.col("id")], 3, spread=F.col("id"))
+        split = skew.smallest_share(df, "g", seeded_order(1, "id"), ["id"], 0.15)
+        for made, n in ((top, 6), (split, 40_000)):
+            assert made.count() == n
+            plan = made._jdf.queryExecution().sparkPlan().toString()
+            assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("share", [0.0, 0.15, 0.5, 1.0])
 def test_smallest_share_is_exact(spark, share):
     df = spark.range(2000).select(
