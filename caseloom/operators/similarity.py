@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from caseloom import config, schemas
 from caseloom.functions import text as X
-from caseloom.operators import skew
+from caseloom.operators import products, skew
 from caseloom.session import store
 
 EPS = 1e-8
@@ -20,6 +20,8 @@ EPS = 1e-8
 # in total.  What that does not settle goes on with GROWTH times as many.
 FIRST_BUDGET = 1_000
 GROWTH = 20
+# Pairs of a query and a posting are rows only as far as all queries may read so many in a round.
+MOST_PAIRS = 5_000_000
 # A term of more documents than WHOLE has a block for each STEPS-th part of a halving of the weight.
 WHOLE = 32
 STEPS = 4
@@ -310,18 +312,27 @@ def search(
     A query reads whole blocks, those of largest impact first.  What the blocks that it skips
     can add at most tells which queries are settled; the others go on with a larger budget,
     until none is open.  A budget that takes in all blocks of a query always settles it.
+
+    Rounds are for so few queries that their pairs are at most ``MOST_PAIRS`` rows or so.  More
+    queries are answered by products of blocks, whose scores never leave their task.
     """
     open_terms, done = q_terms, []
-    while True:
+    n_open = q_terms.select("q_key").distinct().count()
+    while n_open * budget <= MOST_PAIRS:
         plan = keep(_reading_plan(open_terms, index.blocks, budget))
         postings = in_pages(index, "postings", plan.select(F.explode("terms.term").alias("term")))
         found = keep(_search_blocks(plan, postings, top_k))
         done.append(found.where("settled").select("q_key", F.inline("top")))
         unsettled = found.where("NOT settled").select("q_key")
-        if unsettled.isEmpty():
+        n_open = unsettled.count()
+        if not n_open:
             break
         open_terms = plan.select("q_key", F.inline("terms")).select("q_key", "term", "q_weight").join(unsettled, "q_key", "left_semi")
         budget *= GROWTH
+    if n_open:
+        postings = in_pages(index, "postings", open_terms.select("term"))
+        best = products.best_of_blocks(open_terms, postings, top_k)
+        done.append(keep(skew.top_n_per_group(best, ["q_key"], [F.desc("rank_score"), F.col("vec_id")], top_k)))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

@@ -113,6 +113,24 @@ def test_every_way_equals_brute_force(big, options):
         assert [s for _, s in got[q]] == pytest.approx([s for _, s in want[q]], abs=2e-4)
 
 
+@pytest.mark.parametrize("entries", [10**6, 400], ids=str)
+def test_products_of_blocks(big, monkeypatch, entries):
+    """Many queries are answered without a row for a pair of a query and a posting, and with the same answers."""
+    index, asked, want = big
+    monkeypatch.setattr(S, "MOST_PAIRS", 0)
+    monkeypatch.setattr(S, "_search_blocks", None)
+    monkeypatch.setattr(S.products.best_of_blocks, "__defaults__", (entries,))
+    monkeypatch.setattr(S.products, "LEAST", 100)
+    found = {
+        r["message_id"]: [(int(c["customer_tweet_id"]), c["similarity_score"]) for c in r["retrieval"]["top_cases"]]
+        for r in S.retrieve(asked, index).collect()
+    }
+    assert found.keys() == want.keys()
+    for q in want:
+        assert [d for d, _ in found[q]] == [d for d, _ in want[q]], q
+        assert [s for _, s in found[q]] == pytest.approx([s for _, s in want[q]], abs=2e-4)
+
+
 def test_copies_are_indexed_once(big):
     index, _, _ = big
     assert 290 < index.members.count() <= 300
