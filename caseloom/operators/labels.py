@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from caseloom import config
 from caseloom.functions import text as X
-from caseloom.operators import skew
+from caseloom.operators import skew, windows
+from caseloom.session import store
 
 PIECE = 1 << 16
 DIGEST = ["_h0", "_h1"]
@@ -33,22 +34,16 @@ def rule_matches(df: DataFrame, rules: DataFrame, column: str) -> DataFrame:
     """Rules ``(priority, label, keyword)`` with their keyword inside a message, beside the 128-bit digest of the message.
 
     A keyword of n characters is inside a text if it is one of the text's substrings of n
-    characters, so the substrings of the lengths that keywords have are joined with the
-    keywords by equality.  The work grows with the texts and the number of different lengths,
-    not with the number of rules.  A hot keyword is a hot join key, which adaptive execution
-    splits, and a long text is cut into pieces that overlap.  A NULL text or keyword matches
-    nothing, an empty keyword matches every text; a text that is there twice may match twice.
+    characters.  Tasks hash the substrings of the lengths that keywords have, and those that a
+    bitmap of the keywords' hashes lets through are joined with the keywords by equality.  The
+    hashing grows with the texts and the number of different lengths, the join with the
+    keywords found.  The rules are written first, so their real size decides whether they are
+    sent to the substrings.  A NULL text or keyword matches nothing, an empty keyword matches
+    every text; a text that is there twice, or that is cut into pieces, may match twice.
     """
-    words = rules.where(F.col("keyword").isNotNull()).select("priority", "keyword", "label")
-    lengths = words.agg(F.collect_set(F.length("keyword"))).scalar()
-    texts = df.select(F.lower(F.col(column)).alias("_low")).withColumns(_digest("_low")).withColumn("_lengths", lengths)
-    pieces = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("_low") / PIECE) - 1, F.lit(0)).cast("int"))
-    cut = texts.withColumn("_n", F.explode("_lengths")).withColumn("_i", F.explode(pieces))
-    cut = cut.withColumn("_piece", F.substring("_low", F.col("_i") * PIECE + 1, F.col("_n") + (PIECE - 1)))
-    # the look-ahead takes nothing, so the search goes on at the next character; never inside of one
-    each = F.concat(F.lit(r"(?s)(?!\p{Cs})(?=(.{"), F.col("_n").cast("string"), F.lit("}))"))
-    found = F.explode(F.array_distinct(F.regexp_extract_all("_piece", each, F.lit(1))))
-    return cut.select(*DIGEST, found.alias("keyword")).join(words, "keyword")
+    words = store(rules.where(F.col("keyword").isNotNull()).select("priority", "keyword", "label"))
+    texts = df.select(F.lower(F.col(column)).alias("_low")).withColumns(_digest("_low"))
+    return windows.find(texts, "_low", DIGEST, words, "keyword", PIECE).join(words, "keyword")
 
 
 def _digest(text: str) -> dict[str, Column]:

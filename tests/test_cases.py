@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import brands, cases, labels, profile, skew
+from caseloom.operators import brands, cases, labels, profile, skew, windows
 
 TWEETS = "tweet_id long, author_id string, inbound boolean, created_at string, text string, in_response_to_tweet_id long"
 DAY = "Tue Oct 31 22:{:02d}:00 +0000 2017"
@@ -174,6 +174,16 @@ def test_rules_inside_characters_pieces_and_copies(rows, monkeypatch):
     assert set(dict(by(labels.label_by_table(df, none), "n", "intent")).values()) == {"other"}
 
 
+def test_substrings_that_are_no_keywords_stay_in_their_task(spark, rows):
+    """Of 4,000 characters and 40 lengths of keywords only what may be a keyword is handed on."""
+    rules = spark.range(2_000).selectExpr("CAST(id AS INT) AS priority", "'l' AS label", "rpad(concat('k', id), 5 + id % 40, 'x') AS keyword")
+    texts = rows([(1, "".join(f"w{i} " for i in range(800)) + "k7xxxxxxxxxx")], "n int, customer_message string")
+    found = labels.rule_matches(texts, rules, "customer_message")
+    assert {r["keyword"] for r in found.collect()} == {"k7xxxxxxxxxx"}
+    handed = windows.find(texts, "customer_message", ["n"], rules, "keyword", 100)
+    assert {r["keyword"] for r in handed.collect()} >= {"k7xxxxxxxxxx"} and handed.count() < 2_000
+
+
 def test_distribution_sums_to_hundred(tweets):
     df = profile.distribution(tweets, "author_id")
     assert sum(r["percentage"] for r in df.collect()) == pytest.approx(100)
