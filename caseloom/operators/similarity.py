@@ -62,15 +62,16 @@ def group_cases(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
 
 
 def first_cases(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
-    """``doc_id, first, n_replies``: ``first`` has the order and the fields of a message's first case."""
+    """``doc_id, first, n_replies``: ``first`` has the order and the fields of a message's first case.
+
+    ``cases`` is read once: the smallest row and the count of a message come from one aggregate,
+    which needs no shuffle where a join has brought the message's cases together.
+    """
     key = case_key(cases)
     order = order if order in cases.columns else "case_id"
     fields = [c for c in ("customer_message", "case_id", "conversation_id", "intent", "customer_user", "brand_reply") if c in cases.columns]
     rows = cases.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.struct(F.col(order).alias("_o"), *fields).alias("first"))
-    counts = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_replies"))
-    alone, several = skew.by_repetition(rows, ["doc_id"])
-    firsts = skew.top_n_per_group(several, ["doc_id"], [F.col("first")], 1).join(counts, "doc_id")
-    return alone.withColumn("n_replies", F.lit(1).cast("long")).unionByName(firsts)
+    return rows.groupBy("doc_id").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n_replies"))
 
 
 def unpacked(firsts: DataFrame) -> DataFrame:
@@ -90,8 +91,10 @@ def replies_of(cases: DataFrame, order: str = "brand_tweet_id") -> DataFrame:
 
 
 def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=()) -> DataFrame:
-    """``(doc_id, term, tf)``.  A document's tokens are counted where it is read; only counts are shuffled."""
-    words = docs.select(F.col(doc_id).alias("doc_id"), F.explode(X.tokens(text)).alias("term"))
+    """``(doc_id, term, tf)``.  The texts are dealt out by id first, which is fewer bytes than their counts,
+    so that neither the counts nor what is made of a document's weights later is shuffled again."""
+    dealt = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")).repartition("doc_id")
+    words = dealt.select("doc_id", F.explode(X.tokens("_text")).alias("term"))
     # Joins on the term filter out NULL; with the filter already here the counts of one
     # table have one plan, and Spark computes them once.
     words = words.where(F.col("term").isNotNull())

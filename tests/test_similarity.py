@@ -229,3 +229,34 @@ def test_few_messages_read_few_pages(spark, rows, tmp_path):
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "page#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert 0 < some.count() < loaded.postings.count() / 4
+
+
+def test_cases_are_grouped_where_the_join_left_them(spark, tmp_path):
+    """Pairs made by a shuffled join are grouped without another shuffle, and the join is made once."""
+    from caseloom.operators import cases as K
+
+    spark.range(400).selectExpr("id AS tweet_id", "'u' AS author_id", "true AS inbound", "'' AS created_at", "'m' AS text", "CAST(NULL AS BIGINT) AS in_response_to_tweet_id").union(
+        spark.range(900).selectExpr("id + 10000", "'b'", "false", "''", "concat('r', id)", "id % 300")
+    ).write.parquet(str(tmp_path / "t"))
+    tweets = spark.read.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = K.build_cases(tweets).withColumn("intent", F.lit("other"))
+        grouped = S.group_cases(rows)
+        assert grouped._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        got = {r["doc_id"]: (r["brand_reply"], r["n_replies"]) for r in grouped.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i: (f"r{i}", 3) for i in range(300)}
+
+
+def test_counts_are_not_shuffled_by_document_again(spark, tmp_path):
+    spark.range(50).selectExpr("id AS d", "concat('aa bb w', id) AS t").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    counts = S.term_counts(docs, "d", "t")
+    plan = S.tfidf(counts, S.vocabulary(counts, S.n_rows(docs)))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and "hashpartitioning(doc_id#" in plan
+    import re
+
+    assert not re.search(r"hashpartitioning\(doc_id#\d+L?, term", plan)
