@@ -18,8 +18,8 @@ from caseloom.llm import batches
 
 #: Runs of spaces with the word that follows.
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-#: Where a text has more than one space or line end between words, or other spaces.
-RUNS = re.compile(r"[ \n][ \n\t\r]|[\t\r\x00]|\A[ \n]|[ \n]\Z|\A\Z")
+#: What a text has where there is more than one space or line end between words, or another space.
+RUNS = ("\t", "\r", "\0", "  ", " \n", "\n ", "\n\n")
 #: Characters that some definition calls a space and PIECE does not.
 CONTROLS = "\x0b\x0c\x1c\x1d\x1e\x1f"
 UNUSUAL = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]")
@@ -31,10 +31,15 @@ def _unusual(text: str) -> bool:
     return any(c in text for c in CONTROLS) if text.isascii() else bool(UNUSUAL.search(text))
 
 
+def _runs(text: str) -> bool:
+    """Whether a text has runs of spaces, or one at either end; plain searches are faster than a pattern."""
+    return any(r in text for r in RUNS) or text[:1] in ("", " ", "\n") or text[-1] in " \n"
+
+
 def _pieces(text: str, lead: str = "") -> list[str]:
     """``lead``, which is nothing or a space, and the text, cut before each run of spaces, by names: of a piece
     ``" word"`` it is the word, of one that begins with a line end the piece itself, of any other the piece after a NUL."""
-    if RUNS.search(text):
+    if _runs(text):
         return [p[1:] if p[0] == " " and p[1:2] not in ("", *" \n\t\r\0") else "\0" + p for p in PIECE.findall(lead + text)]
     return (("" if lead else "\0") + text.replace("\n", " \n")).split(" ")
 
