@@ -45,6 +45,7 @@ def fit_classifier(
     averages the loss, so its parameter is ``1 / (strength * rows)``.
     """
     rows = training_rows(train, text, label).persist(StorageLevel.MEMORY_AND_DISK)
+    held = [rows]
     try:
         n = rows.count()
         tokenizer = RegexTokenizer(inputCol="message", outputCol="_words", pattern=X.TOKEN, gaps=False, minTokenLength=2)
@@ -54,7 +55,11 @@ def fit_classifier(
         terms = kept.select(F.explode("_kept").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
         top = terms.orderBy(F.desc("n"), "term").limit(cfg.max_features).collect()  # ties at the cut go by term
         counter = CountVectorizerModel.from_vocabulary([r["term"] for r in top] or [""], inputCol="_kept", outputCol="_tf")
-        counted = counter.transform(kept)
+        # read by the weights and by the fit: the texts are cut into words twice, once for the terms and once for this;
+        # even partitions, as every iteration waits for the largest
+        parts = 2 * train.sparkSession.sparkContext.defaultParallelism
+        counted = counter.transform(kept).select("_tf", "intent").repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(counted)
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf
         weigh = ElementwiseProduct(
             inputCol="_tf", outputCol="_weighted", scalingVec=Vectors.dense(idf.toArray() + 1.0)
@@ -62,27 +67,24 @@ def fit_classifier(
         unit = Normalizer(inputCol="_weighted", outputCol="_features", p=2.0)
         names = StringIndexer(inputCol="intent", outputCol="_label", stringOrderType="alphabetAsc").fit(rows)
         data = names.transform(unit.transform(weigh.transform(counted))).select("_features", "_label")
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            model = LogisticRegression(
-                featuresCol="_features",
-                labelCol="_label",
-                rawPredictionCol="_raw",
-                probabilityCol="_probability",
-                predictionCol="_prediction",
-                family="multinomial",
-                maxIter=cfg.max_iter,
-                regParam=1.0 / (strength * max(n, 1)),
-                elasticNetParam=0.0,
-                standardization=False,
-                tol=1e-6,
-            ).fit(data)
-        finally:
-            data.unpersist()
+        model = LogisticRegression(
+            featuresCol="_features",
+            labelCol="_label",
+            rawPredictionCol="_raw",
+            probabilityCol="_probability",
+            predictionCol="_prediction",
+            family="multinomial",
+            maxIter=cfg.max_iter,
+            regParam=1.0 / (strength * max(n, 1)),
+            elasticNetParam=0.0,
+            standardization=False,
+            tol=1e-6,
+        ).fit(data)
         back = IndexToString(inputCol="_prediction", outputCol="_intent", labels=names.labels)
         return PipelineModel([tokenizer, remover, counter, weigh, unit, model, back])
     finally:
-        rows.unpersist()
+        for df in held:
+            df.unpersist()
 
 
 def labels_of(model: PipelineModel) -> list[str]:
