@@ -59,6 +59,23 @@ def test_rows_are_not_dealt_out_by_group(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize(("limit", "pieces"), [(1000, 1), (2, 150)])
+def test_pieces_by_the_rows_that_reach_the_cut(spark, monkeypatch, limit, pieces):
+    """Tasks that send three rows of a group need one piece of it, whatever its size; those that send all rows need many."""
+    df = spark.range(0, 30_000, 1, 4).select("id", (F.col("id") % 2).alias("g"))
+    seen, cut = [], skew._cut
+    monkeypatch.setattr(skew, "_cut", lambda d, *a: seen.append(d) or cut(d, *a))
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        got = skew.top_n_per_group(df, ["g"], [F.desc("id")], 3, spread=F.col("id"), rows_per_salt=100)
+        assert sorted(r["id"] for r in got.collect()) == list(range(29_994, 30_000))
+        assert {r["_salts"] for r in seen[0].select("_salts").distinct().collect()} == {pieces}
+    finally:
+        spark.conf.set(name, before)
+
+
 @pytest.mark.parametrize("share", [0.0, 0.15, 0.5, 1.0])
 def test_smallest_share_is_exact(spark, share):
     df = spark.range(2000).select(
