@@ -4,6 +4,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from caseloom.operators import similarity
 
 SF = "/root/testdata/sf0.001"
 #: The smallest table has no training cases beside the golden ones: all that retrieves is compared on the next one.
@@ -27,6 +28,15 @@ def test_query(spark, con, name):
     assert compare(spark, connect(sf) if name in LARGER else con, name, QUERIES[name], entry.oracle_sql().get(name), sf) is None
 
 
+@pytest.mark.parametrize("name", ["G1_evidence_block", "M4_retrieval"])
+def test_searches_without_rows_of_pairs(spark, monkeypatch, name):
+    """Many queries: no pair of a query and a posting becomes a row, and the result is that of the SQL."""
+    monkeypatch.setattr(similarity, "MOST_PAIRS", 0, raising=False)
+    monkeypatch.setattr(similarity, "_search_blocks", None)
+    sf = SF.replace("sf0.001", "sf0.01")
+    assert compare(spark, connect(sf), name, QUERIES[name], entry.oracle_sql()[name], sf) is None
+
+
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.columns == ["intent", "n", "percentage"] and df.count() > 0
