@@ -20,7 +20,8 @@ EPS = 1e-8
 # in total.  What that does not settle goes on with GROWTH times as many.
 FIRST_BUDGET = 1_000
 GROWTH = 20
-# Pairs of a query and a posting are rows only as far as all queries may read so many in a round.
+# Pairs of a query and a posting are rows only as far as all queries may read so many in a round,
+# each of them again with every term of its query that has skipped blocks.
 MOST_PAIRS = 5_000_000
 # A term of more documents than WHOLE has a block for each STEPS-th part of a halving of the weight.
 WHOLE = 32
@@ -242,12 +243,13 @@ def retrieve(
     """
     counts = term_counts(queries, query_id, text, index.stop_words)
     q_vecs = keep(vectors(counts, index.vocab).withColumnRenamed("doc_id", query_id))
-    distinct = q_vecs.groupBy("vec_key").agg(F.min(query_id).alias("q_key"), F.any_value("v").alias("v"))
+    distinct = keep(q_vecs.groupBy("vec_key").agg(F.min(query_id).alias("q_key"), F.any_value("v").alias("v")))
     q_terms = distinct.select("q_key", F.inline("v")).withColumnRenamed("weight", "q_weight")
     hits = search(q_terms, index, top_k, budget, keep)
-    answers = distinct.select("vec_key", "q_key").join(_answers(hits, index, top_k, min_similarity), "q_key").drop("q_key")
-    keyed = q_vecs.select(query_id, "vec_key").join(answers, "vec_key")
-    out = queries.join(keyed.drop("vec_key"), query_id, "left")
+    # keys meet before the answers, which are long, are joined
+    same = q_vecs.select(query_id, "vec_key").join(distinct.select("vec_key", "q_key"), "vec_key").drop("vec_key")
+    keyed = same.join(_answers(hits, index, top_k, min_similarity), "q_key").drop("q_key")
+    out = queries.join(keyed, query_id, "left")
     return out.withColumn("retrieval", F.coalesce("retrieval", no_result())).select(*queries.columns, "retrieval")
 
 
@@ -316,13 +318,16 @@ def search(
     can add at most tells which queries are settled; the others go on with a larger budget,
     until none is open.  A budget that takes in all blocks of a query always settles it.
 
-    Rounds are for so few queries that their pairs are at most ``MOST_PAIRS`` rows or so.  More
-    queries are answered by products of blocks, whose scores never leave their task.
+    Rounds are for queries that make at most ``MOST_PAIRS`` rows in a round, as their reading plan
+    tells before any is made.  All others are answered by products of blocks, whose scores never
+    leave their task.
     """
     open_terms, done = q_terms, []
     n_open = q_terms.select("q_key").distinct().count()
     while n_open * budget <= MOST_PAIRS:
         plan = keep(_reading_plan(open_terms, index.blocks, budget))
+        if (plan.agg(F.sum("rows")).first()[0] or 0) > MOST_PAIRS:
+            break
         postings = in_pages(index, "postings", plan.select(F.explode("terms.term").alias("term")))
         found = keep(_search_blocks(plan, postings, top_k))
         done.append(found.where("settled").select("q_key", F.inline("top")))
@@ -349,12 +354,13 @@ def _top(scores: DataFrame, top_k: int) -> DataFrame:
 
 
 def _reading_plan(q_terms: DataFrame, blocks: DataFrame, budget: int) -> DataFrame:
-    """One row per query: ``q_key``, its ``terms``, and the bounds ``sums`` and ``length`` of what is skipped.
+    """One row per query: ``q_key``, its ``terms``, the bounds ``sums`` and ``length`` of what is skipped, and ``rows``.
 
     A term has the ``levels`` to read and ``more``, the most that its other blocks can add.
     Blocks are read from the largest impact on, while they have at most ``budget`` postings in
     total; the first is always read.  A vector without any posting read scores at most
-    ``sums``, and as vectors have length 1, at most ``length``.
+    ``sums``, and as vectors have length 1, at most ``length``.  ``rows`` is the most that the
+    search can make: a pair for every posting read, and that pair with every term of skipped blocks.
     """
     impact = F.col("q_weight") * F.col("top")
     order = Window.partitionBy("q_key").orderBy(F.desc("impact"), "term", "level")
@@ -365,12 +371,14 @@ def _reading_plan(q_terms: DataFrame, blocks: DataFrame, budget: int) -> DataFra
         F.max("q_weight").alias("q_weight"),
         F.coalesce(F.max(F.when(~F.col("read"), F.col("impact"))), F.lit(0.0)).alias("more"),
         F.collect_list(F.when(F.col("read"), F.col("level"))).alias("levels"),
+        F.sum(F.when(F.col("read"), F.col("n")).otherwise(0)).alias("met"),
     )
     skipped = F.when(F.col("more") > 0, F.col("q_weight") * F.col("q_weight")).otherwise(0.0)
     return terms.groupBy("q_key").agg(
         F.collect_list(F.struct("term", "q_weight", "more", "levels")).alias("terms"),
         F.sum("more").alias("sums"),
         F.sqrt(F.sum(skipped)).alias("length"),
+        (F.sum("met") * (1 + F.count_if(F.col("more") > 0))).alias("rows"),
     )
 
 

@@ -131,6 +131,15 @@ def test_products_of_blocks(big, monkeypatch, entries):
         assert [s for _, s in found[q]] == pytest.approx([s for _, s in want[q]], abs=2e-4)
 
 
+def test_rows_of_a_round_are_bounded_with_their_other_terms(big, monkeypatch):
+    """Few enough pairs, which every skipped term of their query would multiply, are answered without rows of them."""
+    index, asked, want = big
+    monkeypatch.setattr(S, "MOST_PAIRS", 20 * asked.count())
+    monkeypatch.setattr(S, "_search_blocks", None)
+    found = {r["message_id"]: [int(c["customer_tweet_id"]) for c in r["retrieval"]["top_cases"]] for r in S.retrieve(asked, index, budget=20).collect()}
+    assert found == {q: [d for d, _ in hits] for q, hits in want.items()}
+
+
 def test_copies_are_indexed_once(big):
     index, _, _ = big
     assert 290 < index.members.count() <= 300
