@@ -67,7 +67,9 @@ class Aligner:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), self.a.dtype).astype(np.int32)))
 
     def encode_b(self, texts: list[str]) -> pa.ListArray:
-        return pa.array(self.b.encode(texts, num_threads=1), pa.list_(pa.int32()))
+        ids = self.b.encode_as_numpy(texts, num_threads=1)  # a list object for each id would take longer than the ids
+        offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)))
 
 
 _MADE: dict[tuple[str, str], Aligner] = {}

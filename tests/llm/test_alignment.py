@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import public_tokenizers
 import pytest
@@ -112,3 +113,13 @@ def test_query_against_plain_python(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert by_id(QUERIES["op12_token_alignment"](spark, sf).collect()) == by_id(plain(rows))
+
+
+def test_pieces_come_without_an_object_for_each_id(monkeypatch):
+    """Ids of the second tokenizer are read as arrays, and are the library's; empty texts have none."""
+    both = A.aligner(*PATHS)
+    texts = ["one two", "", "ünï ▁ \t 3", "x" * 3000]
+    want = [both.b.encode(t) for t in texts]
+    monkeypatch.setattr(both, "b", SimpleNamespace(encode_as_numpy=both.b.encode_as_numpy))
+    assert both.encode_b(texts).to_pylist() == want
+    assert both.encode_b([""]).to_pylist() == [[]] and both.encode_b([]).to_pylist() == []
